@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, also where the body is a lambda over elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def array_sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
 
@@ -20,15 +25,18 @@ def array_mean(a: Column) -> Column:
 
 def array_std(a: Column) -> Column:
     """Population standard deviation of the elements."""
-    mean = array_mean(a)
-    squares = F.aggregate(a, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
+    squares = let(
+        array_mean(a),
+        lambda mean: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean)),
+    )
     return F.sqrt(F.try_divide(squares, F.size(a)))
 
 
 def rescale(a: Column) -> Column:
     """`(v - mean) / mean` for every element; a null array when the mean is zero."""
-    mean = array_mean(a)
-    return F.when(mean != 0, F.transform(a, lambda v: (v - mean) / mean))
+    return let(
+        array_mean(a), lambda mean: F.when(mean != 0, F.transform(a, lambda v: (v - mean) / mean))
+    )
 
 
 def fold_period(a: Column, period: int) -> Column:

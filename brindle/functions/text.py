@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from brindle.functions.arrays import let
+
 
 def strip_quotes(s: Column) -> Column:
     """Remove one enclosing pair of double quotes."""
@@ -20,6 +22,31 @@ def tokenize(s: Column, stopwords: Sequence[str] = ()) -> Column:
     return F.filter(words, lambda w: (w != "") & ~w.isin(*stopwords))
 
 
+def token_counts(tokens: Column) -> Column:
+    """Distinct tokens of a list as an array of structs `token, c`, by runs of the sorted list.
+
+    Counting inside the row keeps the tokens of a text out of the shuffle.
+    """
+
+    def runs(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(ordered) - 1),
+            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+        )
+        return let(
+            starts,
+            lambda start: F.transform(
+                start,
+                lambda i, j: F.struct(
+                    F.get(ordered, i).alias("token"),
+                    (F.coalesce(F.get(start, j + 1), F.size(ordered)) - i).alias("c"),
+                ),
+            ),
+        )
+
+    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs))
+
+
 def regex_groups(line: Column, pattern: str, groups: int) -> Column:
     """All capture groups of a pattern that spans a whole line, or null when it does not match.
 

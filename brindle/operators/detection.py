@@ -302,20 +302,20 @@ def draw_augmentation(
     aspect = (
         F.lit(wide / high) * rand("wider", 1 - jitter, 1 + jitter) / rand("higher", 1 - jitter, 1 + jitter)
     )
-    sized = images.withColumn("_aspect", aspect).withColumn("_scale", rand("scale", 0.25, 2.0))
-    narrow = F.col("_aspect") < 1
-    sized = sized.withColumn(
-        "nh", F.when(narrow, truncate(F.col("_scale") * high))
-    ).withColumn("nw", F.when(narrow, truncate(F.col("nh") * F.col("_aspect"))).otherwise(
-        truncate(F.col("_scale") * wide)
-    )).withColumn("nh", F.coalesce("nh", truncate(F.col("nw") / F.col("_aspect"))))
-    return sized.withColumns(
-        {
-            "dx": truncate(rand("across") * (wide - F.col("nw"))),
-            "dy": truncate(rand("down") * (high - F.col("nh"))),
-            "flip": rand("flip") < 0.5,
-        }
-    ).drop("_aspect", "_scale")
+    drawn = images.withColumns({"_aspect": aspect, "_scale": rand("scale", 0.25, 2.0)})
+    narrow, ratio = F.col("_aspect") < 1, F.col("_aspect")
+    whole_w, whole_h = truncate(F.col("_scale") * wide), truncate(F.col("_scale") * high)
+    nw = F.when(narrow, truncate(whole_h * ratio)).otherwise(whole_w)
+    nh = F.when(narrow, whole_h).otherwise(truncate(whole_w / ratio))
+    place = F.struct(
+        nw.alias("nw"),
+        nh.alias("nh"),
+        truncate(rand("across") * (wide - nw)).alias("dx"),
+        truncate(rand("down") * (high - nh)).alias("dy"),
+        (rand("flip") < 0.5).alias("flip"),
+    )
+    # inline keeps later filters on the moved boxes from repeating the draws
+    return drawn.select(*images.columns, F.inline(F.array(place)))
 
 
 def augment(

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brindle.functions.text import tokenize
+from brindle.functions.text import token_counts, tokenize
 from brindle.session import materialize
 
 # Tokens in more vectors than this are joined in cells of about this many rows per side.
@@ -48,13 +48,11 @@ def biggest_record(records: DataFrame) -> DataFrame:
 
 
 def term_frequency(records: DataFrame) -> DataFrame:
-    """`id, token, tf` where tf is the share of the record's tokens. Ids must be unique."""
-    return (
-        records.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-        .groupBy("id", "n", "token")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .select("id", "token", (F.col("c") / F.col("n")).alias("tf"))
+    """`id, token, tf` where tf is the share of the record's tokens; no shuffle."""
+    counted = records.select(
+        "id", F.size("tokens").alias("n"), F.inline(token_counts(F.col("tokens")))
     )
+    return counted.select("id", "token", (F.col("c") / F.col("n")).alias("tf"))
 
 
 def inverse_document_frequency(records: DataFrame) -> DataFrame:
@@ -127,29 +125,30 @@ class LinkageIndex:
 
 def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
     """Index of two token tables. Ids must be unique within a side."""
-    both = (
-        a.select(F.lit("a").alias("side"), "id", "tokens")
-        .unionByName(b.select(F.lit("b").alias("side"), "id", "tokens"))
-        .withColumn("content", F.sha2(F.concat_ws(" ", "tokens"), 256))
+    both = a.select(F.lit("a").alias("side"), "id", "tokens").unionByName(
+        b.select(F.lit("b").alias("side"), "id", "tokens")
     )
-    vectors = both.groupBy("side", "content").agg(
-        F.min("id").alias("vid"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens")
+    keyed = materialize(
+        both.select(
+            "side",
+            "id",
+            F.unhex(F.sha2(F.concat_ws(" ", "tokens"), 256)).alias("content"),
+            F.size("tokens").alias("n"),
+            token_counts(F.col("tokens")).alias("counts"),
+        ),
+        "records",
     )
-    vectors = materialize(vectors, "vectors")
-    members = both.select("side", "id", "content").join(
-        vectors.select("side", "content", "vid"), ["side", "content"]
+    contents = keyed.groupBy("side", "content").agg(
+        F.min("id").alias("vid"), F.count(F.lit(1)).alias("copies")
     )
-    counts = (
-        vectors.select(
-            "side", "vid", "copies", F.size("tokens").alias("n"), F.explode("tokens").alias("token")
-        )
-        .groupBy("side", "vid", "copies", "n", "token")
-        .agg(F.count(F.lit(1)).alias("c"))
+    records = keyed.join(contents, ["side", "content"])
+    counts = records.where(F.col("id") == F.col("vid")).select(
+        "side", "vid", "copies", "n", F.inline("counts")
     )
     frequency = counts.groupBy("token").agg(
         F.sum("copies").alias("df"), F.count(F.lit(1)).alias("spread")
     )
-    total = both.agg(F.countDistinct("id")).scalar()
+    total = keyed.agg(F.countDistinct("id")).scalar()
     weighted = counts.join(frequency, "token").withColumn(
         "weight", F.col("c") / F.col("n") * (total / F.col("df"))
     )
@@ -165,7 +164,7 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
         .select("side", "vid", "copies", "token", "spread", "unit", "held")
     )
     return LinkageIndex(
-        materialize(members.select("side", "id", "vid"), "members"),
+        materialize(records.select("side", "id", "vid"), "members"),
         materialize(postings, "postings"),
     )
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from brindle.functions.arrays import array_std, fold_block, fold_period, rescale
 from brindle.functions.color import polar_rgb
@@ -38,25 +39,33 @@ def pca(df: DataFrame, column: str, k: int = 2) -> Pca:
     return Pca(m.mean, m.covariance, top, values[order])
 
 
-def project(array: Column, components: np.ndarray) -> Column:
-    """Product of an array column with a matrix, uncentred; one matrix product per Arrow batch."""
+def scores(
+    df: DataFrame, column: str, model: Pca, keep: Sequence[str] = ("x", "y"), name: str = "scores"
+) -> DataFrame:
+    """The columns `keep` and the product of every array with the components, uncentred.
+
+    One matrix product per Arrow batch; a null array gives null scores.
+    """
+    components = model.components
     d, k = components.shape
+    source = df.select(*keep, F.col(column).cast("array<double>"))
+    schema = StructType([*source.schema.fields[:-1], StructField(name, ArrayType(DoubleType()))])
 
-    @F.arrow_udf("array<double>")
-    def product(batch: pa.Array) -> pa.Array:
-        present = batch.drop_null()
-        values = present.flatten().to_numpy(zero_copy_only=False).reshape(-1, d) @ components
-        ends = np.cumsum(np.where(batch.is_valid().to_numpy(zero_copy_only=False), k, 0))
-        offsets = np.concatenate([[0], ends]).astype(np.int32)
+    def product(arrays: pa.Array) -> pa.Array:
+        present = arrays.is_valid().to_numpy(zero_copy_only=False)
+        values = arrays.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+        ends = np.concatenate([[0], np.cumsum(np.where(present, k, 0))])
         return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(values.reshape(-1)), mask=batch.is_null()
+            pa.array(ends, pa.int32()), pa.array((values @ components).reshape(-1)), mask=pa.array(~present)
         )
 
-    return product(array)
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], product(batch.columns[-1])], schema.fieldNames()
+            )
 
-def scores(df: DataFrame, column: str, model: Pca, name: str = "scores") -> DataFrame:
-    return df.withColumn(name, project(F.col(column), model.components))
+    return source.mapInArrow(run, schema)
 
 
 def element_means(df: DataFrame, column: str, d: int) -> DataFrame:

@@ -125,23 +125,20 @@ def parse_relative_xml(
         _captures("label").alias("codes"),
         _captures("labelname").alias("names"),
     )
-    n = F.size("names")
-
-    def at(column: str, i: Column, size: str) -> Column:
-        return F.get(column, i).cast("double") * F.col(size)
-
-    boxes = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(
-            at("xs", i * 2, "x_size").alias("xmin"),
-            at("ys", i * 2, "y_size").alias("ymin"),
-            at("xs", i * 2 + 1, "x_size").alias("xmax"),
-            at("ys", i * 2 + 1, "y_size").alias("ymax"),
-            F.get("names", i).alias("label"),
-            F.get("codes", i).alias("code"),
-        ),
+    each = found.select("*", F.posexplode("names").alias("_i", "_name"))
+
+    def at(column: str, upper: int, size: str) -> Column:
+        return F.get(column, F.col("_i") * 2 + upper).cast("double") * F.col(size)
+
+    return each.select(
+        *keep,
+        at("xs", 0, "x_size").alias("xmin"),
+        at("ys", 0, "y_size").alias("ymin"),
+        at("xs", 1, "x_size").alias("xmax"),
+        at("ys", 1, "y_size").alias("ymax"),
+        F.col("_name").alias("label"),
+        F.get("codes", F.col("_i")).alias("code"),
     )
-    return found.where(n > 0).select(*keep, F.inline(boxes))
 
 
 def parse_training_lines(lines: DataFrame) -> DataFrame:
