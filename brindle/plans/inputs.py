@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy per row; a scan in few splits is spread."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 # --- access log lines, from events -------------------------------------------------------------
 
 
@@ -28,7 +33,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.when(code == "304", "-").otherwise(F.floor(F.col("value") * 100).cast("string"))
     quote = F.when(F.col("props") == '{"k": 13}', "").otherwise('"')
     time = F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
-    return table(spark, sf_dir, "events").select(
+    source = spread_table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value", "props")
+    return source.select(
         F.concat(
             F.format_string("u%d.example.com - - [", "user_id"),
             time,
@@ -64,10 +70,9 @@ logs as (select * from all_logs where ok)
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`side, id, text`: the sources numbered below 10 are catalogue a, the others b."""
     number = F.expr("cast(substring(source, 4) as int)")
-    return spread(
-        table(spark, sf_dir, "documents").select(
-            F.when(number < 10, "a").otherwise("b").alias("side"), F.col("doc_id").alias("id"), "text"
-        )
+    source = spread_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return source.select(
+        F.when(number < 10, "a").otherwise("b").alias("side"), F.col("doc_id").alias("id"), "text"
     )
 
 
@@ -86,7 +91,7 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quoted catalogue lines with a header; short texts are written without quotes."""
     clean = F.regexp_replace("text", '["\r\n]', " ")
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
     good = F.concat(
         F.lit('"'), F.col("doc_id").cast("string"), F.lit('","'), clean, F.lit('","'), F.col("lang"),
         F.lit('","'), F.col("source"), F.lit('","'), F.col("n_chars").cast("string"), F.lit('"'),
@@ -238,7 +243,11 @@ def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes of images made of eight orders each; exact copies occur."""
     number = F.expr("l_orderkey div 8")
     x0, y0 = (F.col("l_partkey") % 300).cast("double"), (F.col("l_suppkey") % 200).cast("double")
-    return table(spark, sf_dir, "lineitem").select(
+    source = spread_table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        "l_quantity", "l_discount", "l_returnflag",
+    )
+    return source.select(
         F.format_string("img%d.jpg", number).alias("image"),
         x0.alias("xmin"),
         y0.alias("ymin"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators import ratings as ops
 from brindle.operators.grouping import hash_split
-from brindle.plans.inputs import RATINGS_SQL, ratings, table, titles, unit_sql, with_sql
+from brindle.plans.inputs import RATINGS_SQL, ratings, spread_table, table, titles, unit_sql, with_sql
 from brindle.sources.records import parse_ratings, parse_titles
 from brindle.sources.text import literal_table
 
@@ -32,7 +32,8 @@ def _part(spark, sf_dir, split):
 
 
 def _ingest(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
+    source = spread_table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_orderkey")
+    lines = source.select(
         F.concat_ws(
             "::",
             F.col("l_suppkey").cast("string"),

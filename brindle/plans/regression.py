@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators import regression as ops
 from brindle.operators.grouping import hash_split
-from brindle.plans.inputs import POINTS_SQL, SPLIT_SEED, SPLIT_WEIGHTS, points, table, with_sql
+from brindle.plans.inputs import POINTS_SQL, SPLIT_SEED, SPLIT_WEIGHTS, points, with_sql
+from brindle.session import spread
 from brindle.sources.records import parse_points
 from brindle.sources.text import literal_table
 
@@ -23,7 +24,7 @@ def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest(spark, sf_dir):
-    lines = points(spark, sf_dir).select(
+    lines = spread(points(spark, sf_dir)).select(
         F.concat_ws(",", F.col("label").cast("string"), F.array_join(
             F.transform("features", lambda v: v.cast("string")), ","
         )).alias("value")
