@@ -50,16 +50,17 @@ def biggest_record(records: DataFrame) -> DataFrame:
 def term_frequency(records: DataFrame) -> DataFrame:
     """`id, token, tf` where tf is the share of the record's tokens; no shuffle."""
     counted = records.select(
-        "id", F.size("tokens").alias("n"), F.inline(token_counts(F.col("tokens")))
+        "id", F.size("tokens").alias("n"), F.inline_outer(token_counts(F.col("tokens")))
     )
-    return counted.select("id", "token", (F.col("c") / F.col("n")).alias("tf"))
+    return counted.where(F.col("token").isNotNull()).select("id", "token", (F.col("c") / F.col("n")).alias("tf"))
 
 
 def inverse_document_frequency(records: DataFrame) -> DataFrame:
     """`token, idf` with idf = number of distinct ids / records holding the token."""
     total = records.agg(F.countDistinct("id")).scalar()
     return (
-        records.select(F.explode(F.array_distinct("tokens")).alias("token"))
+        records.select(F.explode_outer(F.array_distinct("tokens")).alias("token"))
+        .where(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("df"))
         .select("token", (total / F.col("df")).alias("idf"))

@@ -48,7 +48,7 @@ def scores(
     """
     components = model.components
     d, k = components.shape
-    source = df.select(*keep, F.col(column).cast("array<double>"))
+    source = df.select(*keep, F.col(column).cast("array<double>").alias("_vector"))
     schema = StructType([*source.schema.fields[:-1], StructField(name, ArrayType(DoubleType()))])
 
     def product(arrays: pa.Array) -> pa.Array:

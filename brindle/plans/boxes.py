@@ -17,6 +17,7 @@ from brindle.plans.inputs import (
     unit_sql,
     with_sql,
 )
+from brindle.session import materialize
 from brindle.sources import annotations
 from brindle.sources.text import literal_table
 
@@ -24,11 +25,20 @@ INPUT = (416, 416)
 CLUSTERS, ROUNDS, SEED = 6, 12, 0
 
 
+def written_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct boxes, written once for operators that look at them twice."""
+    return materialize(boxes(spark, sf_dir), "boxes")
+
+
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct boxes with a class code by first appearance."""
-    distinct = boxes(spark, sf_dir)
-    codes = ops.written_codes(ops.class_codes(distinct, ["image", *BOX_ORDER]))
-    return ops.encode(distinct, codes)
+    codes = ops.written_codes(ops.class_codes(raw_boxes(spark, sf_dir), ["image", *BOX_ORDER]))
+    return ops.encode(boxes(spark, sf_dir), codes)
+
+
+def _rounded_lines(spark, sf_dir):
+    written = materialize(ops.rounded(encoded(spark, sf_dir)), "encoded-boxes")
+    return ops.training_lines(written, BOX_ORDER, "/data")
 
 
 def _codes(spark, sf_dir):
@@ -36,17 +46,16 @@ def _codes(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    found = ops.training_lines(ops.rounded(encoded(spark, sf_dir)), BOX_ORDER, "/data")
-    return found.select("image", "line")
+    return _rounded_lines(spark, sf_dir).select("image", "line")
 
 
 def _line_parse(spark, sf_dir):
-    lines = ops.training_lines(ops.rounded(encoded(spark, sf_dir)), BOX_ORDER, "/data")
-    return annotations.parse_training_lines(lines.select(F.col("line").alias("value")))
+    lines = _rounded_lines(spark, sf_dir).select(F.col("line").alias("value"))
+    return annotations.parse_training_lines(lines)
 
 
 def _prediction_lines(spark, sf_dir):
-    return ops.prediction_lines(boxes(spark, sf_dir), BOX_ORDER).select("image", "line")
+    return ops.prediction_lines(written_boxes(spark, sf_dir), BOX_ORDER).select("image", "line")
 
 
 def _central(spark, sf_dir):
@@ -55,7 +64,7 @@ def _central(spark, sf_dir):
 
 
 def _crops(spark, sf_dir):
-    complete = ops.drop_incomplete(boxes(spark, sf_dir))
+    complete = ops.drop_incomplete(written_boxes(spark, sf_dir))
     return ops.crop_names(complete, BOX_ORDER).select("image", "crop")
 
 

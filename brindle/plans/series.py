@@ -14,7 +14,7 @@ SPREAD = 0.1245
 
 def _cells(df: DataFrame, digits: int = 6) -> DataFrame:
     """`x, y, i, v` with the elements of `ts` as rows."""
-    long = df.select("x", "y", F.posexplode("ts").alias("i", "v"))
+    long = df.select("x", "y", F.posexplode_outer("ts").alias("i", "v")).where("i is not null")
     return long.select("x", "y", F.col("i").cast("long").alias("i"), F.round("v", digits).alias("v"))
 
 

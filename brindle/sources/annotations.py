@@ -2,6 +2,9 @@
 
 The `parse_*` functions work on a table with one document or line per row in `value`, so that a
 folder of many small files, read with `wholetext`, or a table of documents is parsed in parallel.
+
+Lists are exploded with `explode_outer` and the empty ones dropped afterwards: for the plain form
+Spark infers a filter on the list and parses every document once more to evaluate it.
 """
 
 from __future__ import annotations
@@ -52,7 +55,8 @@ def parse_assets(documents: DataFrame) -> DataFrame:
     """Annotation assets: one row per region, the corners from left, top, width and height."""
     return (
         documents.select(F.from_json("value", ASSET_SCHEMA).alias("d"))
-        .select("d.asset", F.explode("d.regions").alias("region"))
+        .select("d.asset", F.explode_outer("d.regions").alias("region"))
+        .where(F.col("region").isNotNull())
         .withColumn("box", F.col("region.boundingBox"))
         .select(
             F.col("asset.name").alias("image"),
@@ -71,7 +75,8 @@ def parse_assets(documents: DataFrame) -> DataFrame:
 def parse_coco(documents: DataFrame, folder: str) -> DataFrame:
     """Documents with an `annotations` array: whole-number corners and consecutive class codes."""
     return (
-        documents.select(F.explode(F.from_json("value", COCO_SCHEMA)["annotations"]).alias("a"))
+        documents.select(F.explode_outer(F.from_json("value", COCO_SCHEMA)["annotations"]).alias("a"))
+        .where(F.col("a").isNotNull())
         .select("a.*")
         .select(
             numbered_name(folder, F.col("image_id")).alias("image"),
@@ -96,7 +101,7 @@ def parse_voc(documents: DataFrame, classes: Sequence[str], keep: Sequence[str]
     """XML documents: objects of known classes that are not difficult, with the class index."""
     codes = F.create_map(*[F.lit(v) for i, c in enumerate(classes) for v in (c, i)])
     return (
-        documents.select(*keep, F.explode(F.from_xml("value", VOC_SCHEMA)["object"]).alias("o"))
+        documents.select(*keep, F.explode_outer(F.from_xml("value", VOC_SCHEMA)["object"]).alias("o"))
         .where(F.col("o.name").isin(*classes) & (F.col("o.difficult") != 1))
         .select(*keep, "o.bndbox.*", F.element_at(codes, F.col("o.name")).alias("code"))
     )
@@ -125,7 +130,7 @@ def parse_relative_xml(
         _captures("label").alias("codes"),
         _captures("labelname").alias("names"),
     )
-    each = found.select("*", F.posexplode("names").alias("_i", "_name"))
+    each = found.select("*", F.posexplode_outer("names").alias("_i", "_name")).where("_name is not null")
 
     def at(column: str, upper: int, size: str) -> Column:
         return F.get(column, F.col("_i") * 2 + upper).cast("double") * F.col(size)
@@ -146,7 +151,11 @@ def parse_training_lines(lines: DataFrame) -> DataFrame:
     parts = F.split(F.trim("value"), " ")
     return (
         lines.select(parts.alias("p"))
-        .select(F.col("p")[0].alias("image"), F.explode(F.slice("p", F.lit(2), F.size("p") - 1)).alias("b"))
+        .select(
+            F.col("p")[0].alias("image"),
+            F.explode_outer(F.slice("p", F.lit(2), F.size("p") - 1)).alias("b"),
+        )
+        .where(F.col("b").isNotNull())
         .select("image", F.split("b", ",").alias("v"))
         .select(
             "image",
