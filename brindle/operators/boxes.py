@@ -14,6 +14,9 @@ from brindle.functions.text import basename
 from brindle.operators.grouping import HOT_ROWS, chunk_groups, global_index, group_index
 from brindle.session import materialize
 
+# An image with more boxes than this is written as several lines.
+LINE_BOXES = 100_000
+
 
 def dedupe(boxes: DataFrame) -> DataFrame:
     return boxes.dropDuplicates()
@@ -48,7 +51,7 @@ def image_lines(
     text: Column,
     order: Sequence[str],
     name: str = "line",
-    max_boxes: int = HOT_ROWS,
+    max_boxes: int = LINE_BOXES,
 ) -> DataFrame:
     """`image, chunk, line`: the texts of an image's boxes behind its name.
 
@@ -65,7 +68,7 @@ def image_lines(
 
 
 def training_lines(
-    boxes: DataFrame, order: Sequence[str], folder: str = "", max_boxes: int = HOT_ROWS
+    boxes: DataFrame, order: Sequence[str], folder: str = "", max_boxes: int = LINE_BOXES
 ) -> DataFrame:
     """`path xmin,ymin,xmax,ymax,code ...` per image, from rounded and encoded boxes."""
     prefix = folder if not folder or folder.endswith("/") else folder + "/"
@@ -74,7 +77,7 @@ def training_lines(
     return image_lines(boxes, name, text, order, max_boxes=max_boxes)
 
 
-def prediction_lines(boxes: DataFrame, order: Sequence[str], max_boxes: int = HOT_ROWS) -> DataFrame:
+def prediction_lines(boxes: DataFrame, order: Sequence[str], max_boxes: int = LINE_BOXES) -> DataFrame:
     """`image xmin,ymin,xmax,ymax,label,score ...` per image."""
     text = box_text(*[F.col(c) for c in (*CORNERS, "label", "confidence")])
     return image_lines(boxes, F.col("image"), text, order, max_boxes=max_boxes)
@@ -98,7 +101,7 @@ def crop_names(
     order: Sequence[str],
     postfix: str = "cropped",
     labels: dict[int, str] | None = None,
-    max_boxes: int = HOT_ROWS,
+    max_boxes: int = LINE_BOXES,
 ) -> DataFrame:
     """Add `crop`: image name, postfix, label and running number of the box inside its image."""
     label = F.col("label").cast("string")

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.session import materialize
 
-# A group of more rows than this is never handed to a single task.
+# A group of more rows than this is never handed to a single task. Joins against the few rows kept
+# per hot group go through a written table: it is broadcast when small, and otherwise adaptive
+# execution may split the hot side.
 HOT_ROWS = 1_000_000
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
@@ -85,7 +87,7 @@ def group_index(
     cold = df.join(hot, keys, "left_anti").withColumn(name, windowed)
     ranked = global_index(df.join(hot, keys, "left_semi"), [*keys, *order], "_rank")
     first = ranked.groupBy(*keys).agg(F.min("_rank").alias("_first"))
-    warm = ranked.join(first, keys).withColumn(name, F.col("_rank") - F.col("_first"))
+    warm = ranked.join(materialize(first, "group-starts"), keys).withColumn(name, F.col("_rank") - F.col("_first"))
     return cold.unionByName(warm.select(*df.columns, name))
 
 

@@ -68,10 +68,15 @@ def inverse_document_frequency(records: DataFrame) -> DataFrame:
 
 
 def tfidf(records: DataFrame, idf: DataFrame) -> DataFrame:
-    """`id, token, weight`."""
+    """`id, token, weight`.
+
+    The dictionary is written first: as a plain table its size is known, and when it is too large to
+    broadcast, adaptive execution can split the rows of a frequent token over tasks, which it does
+    not for a side that ends in an aggregation.
+    """
     return (
         term_frequency(records)
-        .join(idf, "token")
+        .join(materialize(idf, "idf"), "token")
         .select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
     )
 
@@ -139,10 +144,11 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
         ),
         "records",
     )
+    # sides of n:1 joins are written, see `tfidf`
     contents = keyed.groupBy("side", "content").agg(
         F.min("id").alias("vid"), F.count(F.lit(1)).alias("copies")
     )
-    records = keyed.join(contents, ["side", "content"])
+    records = keyed.join(materialize(contents, "contents"), ["side", "content"])
     counts = records.where(F.col("id") == F.col("vid")).select(
         "side", "vid", "copies", "n", F.inline("counts")
     )
@@ -150,7 +156,7 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
         F.sum("copies").alias("df"), F.count(F.lit(1)).alias("spread")
     )
     total = keyed.agg(F.countDistinct("id")).scalar()
-    weighted = counts.join(frequency, "token").withColumn(
+    weighted = counts.join(materialize(frequency, "frequency"), "token").withColumn(
         "weight", F.col("c") / F.col("n") * (total / F.col("df"))
     )
     vector = Window.partitionBy("side", "vid")
@@ -249,7 +255,7 @@ def score_pairs(index: LinkageIndex, pairs: DataFrame) -> DataFrame:
     """Cosine of given `id_a, id_b` pairs; 0 without a common token or with an unknown id."""
     mapped = _mapped(index, pairs.select("id_a", "id_b"))
     known = mapped.where("vid_a is not null and vid_b is not null")
-    scored = score_vectors(index, known.select("vid_a", "vid_b").distinct())
+    scored = materialize(score_vectors(index, known.select("vid_a", "vid_b").distinct()), "scores")
     return mapped.join(scored.select("vid_a", "vid_b", "n_common", "sim"), ["vid_a", "vid_b"], "left").select(
         "id_a",
         "id_b",

@@ -37,7 +37,7 @@ def count_by(logs: DataFrame, column: str) -> DataFrame:
 def code_fractions(logs: DataFrame) -> DataFrame:
     """Count and share per response code with the label of a pie slice."""
     counts = count_by(logs, "response_code")
-    share = F.col("n") / logs.agg(_n()).scalar()
+    share = F.col("n") / counts.agg(F.sum("n")).scalar()
     return counts.withColumn("fraction", share).withColumn(
         "label", percent_label(F.col("fraction") * 100)
     )

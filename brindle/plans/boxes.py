@@ -87,9 +87,9 @@ def _category(spark, sf_dir):
 
 def _iou(spark, sf_dir):
     """Overlap of every box with the most central box of its image."""
-    all_boxes = boxes(spark, sf_dir)
+    all_boxes = written_boxes(spark, sf_dir)
     central = ops.central_box(all_boxes, BOX_ORDER).select("image", F.struct(*CORNERS).alias("central"))
-    pairs = all_boxes.join(central, "image")
+    pairs = all_boxes.join(materialize(central, "central-boxes"), "image")
     overlap = iou(corners(), corners(F.col("central")))
     return pairs.select("image", *BOX_ORDER, F.round(overlap, 6).alias("iou"))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.session import spread
+from brindle.session import materialize, spread
 
 STOPWORDS = ["the", "and", "of", "to", "in", "a", "is", "that", "for", "on"]
 
@@ -85,7 +85,7 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("side", "id", F.md5("text").alias("content"))
     first = docs.where("side = 'a'").groupBy("content").agg(F.min("id").alias("id_a"))
     other = docs.where("side = 'b'").select("content", F.col("id").alias("id_b"))
-    return other.join(first, "content").select("id_a", "id_b")
+    return other.join(materialize(first, "first-texts"), "content").select("id_a", "id_b")
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from brindle.plans.inputs import (
     record_lines,
     with_sql,
 )
+from brindle.session import materialize
 from brindle.sources.records import parse_pairs, parse_records, status_counts, valid
 
 # Similarity from which pairs are listed and thresholds are rated.
@@ -68,6 +69,10 @@ def _common(spark, sf_dir):
     return found.select("vid_a", "vid_b", F.array_join("tokens", " ").alias("tokens"))
 
 
+def _scored(built, spark, sf_dir):
+    return materialize(ops.score_pairs(built, gold_pairs(spark, sf_dir)), "gold-scores")
+
+
 def _gold_scores(spark, sf_dir):
     scored = ops.score_pairs(index(spark, sf_dir), gold_pairs(spark, sf_dir))
     return scored.withColumn("sim", F.round("sim", 6))
@@ -80,13 +85,13 @@ def _dups(spark, sf_dir):
 
 def _nondups(spark, sf_dir):
     built = index(spark, sf_dir)
-    scored = ops.score_pairs(built, gold_pairs(spark, sf_dir))
+    scored = _scored(built, spark, sf_dir)
     return ops.other_average(built, scored).withColumn("avg_sim", F.round("avg_sim", 9))
 
 
 def _eval(spark, sf_dir):
     built = index(spark, sf_dir)
-    scored = ops.score_pairs(built, gold_pairs(spark, sf_dir).distinct())
+    scored = _scored(built, spark, sf_dir)
     rated = ops.evaluate(ops.similar_pairs(built, MIN_SIM), scored, MIN_SIM)
     return rated.select(
         F.round("threshold", 2).alias("threshold"), "tp", "fp", "fn",
@@ -114,7 +119,7 @@ QUERIES = {
     "er_ingest_status": (
         lambda spark, sf_dir: status_counts(parse_records(record_lines(spark, sf_dir))),
         "select count(*) + 1 as n_read, count(*) filter (where n_chars >= 10) as n_ok, "
-        "1 as n_header, count(*) filter (where n_chars < 10) as n_bad from documents",
+        "cast(1 as bigint) as n_header, count(*) filter (where n_chars < 10) as n_bad from documents",
     ),
     "er_gold_ingest": (
         _gold_ingest,
@@ -162,7 +167,9 @@ QUERIES = {
         ),
     ),
     "er_idf_histogram": (
-        lambda spark, sf_dir: ops.histogram(ops.inverse_document_frequency(tokens(spark, sf_dir)), "idf"),
+        lambda spark, sf_dir: ops.histogram(
+            materialize(ops.inverse_document_frequency(tokens(spark, sf_dir)), "idf"), "idf"
+        ),
         with_sql(
             WEIGHTS_SQL,
             query="select cast(least(floor((idf - lo) * 50 / (hi - lo)), 49) as bigint) as bin, "

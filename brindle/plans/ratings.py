@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brindle.operators import ratings as ops
 from brindle.operators.grouping import hash_split
 from brindle.plans.inputs import RATINGS_SQL, ratings, spread_table, table, titles, unit_sql, with_sql
+from brindle.session import materialize
 from brindle.sources.records import parse_ratings, parse_titles
 from brindle.sources.text import literal_table
 
@@ -27,8 +28,10 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_split(ops.average_pairs(ratings(spark, sf_dir)), ops.PAIR, SPLIT_WEIGHTS, SPLIT_SEED)
 
 
-def _part(spark, sf_dir, split):
-    return splits(spark, sf_dir).where(F.col("split") == split).drop("split")
+def written_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Training, validation and test ratings of a split written once."""
+    written = materialize(splits(spark, sf_dir), "rating-splits")
+    return [written.where(F.col("split") == i).drop("split") for i in range(len(SPLIT_WEIGHTS))]
 
 
 def _ingest(spark, sf_dir):
@@ -70,7 +73,7 @@ def _top(spark, sf_dir):
 def _rmse(spark, sf_dir):
     rated = ratings(spark, sf_dir)
     mean = ops.counts_and_averages(rated).select("item", F.col("avg_rating").alias("rating"))
-    predicted = rated.select(*ops.PAIR).join(mean, "item")
+    predicted = rated.select(*ops.PAIR).join(materialize(mean, "item-means"), "item")
     return ops.rating_error(predicted, rated).withColumn("rmse", F.round("rmse", 6))
 
 
@@ -91,27 +94,28 @@ def _split_counts(spark, sf_dir):
 
 
 def _als_predict(spark, sf_dir):
-    model = ops.train_als(_part(spark, sf_dir, 0), RANKS[0])
-    return ops.predict_pairs(model, _part(spark, sf_dir, 1))
+    train, validation, _ = written_parts(spark, sf_dir)
+    return ops.predict_pairs(ops.train_als(train, RANKS[0]), validation)
 
 
 def _rank_search(spark, sf_dir):
-    found = ops.rank_search(_part(spark, sf_dir, 0), _part(spark, sf_dir, 1), RANKS)
+    train, validation, _ = written_parts(spark, sf_dir)
+    found = ops.rank_search(train, validation, RANKS)
     best = ops.best_rank(found)
     rows = [(rank, float(error), rank == best) for rank, error, _ in found]
     return literal_table(spark, rows, "rank int, rmse double, best boolean")
 
 
 def _test_error(spark, sf_dir):
-    model = ops.train_als(_part(spark, sf_dir, 0), RANKS[-1])
-    test = _part(spark, sf_dir, 2)
+    train, _, test = written_parts(spark, sf_dir)
+    model = ops.train_als(train, RANKS[-1])
     return ops.rating_error(test, ops.predict_pairs(model, test))
 
 
 def _recommend(spark, sf_dir):
     rated = ratings(spark, sf_dir)
     return ops.recommend(
-        _part(spark, sf_dir, 0),
+        written_parts(spark, sf_dir)[0],
         new_ratings(spark),
         NEW_USER,
         titles(spark, sf_dir),

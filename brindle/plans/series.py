@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from brindle.operators import pca as ops
 from brindle.plans.inputs import SERIES_LENGTH, SERIES_PERIOD, SERIES_SQL, series, with_sql
@@ -170,8 +170,8 @@ QUERIES = {
         lambda spark, sf_dir: _cells(ops.folded(ops.rescaled(series(spark, sf_dir)), SERIES_PERIOD, "block")),
         _fold_sql(f"i // {SERIES_PERIOD}"),
     ),
-    "pca_mean": (_mean, _sql("select i, round(avg(v), 9) as mean from cells group by i")),
-    "pca_cov": (_cov, _sql("select i, j, round(cov, 9) as cov from cov", _COV)),
+    "pca_mean": (_mean, _sql("select cast(i as int) as i, round(avg(v), 9) as mean from cells group by 1")),
+    "pca_cov": (_cov, _sql("select cast(i as int) as i, cast(j as int) as j, round(cov, 9) as cov from cov", _COV)),
     "pca_eigen": (
         _eigen,
         _sql(
