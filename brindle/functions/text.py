@@ -54,8 +54,10 @@ def regex_groups(line: Column, pattern: str, groups: int) -> Column:
     group. The groups are told apart by the one character that no line holds.
     """
     joined = F.regexp_replace(line, "(?d)" + pattern, "\n".join(f"${i}" for i in range(1, groups + 1)))
-    split = F.split(joined, "\n", -1)
-    return F.when((F.size(split) == groups) & ~F.contains(line, F.lit("\n")), split)
+    one_line = ~F.contains(line, F.lit("\n"))
+    return let(
+        F.split(joined, "\n", -1), lambda found: F.when((F.size(found) == groups) & one_line, found)
+    )
 
 
 def basename(path: Column) -> Column:

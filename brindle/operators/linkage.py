@@ -159,7 +159,7 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
     weighted = counts.join(materialize(frequency, "frequency"), "token").withColumn(
         "weight", F.col("c") / F.col("n") * (total / F.col("df"))
     )
-    vector = Window.partitionBy("side", "vid")
+    vector = Window.partitionBy("vid", "side")  # the number first: it sorts by its bits
     frequent_first = vector.orderBy(F.desc("df"), "token").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -19,12 +19,18 @@ def write_class_names(codes: DataFrame, path: str) -> None:
     ).write.text(path)
 
 
-def write_table(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Parquet, or CSV with a header."""
+def write_table(df: DataFrame, path: str, kind: str = "parquet", by: Sequence[str] = ()) -> None:
+    """Parquet, or CSV with a header; `by` names the columns of the folder layout."""
+    writer = df.write.partitionBy(*by) if by else df.write
     if kind == "csv":
-        df.write.csv(path, header=True)
+        writer.csv(path, header=True)
     else:
-        df.write.parquet(path)
+        writer.parquet(path)
+
+
+def write_logs(logs: DataFrame, path: str) -> None:
+    """Parsed log records in folders by date, so that reports over some days read only these."""
+    write_table(logs.withColumn("date", F.to_date("date_time")), path, by=["date"])
 
 
 def anchors_line(anchors: Sequence[tuple[float, float]]) -> str:
