@@ -230,9 +230,11 @@ def similar_pairs(index: LinkageIndex, min_sim: float) -> DataFrame:
     """All pairs of distinct vectors with cosine `min_sim` or more.
 
     `vid_a, vid_b, copies_a, copies_b, n_common, sim`; a row stands for `copies_a * copies_b`
-    pairs of records, which `expand_pairs` lists.
+    pairs of records, which `expand_pairs` lists. Candidates are written first: when they are few,
+    Spark broadcasts them and leaves the postings of side a where they are.
     """
-    return score_vectors(index, candidate_pairs(index, min_sim)).where(F.col("sim") >= min_sim)
+    candidates = materialize(candidate_pairs(index, min_sim), "candidates")
+    return score_vectors(index, candidates).where(F.col("sim") >= min_sim)
 
 
 def expand_pairs(index: LinkageIndex, pairs: DataFrame) -> DataFrame:
