@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import exact, packing, token_counts
+from brindle.llm import exact, ngram_join, packing, pii, ppm, quality, token_counts
 from brindle.session import spread
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+PII_KEY = "corpus pseudonyms, first edition"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(documents(spark, sf_dir))
+
+
+def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
@@ -28,6 +40,10 @@ from documents window same as (partition by coalesce(text, ''))
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
@@ -36,8 +52,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), WORDS)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_ngram_join": (op1_ngram_join, None),
+    "op3_ppm": (op3_ppm, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op5_pii": (op5_pii, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
+    "op10_quality": (op10_quality, None),
 }
