@@ -55,11 +55,29 @@ def gram_codes(stream: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray
         yield begin, here != _BEFORE, codes[skip:]
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes = np.concatenate([np.zeros(0, np.uint64), *(c for c, _ in parts)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
-    found, place = np.unique(codes, return_inverse=True)
-    return found, np.bincount(place, counts, len(found)).astype(np.int64)
+class Counts:
+    """Distinct codes with their counts, merged whenever what was added outgrows what is held."""
+
+    def __init__(self):
+        self.codes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.added, self.size = [], 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.added.append((codes, counts))
+        self.size += len(codes)
+        if self.size > max(len(self.codes), 1 << 19):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        codes = np.concatenate([self.codes, *(c for c, _ in self.added)])
+        counts = np.concatenate([self.counts, *(n for _, n in self.added)])
+        self.added, self.size = [], 0
+        by = np.argsort(codes, kind="stable")
+        codes, counts = codes[by], counts[by]
+        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else by
+        self.codes = codes[first]
+        self.counts = np.add.reduceat(counts, first) if len(first) else counts
+        return self.codes, self.counts
 
 
 class Lookup:
@@ -104,24 +122,25 @@ def block_counts(docs: DataFrame, order: int, buckets: int) -> DataFrame:
     often its training texts hold them, cut into buckets by a hash of the code."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts: dict[int, list] = {_GRAM: [], _WORD: []}
-        for texts in slices(iter(table.combine_chunks().to_batches())):
+        held = {_GRAM: Counts(), _WORD: Counts()}
+        for texts in slices(iter(table.to_batches())):
             learn = ~np.asarray(texts.rows.column("held_out").to_pylist(), bool)
             stream, begins, hashes, bounds = symbols(texts, order)
             own = np.repeat(learn, np.diff(begins))
             for begin, real, codes in gram_codes(stream, order):
                 mine = own[begin : begin + len(codes)]
                 found, n = np.unique(codes[real & mine], return_counts=True)
-                parts[_GRAM] += [(found, n)]
+                held[_GRAM].add(found, n)
                 other = np.unique(codes[real & ~mine])
-                parts[_GRAM] += [(other, np.zeros(len(other), np.int64))]
+                held[_GRAM].add(other, np.zeros(len(other), np.int64))
             own = np.repeat(learn, np.diff(bounds))
             found, n = np.unique(hashes[own], return_counts=True)
             other = np.unique(hashes[~own])
-            parts[_WORD] += [(found, n), (other, np.zeros(len(other), np.int64))]
+            held[_WORD].add(found, n)
+            held[_WORD].add(other, np.zeros(len(other), np.int64))
         rows = []
-        for kind, own_parts in parts.items():
-            codes, counts = _merged(own_parts)
+        for kind, own in held.items():
+            codes, counts = own.merge()
             bucket = (codes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(buckets)
             by = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
@@ -152,9 +171,10 @@ def total_counts(held: DataFrame) -> DataFrame:
     """`kind, bucket, code, n`: training counts over all blocks; codes only held out have 0."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        codes, counts = _merged(
-            list(zip(_arrays(table["codes"], "<u8"), _arrays(table["counts"], "<i8"), strict=True))
-        )
+        total = Counts()
+        for codes, counts in zip(_arrays(table["codes"], "<u8"), _arrays(table["counts"], "<i8"), strict=True):
+            total.add(codes, counts)
+        codes, counts = total.merge()
         n = len(codes)
         return pa.table(
             {
@@ -247,7 +267,7 @@ def block_prices(held: DataFrame, prices: DataFrame) -> DataFrame:
     return pairs.applyInArrow(run, "block long, kind int, codes binary, values binary")
 
 
-def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 64 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 48 << 20) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row of
     `docs(doc_id, text, ...)`.
 
@@ -293,7 +313,7 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 64 << 20) ->
         grams, gram_value = tables[_GRAM]
         known, word_count = tables[_WORD]
         out = []
-        for texts in slices(iter(table.combine_chunks().to_batches())):
+        for texts in slices(iter(table.to_batches())):
             stream, begins, hashes, bounds = symbols(texts, order)
             each = np.zeros(len(stream))
             for begin, real, codes in gram_codes(stream, order):
