@@ -9,7 +9,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brindle.llm.texts import Texts, find_words, lower_ascii, slices, window_hashes, word_hashes
+from brindle.llm.texts import (
+    Texts,
+    find_words,
+    line_spans,
+    lower_ascii,
+    per_text,
+    ranked,
+    slices,
+    window_hashes,
+    word_hashes,
+)
 from brindle.session import materialize
 
 MEASURES = (
@@ -43,23 +53,6 @@ _CLASS[[ord(c) for c in ".;:"], 5] = 1
 _CLASS[ord(","), 6] = 1
 
 
-def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of the flags of each text."""
-    total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
-def _distinct(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of each owner, and how many of its rows hold a value it holds again."""
-    by = np.lexsort((values, owner))
-    values, owner = values[by], owner[by]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    single = new.copy()
-    single[:-1] &= new[1:]
-    return np.bincount(owner[new], minlength=n), np.bincount(owner[~single], minlength=n)
-
-
 def measure(texts: Texts) -> np.ndarray:
     """One row of `MEASURES` per text, from its bytes, words and lines; an empty text has zeros."""
     data, offsets = texts.data, texts.offsets
@@ -69,23 +62,22 @@ def measure(texts: Texts) -> np.ndarray:
     hashes = word_hashes(lower_ascii(data), words)
     length = words.ends - words.starts
     owner = np.repeat(np.arange(n), count)
-    classes = [_per_text(_CLASS[:, k][data], offsets) for k in range(_CLASS.shape[1])]
-    high = _per_text(data >= 0x80, offsets)
-    distinct, _ = _distinct(hashes, owner, n)
+    classes = [per_text(_CLASS[:, k][data], offsets) for k in range(_CLASS.shape[1])]
+    high = per_text(data >= 0x80, offsets)
+    later, _ = ranked(hashes, owner)
+    distinct = count - np.bincount(owner[later], minlength=n)
     runs, run_bounds = window_hashes(hashes, words.offsets, 3)
-    _, again = _distinct(runs, np.repeat(np.arange(n), np.diff(run_bounds)), n)
+    run_owner = np.repeat(np.arange(n), np.diff(run_bounds))
+    again = np.bincount(run_owner[ranked(runs, run_owner)[1]], minlength=n)
     same = np.zeros(len(hashes), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
 
-    breaks = data == 0x0A
-    lines = _per_text(breaks, offsets) + 1
-    # a line is the sum of its words, told apart by their order
-    line_of_word = np.concatenate(([0], np.cumsum(breaks)))[words.starts] + owner
-    starts = np.flatnonzero(np.r_[True, line_of_word[1:] != line_of_word[:-1]]) if len(hashes) else np.zeros(0, int)
-    place = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.r_[starts, len(hashes)]))
-    line_hash = np.add.reduceat(hashes * (2 * place + 1).astype(np.uint64), starts) if len(starts) else hashes
-    distinct_lines, _ = _distinct(line_hash, owner[starts] if len(starts) else owner, n)
-    filled = np.bincount(owner[starts], minlength=n) if len(starts) else np.zeros(n, int)
+    lines = line_spans(data, offsets)
+    filled = np.searchsorted(words.starts, lines.ends) > np.searchsorted(words.starts, lines.starts)
+    line_owner = np.repeat(np.arange(n), np.diff(lines.offsets))[filled]
+    line_hash = word_hashes(data, lines)[filled]
+    dup_lines = np.bincount(line_owner[ranked(line_hash, line_owner)[0]], minlength=n)
+    filled = np.bincount(line_owner, minlength=n)
 
     some, bytes_ = np.maximum(count, 1), np.maximum(size, 1)
     columns = [
@@ -96,11 +88,11 @@ def measure(texts: Texts) -> np.ndarray:
         np.bincount(owner, length <= 3, n) / some,
         *(classes[k] / bytes_ for k in range(7)),
         high / bytes_,
-        size / lines,
+        size / np.diff(lines.offsets),
         distinct / some,
         again / np.maximum(np.diff(run_bounds), 1),
         np.bincount(owner, same, n) / some,
-        (filled - distinct_lines) / np.maximum(filled, 1),
+        dup_lines / np.maximum(filled, 1),
     ]
     return np.stack(columns, 1)
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.llm import exact, ngram_join, packing, pii, ppm, quality, token_counts
+from brindle.llm import exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts
 from brindle.session import spread
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,42 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_links(documents(spark, sf_dir))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def _canonical_sql(text: str) -> str:
+    """SQL for the canonical lines of a text."""
+    line = licenses.COPYRIGHT_LINE.replace("'", "''")
+    sql = f"replace(replace(lower(coalesce({text}, '')), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    sql = f"regexp_replace(regexp_replace(chr(10) || {sql}, '{line}', chr(10), 'g'), '{licenses.NO_WORD}', ' ', 'g')"
+    for spelling, standard in licenses.SPELLINGS:
+        sql = f"replace({sql}, '{spelling}', '{standard}')"
+    return sql
+
+
+def _digest_sql(canonical: str) -> str:
+    return f"sha256(trim(regexp_replace({canonical}, '[ \n]+', ' ', 'g')))"
+
+
+_KNOWN_SQL = ", ".join("({}, {})".format(*("'" + v.replace("'", "''") + "'" for v in row)) for row in licenses.KNOWN)
+OP2_SQL = f"""
+with known as (
+    select {_digest_sql(_canonical_sql("t"))} as digest, min(id) as license_id
+    from (values {_KNOWN_SQL}) as k(id, t) group by 1
+), docs as (select doc_id, {_canonical_sql("text")} as lines from documents),
+lines as (select doc_id, unnest(string_split(lines, chr(10))) as line from docs),
+found as (
+    select doc_id, string_agg(distinct license_id, ',' order by license_id) as line_licenses
+    from lines join known on {_digest_sql("line")} = known.digest
+    where contains(line, 'license') group by doc_id
+)
+select doc_id, {_digest_sql("lines")} as text_digest, known.license_id,
+       coalesce(line_licenses, '') as line_licenses
+from docs left join known on {_digest_sql("lines")} = known.digest left join found using (doc_id)
+"""
+
+
 def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_texts(documents(spark, sf_dir))
 
@@ -44,6 +80,22 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
 
 
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return line_rules.rate_documents(docs, line_rules.fit_lines(docs, labels(spark, sf_dir)))
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every text, and whether decoding gives the text back."""
+    rows = pieces.decode(pieces.encode_sampled(documents(spark, sf_dir), PIECES), PIECES)
+    return rows.select(
+        "doc_id",
+        F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
@@ -58,9 +110,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": (op1_ngram_join, None),
+    "op2_licenses": (op2_licenses, OP2_SQL),
     "op3_ppm": (op3_ppm, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_pii": (op5_pii, None),
+    "op6_line_rules": (op6_line_rules, None),
+    "op7_pieces": (op7_pieces, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
     "op10_quality": (op10_quality, None),

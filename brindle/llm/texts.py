@@ -42,8 +42,10 @@ class Words(NamedTuple):
     offsets: np.ndarray
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[Texts]:
-    """Consecutive rows of at most `SLICE_BYTES` of text, or a single longer one. Null counts as empty."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[Texts]:
+    """Consecutive rows of at most `most` bytes of text, or a single longer one. Null counts as empty."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
         text = batch.column(at)
@@ -56,7 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         data = np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, np.uint8)
         begin = 0
         while begin < len(text):
-            end = int(np.searchsorted(offsets, offsets[begin] + SLICE_BYTES, side="right")) - 1
+            end = int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1
             end = min(max(end, begin + 1), len(text))
             yield Texts(
                 batch.slice(begin, end - begin),
@@ -88,6 +90,14 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets))
 
 
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Lines of each text, cut at `\\n`; a text of `k` breaks has `k + 1`."""
+    breaks = np.flatnonzero(data == 0x0A)
+    starts = np.sort(np.concatenate((offsets[:-1], breaks + 1)), kind="stable")
+    ends = np.sort(np.concatenate((offsets[1:], breaks)), kind="stable")
+    return Words(starts, ends, np.arange(len(offsets)) + np.searchsorted(breaks, offsets))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -143,3 +153,23 @@ def window_hashes(hashes: np.ndarray, offsets: np.ndarray, width: int) -> tuple[
         else:
             total[here] = total[here] * np.uint64(_BASE) + hashes[first[here] + i]
     return mix(total + length.astype(np.uint64)), bounds
+
+
+def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the flags of each text."""
+    total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def ranked(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For hashes in order, each of one owner: which are not the first of their kind there, and which
+    are there twice or more."""
+    key = mix(hashes + (owner.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE))
+    by = np.argsort(key, kind="stable")
+    again = np.zeros(len(key), bool)
+    again[1:] = key[by[1:]] == key[by[:-1]]
+    twice = again.copy()
+    twice[:-1] |= again[1:]
+    later, repeated = np.empty(len(key), bool), np.empty(len(key), bool)
+    later[by], repeated[by] = again, twice
+    return later, repeated
