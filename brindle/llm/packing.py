@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import itertools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -11,20 +13,53 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.texts import slices
+from brindle.llm.texts import Texts, Words, find_words, lower_ascii, slices, word_hashes
 from brindle.session import materialize
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
 
+_SLICE_BYTES = 16 << 20
+_TRAILING = np.zeros(256, dtype=bool)
+_TRAILING[list(b".,!?;:$%&*#|")] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def parts_of_words(data: np.ndarray, words: Words) -> Words:
+    """Words with the marks behind a letter cut off as a part of their own.
+
+    The vocabulary cuts there too, so the ids of a word are those of its parts, and "the," does not
+    have to be encoded besides "the".
+    """
+    starts, ends = words.starts, words.ends.copy()
+    at = np.flatnonzero(_TRAILING[data[ends - 1]]) if len(ends) else np.zeros(0, np.int64)
+    while len(at):
+        ends[at] -= 1
+        at = at[(ends[at] > starts[at]) & _TRAILING[data[np.maximum(ends[at] - 1, 0)]]]
+    cut = (ends < words.ends) & (ends > starts)
+    cut[cut] = _LETTER[data[ends[cut] - 1]]
+    extra = np.concatenate(([0], np.cumsum(cut)))
+    place = np.arange(len(starts)) + extra[:-1]
+    new_starts, new_ends = (np.empty(len(starts) + extra[-1], np.int64) for _ in range(2))
+    new_starts[place], new_ends[place] = starts, np.where(cut, ends, words.ends)
+    new_starts[place[cut] + 1], new_ends[place[cut] + 1] = ends[cut], words.ends[cut]
+    return Words(new_starts, new_ends, words.offsets + extra[words.offsets])
+
+
 class WordTokens:
-    """Token ids of words. White space separates words in this vocabulary, so ids of a text are
-    those of its words; frequent words are encoded once per process, others once per batch."""
+    """Token ids of texts by those of their distinct words.
+
+    White space separates words in this vocabulary and letters lose their case, so the ids of a text
+    are those of its words in lower case (words with `<` keep theirs, as they may name a special
+    token). The first `most` distinct words are kept for the process, others encoded per slice.
+    """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.index: dict[bytes, int] = {}
@@ -34,41 +69,47 @@ class WordTokens:
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = [
             e.ids
-            for e in self.tokenizer.encode_batch(
+            for e in self.tokenizer.encode_batch_fast(
                 [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
             )
         ]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
         return flat, lengths
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and where each text begins."""
-        index, known = self.index, len(self.offsets) - 1
-        fresh: dict[bytes, int] = {}
-        rows, counts = [], []
-        for text in texts:
-            words = text.split()
-            counts.append(len(words))
-            for word in words:
-                at = index.get(word)
-                if at is None:
-                    at = fresh.setdefault(word, known + len(fresh))
-                rows.append(at)
-        ids, offsets = self.ids, self.offsets
-        if fresh:
-            more, lengths = self._encode(list(fresh))
-            ids = np.concatenate((ids, more))
-            offsets = np.concatenate((offsets, offsets[-1] + np.cumsum(lengths)))
-            if known + len(fresh) <= self.most:
-                self.index.update(fresh)
-                self.ids, self.offsets = ids, offsets
-        row = np.asarray(rows, np.int64)
+        words = find_words(texts.data, texts.offsets)
+        data = lower_ascii(texts.data)
+        special = np.flatnonzero(texts.data == 0x3C)
+        for at in np.unique(np.searchsorted(words.starts, special, side="right") - 1).tolist():
+            own = slice(words.starts[at], words.ends[at])
+            data[own] = texts.data[own]
+        words = parts_of_words(data, words)
+        _, first, kind = np.unique(word_hashes(data, words), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        known = len(self.offsets) - 1
+        rows, fresh = np.empty(len(first), np.int64), []
+        for i, (a, b) in enumerate(zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)):
+            at = self.index.get(raw[a:b])
+            if at is None:
+                at = known + len(fresh)
+                fresh.append(raw[a:b])
+            rows[i] = at
+        more, lengths = self._encode(fresh)
+        ids = np.concatenate((self.ids, more))
+        offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(lengths)))
+        room = min(self.most - known, len(fresh))
+        if room > 0:
+            self.index.update(zip(fresh[:room], range(known, known + room), strict=True))
+            self.offsets = offsets[: known + room + 1].copy()
+            self.ids = ids[: self.offsets[-1]].copy()
+        row = rows[kind]
         lengths = offsets[row + 1] - offsets[row]
         ends = np.cumsum(lengths)
-        flat = np.repeat(offsets[row] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-        return ids[flat], bounds
+        flat = np.repeat(offsets[row] - ends + lengths, lengths)
+        flat += np.arange(len(flat))
+        return ids[flat], np.concatenate(([0], ends))[words.offsets]
 
 
 @functools.lru_cache(maxsize=2)
@@ -85,11 +126,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_words(tokenizer_path)
         tail = np.array([end_id], np.uint32)
-        for texts in slices(batches):
-            raw = texts.data.tobytes()
-            ids, bounds = vocabulary.encode(
-                [raw[a:b] for a, b in zip(texts.offsets[:-1], texts.offsets[1:], strict=True)]
-            )
+        for texts in slices(batches, most=_SLICE_BYTES):
+            ids, bounds = vocabulary.encode(texts)
             rows = []
             for i, doc in enumerate(texts.rows.column("doc_id").to_pylist()):
                 own = np.concatenate((ids[bounds[i] : bounds[i + 1]], tail)).astype("<u4")
