@@ -35,7 +35,7 @@ def safe_parts(text: str, most: int) -> list[str]:
     parts, begin = [], 0
     while len(text) - begin > most:
         cut = text.find(" ", begin + most)
-        while cut > 0 and text[cut - 1] == " ":
+        while cut > 0 and text[cut - 1] in (" ", _MARK):  # the library takes the mark for a space
             cut = text.find(" ", cut + 1)
         if cut < 0 or cut + 1 >= len(text):
             break
