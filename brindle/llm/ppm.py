@@ -188,17 +188,45 @@ def total_counts(held: DataFrame) -> DataFrame:
     return held.groupBy("kind", "bucket").applyInArrow(run, "kind int, bucket long, code long, n long")
 
 
+def _state(total: Column, distinct: Column) -> Column:
+    """A number for contexts of about as many bytes and distinct bytes."""
+    bits = F.length(F.bin(total))
+    level = F.when(total < 16, total).otherwise(4 * bits + F.call_function("shiftright", total, bits - 3))
+    return (level * 32 + F.least(distinct, F.lit(31))).cast("long")
+
+
+def escape_rates(contexts: DataFrame) -> DataFrame:
+    """`state, rate`: how often a context of a state meets a byte that is new to it.
+
+    Every training byte is left out once: its context then has one less, and the byte is new to it if
+    it was there only once. States met 20 times or less are left out; their number is fixed.
+    """
+    zero = F.lit(0).cast("long")
+    left_out = F.array(
+        F.struct(_state(F.col("t") - 1, F.col("d") - 1).alias("state"), F.col("once").alias("new"), zero.alias("old")),
+        F.struct(_state(F.col("t") - 1, F.col("d")).alias("state"), zero.alias("new"), (F.col("t") - F.col("once")).alias("old")),
+    )
+    return (
+        contexts.where("t > 1")
+        .select(F.inline(left_out))
+        .groupBy("state")
+        .agg(F.sum("new").alias("new"), F.sum("old").alias("old"))
+        .where("new + old > 20")
+        .select("state", ((F.col("new") + 0.5) / (F.col("new") + F.col("old") + 1)).alias("rate"))
+    )
+
+
 def gram_prices(grams: DataFrame, order: int) -> DataFrame:
     """`bucket, code, value`: log10 of the probability of the last byte after the others.
 
     `grams(bucket, code, n)` has all grams to be priced with their training counts; their sums under
-    shorter contexts make the trie. A byte seen after the longest context takes its share of that
-    context's count and distinct bytes; else the context is escaped with the share of the latter,
-    and the next shorter one is asked with all bytes of the escaped one excluded from its sums.
-    What no context has seen shares the rest of the alphabet.
+    shorter contexts make the trie. The longest context is asked first: it is escaped with the rate
+    of its state, or leaves the rest to the bytes it has seen, by their counts. After an escape the
+    next shorter context is asked, with all bytes of the escaped one excluded from its sums. What no
+    context has seen shares the rest of the alphabet.
     """
     grams = materialize(grams, "grams")
-    seen, contexts = [], []
+    seen, contexts, rates = [], [], []
     for k in range(order + 1):
         mask = (1 << (8 * (k + 1))) - 1
         level = grams.where("n > 0").groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("g")).agg(F.sum("n").alias("n"))
@@ -210,10 +238,14 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
         else:
             level_in = level.withColumn("m", F.lit(0).cast("long"))
         sums = level_in.groupBy(context).agg(
-            F.sum("n").alias("t"), F.count("*").alias("d"), F.sum("m").alias("x")
+            F.sum("n").alias("t"),
+            F.count("*").alias("d"),
+            F.sum("m").alias("x"),
+            F.sum((F.col("n") == 1).cast("long")).alias("once"),
         )
         seen.append(level)
         contexts.append(materialize(sums, "contexts"))
+        rates.append(materialize(escape_rates(contexts[-1]), "escape-rates"))
     zero = F.lit(0).cast("long")
     # x, d: count and number of the bytes that the context before excludes here
     todo = grams.select("bucket", "code", F.lit(0.0).alias("value"), zero.alias("x"), zero.alias("d"))
@@ -229,15 +261,21 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
             .join(here, F.col("_g") == F.col("g"), "left")
             .join(sums, F.col("_c") == F.col("c"), "left")
         )
-        total, new = F.coalesce("t2", zero) - F.col("x"), F.coalesce("d2", zero) - F.col("d")
-        joined = joined.withColumn("_rest", (total + new).cast("double")).withColumn("_new", new.cast("double"))
+        joined = (
+            joined.withColumn("_t", F.coalesce("t2", zero) - F.col("x"))
+            .withColumn("_d", F.coalesce("d2", zero) - F.col("d"))
+            .withColumn("_state", _state(F.col("_t"), F.col("_d")))
+            .join(F.broadcast(rates[k]), F.col("_state") == F.col("state"), "left")
+        )
+        rate = F.coalesce("rate", F.col("_d") / (2 * F.col("_t")))
+        rate = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
         found = joined.where("hit is not null").select(
-            "bucket", "code", (F.col("value") + F.log10(F.col("hit") / F.col("_rest"))).alias("value")
+            "bucket", "code", (F.col("value") + F.log10((1 - rate) * F.col("hit") / F.col("_t"))).alias("value")
         )
         escaped = joined.where("hit is null").select(
             "bucket",
             "code",
-            (F.col("value") + F.when(F.col("_new") > 0, F.log10(F.col("_new") / F.col("_rest"))).otherwise(0.0)).alias("value"),
+            (F.col("value") + F.when(F.col("_d") > 0, F.log10(rate)).otherwise(0.0)).alias("value"),
             F.coalesce("x2", zero).alias("x"),
             F.coalesce("d2", zero).alias("d"),
         )
