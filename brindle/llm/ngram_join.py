@@ -12,7 +12,7 @@ from brindle.llm.components import connected_components
 from brindle.llm.texts import find_words, lower_ascii, mix, slices, window_hashes, word_hashes
 from brindle.session import materialize
 
-_BLOCK_GRAMS = 2_000_000
+_BLOCK_GRAMS = 4_500_000
 _CELL_GRAMS = 1_000_000
 _MATRIX = 8_000_000
 
@@ -72,75 +72,107 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, gram long")
 
 
+def most_repeated(counts: DataFrame, most: int) -> np.ndarray:
+    """Tags (the high 31 bits) of the grams of `counts(gram, n)` with the largest sums, at most `most`,
+    the largest last.
+
+    The smallest sum that keeps to the bound is found from the number of grams per sum, sums from 64
+    on by powers of two.
+    """
+    sums = materialize(counts.groupBy("gram").agg(F.sum("n").alias("n")), "repeated")
+    level = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n")) + 58)
+    sums = sums.withColumn("level", level)
+    least, total = 1 << 20, 0
+    for found in sums.groupBy("level").count().orderBy(F.desc("level")).collect():
+        total += found["count"]
+        if total > most:
+            break
+        least = found["level"]
+    tag, size = F.shiftright("gram", 32).cast("int").alias("tag"), F.least("n", F.lit(1 << 30)).cast("int").alias("n")
+    chosen = sums.where(F.col("level") >= least).select(tag, size).toArrow()
+    tags, n = (chosen[c].to_numpy().astype(np.uint32) for c in ("tag", "n"))
+    tags = tags[np.lexsort((tags, n))]
+    last = len(tags) - 1 - np.unique(tags[::-1], return_index=True)[1]
+    return tags[np.sort(last)]
+
+
 class GramOrder:
-    """A total order of grams: those not known to be frequent by hash, then the frequent ones, the
-    most frequent last. Any such order gives the same links; a good one gives few candidates."""
+    """A total order of grams: those whose tag is not known to be frequent by hash, then the others,
+    the most frequent last. Any such order gives the same links; a good one gives few candidates."""
 
-    def __init__(self, frequent: list[int]):
-        grams = np.array(frequent, np.uint64)
-        self.by_hash = np.argsort(grams)
-        self.grams = grams[self.by_hash]
+    def __init__(self, frequent: np.ndarray):
+        self.places = np.argsort(frequent, kind="stable").astype(np.uint32)
+        self.tags = frequent[self.places]
 
     def ranks(self, grams: np.ndarray) -> np.ndarray:
-        if not len(self.grams):
+        if not len(self.tags):
             return grams
-        at = np.searchsorted(self.grams, grams)
-        at[at == len(self.grams)] = 0
-        known = self.grams[at] == grams
-        return np.where(known, np.uint64(1 << 63) + self.by_hash[at].astype(np.uint64), grams)
+        tags = (grams >> np.uint64(32)).astype(np.uint32)
+        at = np.searchsorted(self.tags, tags)
+        at[at == len(self.tags)] = 0
+        known = self.tags[at] == tags
+        late = np.uint64(1 << 63) | self.places[at].astype(np.uint64) << np.uint64(32) | grams & np.uint64(0xFFFFFFFF)
+        return np.where(known, late, grams)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """How many grams of a set of `n`, in any order common to all sets, hold one of every partner."""
+    return n - (percent * n + 99) // 100 + 1
+
+
+def chained(held: list[tuple[np.ndarray, int, int]], percent: int) -> pa.RecordBatch:
+    """Postings `gram, node, n` of a block of sets, each given by some grams, its node and its size.
+
+    Sets of alike size under one gram are chained on the spot by a gram of their own, and one of them
+    stands for all, so a gram of very many sets becomes few rows before the exchange.
+    """
+    lengths = np.array([len(g) for g, _, _ in held], np.int64)
+    grams = np.concatenate([np.zeros(0, np.uint64), *(g for g, _, _ in held)]).view(np.int64)
+    node = np.repeat(np.array([k for _, k, _ in held], np.int64), lengths)
+    n = np.repeat(np.array([s for _, _, s in held], np.int64), lengths)
+    by = np.lexsort((node, n, grams))
+    grams, node, n = grams[by], node[by], n[by]
+    # sizes within one class differ by less than the threshold
+    kind = np.floor(np.log(np.maximum(n, 1)) / (np.log(100 / percent) if percent < 100 else 1.0))
+    head = np.ones(len(grams), bool)
+    head[1:] = (grams[1:] != grams[:-1]) | (kind[1:] != kind[:-1])
+    tail = np.flatnonzero(~head)
+    pairs = np.unique(np.stack((node[tail - 1], node[tail]), 1), axis=0)
+    own = mix(pairs[:, 0].view(np.uint64) ^ mix(pairs[:, 1].view(np.uint64))) | np.uint64(1 << 63)
+    own, zero = own.view(np.int64), np.zeros(len(own), np.int64)
+    columns = (
+        np.concatenate((grams[head], own, own)),
+        np.concatenate((node[head], pairs[:, 0], pairs[:, 1])),
+        np.concatenate((n[head], zero, zero)),
+    )
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "node", "n"])
 
 
-def prefix_postings(docs: DataFrame, width: int, percent: int, frequent: list[int]) -> DataFrame:
+def prefix_postings(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """`gram, node, n`: sets (by their second key) under the first grams of their order.
 
-    Two sets that link share a gram within their first `n - ceil(percent * n / 100) + 1`. Within a
-    block, sets of alike size under one gram are chained on the spot by a gram of their own, and one
-    of them stands for all, so a gram of very many sets becomes few rows before the exchange.
+    Two sets that link share a gram within their first `prefix_length`.
     """
     order = docs.sparkSession.sparkContext.broadcast(GramOrder(frequent))
-    # sizes within one class differ by less than the threshold
-    base = np.log(100 / percent) if percent < 100 else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, keys, total = [], set(), 0
 
-        def block() -> pa.RecordBatch:
-            lengths = np.array([len(g) for g, _, _ in held], np.int64)
-            grams = np.concatenate([np.zeros(0, np.uint64), *(g for g, _, _ in held)]).view(np.int64)
-            node = np.repeat(np.array([k for _, k, _ in held], np.int64), lengths)
-            n = np.repeat(np.array([s for _, _, s in held], np.int64), lengths)
-            by = np.lexsort((node, n, grams))
-            grams, node, n = grams[by], node[by], n[by]
-            kind = np.floor(np.log(np.maximum(n, 1)) / base)
-            head = np.ones(len(grams), bool)
-            head[1:] = (grams[1:] != grams[:-1]) | (kind[1:] != kind[:-1])
-            tail = np.flatnonzero(~head)
-            pairs = np.unique(np.stack((node[tail - 1], node[tail]), 1), axis=0) if len(tail) else np.zeros((0, 2), np.int64)
-            own = mix(pairs[:, 0].view(np.uint64) ^ mix(pairs[:, 1].view(np.uint64))) | np.uint64(1 << 63)
-            own = own.view(np.int64)
-            zero = np.zeros(len(own), np.int64)
-            columns = (
-                np.concatenate((grams[head], own, own)),
-                np.concatenate((node[head], pairs[:, 0], pairs[:, 1])),
-                np.concatenate((n[head], zero, zero)),
-            )
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "node", "n"])
-
         for texts in slices(batches):
             for grams in gram_sets(texts, width):
                 key = set_keys(grams)
                 if not len(grams) or key in keys:
                     continue
                 keys.add(key)
-                first = len(grams) - (percent * len(grams) + 99) // 100 + 1
+                first = prefix_length(len(grams), percent)
                 ranks = order.value.ranks(grams)
                 kept = grams[np.argpartition(ranks, first - 1)[:first]] if first < len(grams) else grams
                 held.append((kept, key[1], len(grams)))
                 total += first
-            if total >= _BLOCK_GRAMS // 4:
-                yield block()
+            if total >= _BLOCK_GRAMS // 9:
+                yield chained(held, percent)
                 held, keys, total = [], set(), 0
-        yield block()
+        yield chained(held, percent)
 
     return docs.mapInArrow(run, "gram long, node long, n long")
 
@@ -160,6 +192,49 @@ def candidate_links(postings: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def exact_postings(members: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """`gram, node, n` as in `prefix_postings` for `members(key_b, n, text)`, in a better order.
+
+    The order puts first the grams whose hash is low, half as many again as a prefix takes, those in
+    fewer of these sets first; then the others as in `prefix_postings`. Only low grams have to be
+    counted, and those that a single set holds link nothing and are dropped once counted.
+    """
+    order = members.sparkSession.sparkContext.broadcast(GramOrder(frequent))
+    low_end = np.uint64(min((1 << 63) - 1, (1 << 63) * 3 * (100 - percent) // 200))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["gram", "node", "n", "low"]
+        for texts in slices(batches):
+            low, rest = [], []
+            nodes = texts.rows.column("key_b").to_pylist()
+            for grams, node in zip(gram_sets(texts, width), nodes, strict=True):
+                n = len(grams)
+                ranks = order.value.ranks(grams)
+                by = np.argsort(ranks)
+                lower = int(np.searchsorted(ranks[by], low_end))
+                low.append((grams[by[:lower]], node, n))
+                rest.append((grams[by[lower : prefix_length(n, percent)]], node, n))
+            lengths = np.array([len(g) for g, _, _ in low], np.int64)
+            columns = [np.concatenate([np.zeros(0, np.uint64), *(g for g, _, _ in low)]).view(np.int64)]
+            for values in ([k for _, k, _ in low], [n for _, _, n in low], lengths):
+                columns.append(np.repeat(np.asarray(values, np.int64), lengths))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+            others = chained(rest, percent)
+            yield pa.RecordBatch.from_arrays([*others.columns, pa.nulls(len(others), pa.int64())], names=names)
+
+    found = members.select("key_b", "text").mapInArrow(run, "gram long, node long, n long, low long")
+    is_low = F.col("low").isNotNull()
+    of_node = W.partitionBy("node")
+    counted = (
+        found.withColumn("df", F.count("*").over(W.partitionBy("gram")))
+        .where((F.col("df") > 1) | ~is_low)
+        .withColumn("place", F.row_number().over(of_node.orderBy(~is_low, "df", "gram")))
+        .withColumn("place", F.col("place") + F.col("low") - F.count("low").over(of_node))
+    )
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return counted.where(~is_low | (F.col("place") <= first)).select("gram", "node", "n")
+
+
 def trie_join(
     sets: list[np.ndarray], weights: np.ndarray, percent: int, split: int | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +342,7 @@ def join_cells(members: DataFrame, width: int, percent: int) -> DataFrame:
         def joined() -> pa.RecordBatch:
             rows = sorted(held.items(), key=lambda kv: (kv[1][0], kv[0]))
             sides = [side for _, (side, _, _) in rows]
-            reps = np.array([rep for rep, _ in rows], np.int64)
+            reps = np.array([rep for (rep, _), _ in rows], np.int64)
             labels, links = trie_join(
                 [grams for _, (_, grams, _) in rows],
                 np.array([weight for _, (_, _, weight) in rows], np.int64),
@@ -288,8 +363,7 @@ def join_cells(members: DataFrame, width: int, percent: int) -> DataFrame:
                     if held:
                         yield joined()
                     cell, held = here, {}
-                if set_keys(grams)[0] == row["key_a"]:
-                    held[row["rep"]] = (row["side"], grams, row["weight"])
+                held[row["rep"], row["key_a"]] = (row["side"], grams, row["weight"])
         if held:
             yield joined()
 
@@ -298,7 +372,7 @@ def join_cells(members: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def ngram_links(
-    docs: DataFrame, width: int = 5, percent: int = 80, frequent_grams: int = 1 << 18
+    docs: DataFrame, width: int = 5, percent: int = 80, frequent_grams: int = 1 << 20
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id, n_links` for every row of `docs(doc_id, text, ...)`.
 
@@ -307,43 +381,45 @@ def ngram_links(
     nothing. Two documents link where `100 * intersection >= percent * union`. `component_id` is
     the smallest id reachable by links, `n_links` the number of documents linked with (copies too).
 
-    Equal sets are one node with a weight. Nodes that share a gram of their prefixes are chained;
-    the components of these chains hold every link inside, so each is joined on its own by
-    `trie_join`, and a set travels once. A component of more than `_CELL_GRAMS` grams is dealt into
-    blocks and joined block by block. `frequent_grams` bounds the list of grams that come last in
-    the order; it changes the work only, not the result.
+    Equal sets are one node with a weight. Nodes that share a gram of their prefixes are chained,
+    twice: first all of them, in an order known beforehand, with the grams last that blocks of
+    documents repeat most (`frequent_grams` bounds that list; it changes the work only, not the
+    result); then those that met another one, in the order of counted frequencies. The components
+    of the second chains hold every link inside, so each is joined on its own by `trie_join`, and a
+    set travels once. A component of more than `_CELL_GRAMS` grams is dealt into blocks and joined
+    block by block.
 
-    Repeated rows give a row each and link as copies. Of rows without id, those equal to a row with
+    Repeated rows give a row each and link as copies; an id that stands for several texts is one
+    document that links by each. Of rows without id, those equal to a row with
     one belong to its component, others have a null one and no links. Grams are compared by 63-bit
     hashes.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     first = materialize(document_sets(docs, width), "sets")
     rows = first.where("gram is null").drop("gram")
-    common = (
-        first.where("gram is not null")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
-        .where("n >= 8")
-        .orderBy(F.desc("n"), "gram")
-        .limit(frequent_grams)
-    )
-    frequent = [r[0] for r in common.select("gram").collect()][::-1]
+    frequent = most_repeated(first.where("gram is not null").select("gram", "n"), frequent_grams)
     nodes = materialize(
         rows.where("n > 0")
         .groupBy("key_a", "key_b", "n")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight")),
         "nodes",
     )
-    candidates = candidate_links(prefix_postings(docs, width, percent, frequent), percent)
-    candidates = materialize(candidates, "candidates")
-    groups = connected_components(candidates)
-    members = materialize(
-        nodes.join(groups, nodes["key_b"] == groups["node"])
-        .where("rep is not null")
-        .select("component", "rep", "key_a", "n", "weight"),
-        "members",
-    )
+    links = candidate_links(prefix_postings(docs, width, percent, frequent), percent)
+    links = materialize(links, "candidates")
+    touched = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = nodes.join(touched, nodes["key_b"] == touched["node"]).where("rep is not null").drop("node")
+    held = materialize(held, "held")
+    # the texts of all candidates, which later steps read instead of the documents
+    # (candidates grow with the input, so they are never broadcast)
+    texts = docs.join(held.hint("merge"), docs["doc_id"] == held["rep"]).drop("doc_id")
+    repeated = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        texts = matching(texts, width)
+    texts = materialize(texts, "candidate-texts")
+    links = candidate_links(exact_postings(texts, width, percent, frequent), percent)
+    groups = connected_components(materialize(links, "candidates"))
+    members = held.join(groups, held["key_b"] == groups["node"]).drop("node")
+    members = materialize(members, "members")
     blocks = (
         members.groupBy("component")
         .agg(F.sum("n").alias("grams"), F.count("*").alias("sets"))
@@ -365,7 +441,7 @@ def ngram_links(
         )
     )
     dealt = materialize(dealt, "dealt")
-    cells = dealt.join(docs, dealt["rep"] == docs["doc_id"]).drop("doc_id")
+    cells = texts.select("rep", "key_a", "text").join(dealt.hint("merge"), ["rep", "key_a"])
     joined = materialize(join_cells(cells, width, percent), "joined")
     linked = connected_components(joined.select(F.col("rep").alias("a"), F.col("label").alias("b")))
     per_set = (
@@ -387,6 +463,18 @@ def ngram_links(
     return filled.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").unionByName(empty)
 
 
+def matching(rows: DataFrame, width: int) -> DataFrame:
+    """One row per set, with a text that has it; needed where an id is in the table more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in slices(batches):
+            keys = texts.rows.column("key_a").to_pylist()
+            found = [set_keys(g)[0] == key for g, key in zip(gram_sets(texts, width), keys, strict=True)]
+            yield texts.rows.filter(pa.array(found, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema).dropDuplicates(["rep", "key_a"])
+
+
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Rows of `docs` that are first, by id, of their component; rows without id stay."""
     gone = ngram_links(docs, width, percent).where("doc_id != component_id")

@@ -20,7 +20,7 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
 
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 6 << 20
 _TRAILING = np.zeros(256, dtype=bool)
 _TRAILING[list(b".,!?;:$%&*#|")] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -56,7 +56,7 @@ class WordTokens:
     token). The first `most` distinct words are kept for the process, others encoded per slice.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 150_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

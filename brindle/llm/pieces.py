@@ -9,10 +9,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from brindle.llm.texts import Texts, Words, mix, slices, word_hashes
 
 _SPACE, _BREAK = 0x20, 0x0A
+_SLICE_BYTES = 1 << 20
+_DECODED_PIECES = 1 << 18
 
 
 def extended(hashes: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -206,7 +209,7 @@ def encode_sampled(docs: DataFrame, model_path: str, alpha: float = 1.0, seed: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = load_pieces(model_path, alpha)
-        for texts in slices(batches):
+        for texts in slices(batches, most=_SLICE_BYTES):
             data, begins = spaced(texts)
             spans = units(data, begins, table.separable)
             hashes = word_hashes(data, spans)
@@ -231,28 +234,37 @@ def encode_sampled(docs: DataFrame, model_path: str, alpha: float = 1.0, seed: i
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
-    """Adds `decoded`, the text of `pieces`, to `rows(doc_id, text, pieces)`; null for null pieces."""
+    """Adds `decoded`, the text of `pieces`, to `rows(pieces, ...)`; null for null pieces."""
+
+    def texts_of(table: PieceTable, pieces: pa.ListArray) -> pa.Array:
+        lengths = pieces.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        flat = pieces.flatten().to_numpy()
+        size = table.lengths[flat]
+        ends = np.cumsum(size)
+        source = np.repeat(table.begins[flat] - ends + size, size)
+        source += np.arange(len(source))
+        data = table.flat[source]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(lengths)))]
+        # the space that the library puts first is dropped
+        keep = np.ones(len(data), bool)
+        keep[bounds[:-1][bounds[:-1] < bounds[1:]]] = False
+        offsets = bounds - np.concatenate(([0], np.cumsum(bounds[:-1] < bounds[1:])))
+        text = pa.LargeStringArray.from_buffers(
+            len(pieces), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[keep].tobytes())
+        )
+        return pc.if_else(pieces.is_null(), pa.scalar(None, pa.string()), text.cast(pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = load_pieces(model_path, 1.0)
         for batch in batches:
-            pieces = batch.column("pieces")
-            lengths = pieces.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-            flat = pieces.flatten().to_numpy()
-            size = table.lengths[flat]
-            ends = np.cumsum(size)
-            source = np.repeat(table.begins[flat] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-            data = table.flat[source]
-            bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(lengths)))]
-            # the space that the library puts first is dropped
-            keep = np.ones(len(data), bool)
-            keep[bounds[:-1][bounds[:-1] < bounds[1:]]] = False
-            offsets = bounds - np.concatenate(([0], np.cumsum(bounds[:-1] < bounds[1:])))
-            text = pa.LargeStringArray.from_buffers(
-                len(batch), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[keep].tobytes())
-            )
-            text = text.cast(pa.string())
-            text = pc.if_else(pieces.is_null(), pa.scalar(None, pa.string()), text)
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, "decoded"])
-
-    return rows.mapInArrow(run, "doc_id long, text string, pieces array<int>, decoded string")
+            total = np.cumsum(batch.column("pieces").value_lengths().fill_null(0).to_numpy())
+            begin = 0
+            while begin < len(batch):
+                done = total[begin - 1] if begin else 0
+                end = max(int(np.searchsorted(total, done + _DECODED_PIECES, side="right")), begin + 1)
+                part = batch.slice(begin, end - begin)
+                begin = end
+                text = texts_of(table, part.column("pieces"))
+                yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, "decoded"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("decoded", StringType())]))

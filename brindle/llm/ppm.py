@@ -9,12 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brindle.llm.texts import Texts, find_words, lower_ascii, slices, word_hashes
+from brindle.llm.texts import Texts, find_words, lower_ascii, release, slices, word_hashes
 from brindle.session import materialize
 
 _BEFORE, _SPACE, _END = 0x0D, 0x20, 0x0A  # no word holds any of the three
 _SYMBOLS = 256 - 6 + 2  # bytes of words, the space and the end
-_WINDOW = 1 << 22
+_WINDOW = 1 << 20
+_MOST_TASKS = 20_000
+_SLICE_BYTES = 1 << 20
 _GRAM, _WORD = 0, 1
 
 
@@ -123,7 +125,7 @@ def block_counts(docs: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         held = {_GRAM: Counts(), _WORD: Counts()}
-        for texts in slices(iter(table.to_batches())):
+        for texts in slices(iter(table.to_batches()), most=_SLICE_BYTES):
             learn = ~np.asarray(texts.rows.column("held_out").to_pylist(), bool)
             stream, begins, hashes, bounds = symbols(texts, order)
             own = np.repeat(learn, np.diff(begins))
@@ -175,6 +177,7 @@ def total_counts(held: DataFrame) -> DataFrame:
         for codes, counts in zip(_arrays(table["codes"], "<u8"), _arrays(table["counts"], "<i8"), strict=True):
             total.add(codes, counts)
         codes, counts = total.merge()
+        release()
         n = len(codes)
         return pa.table(
             {
@@ -305,7 +308,7 @@ def block_prices(held: DataFrame, prices: DataFrame) -> DataFrame:
     return pairs.applyInArrow(run, "block long, kind int, codes binary, values binary")
 
 
-def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 48 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row of
     `docs(doc_id, text, ...)`.
 
@@ -329,6 +332,8 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 48 << 20) ->
     dealt = docs.withColumn("held_out", held_out(F.col("doc_id"))).withColumn(
         "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     )
+    # about one block to a task, so that sorting them takes little memory
+    dealt = dealt.repartition(min(blocks, _MOST_TASKS), "block")
     held = materialize(block_counts(dealt, order, blocks), "block-counts")
     totals = materialize(total_counts(held), "totals")
     words = totals.where(f"kind = {_WORD}")
@@ -351,7 +356,7 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 48 << 20) ->
         grams, gram_value = tables[_GRAM]
         known, word_count = tables[_WORD]
         out = []
-        for texts in slices(iter(table.to_batches())):
+        for texts in slices(iter(table.to_batches()), most=_SLICE_BYTES):
             stream, begins, hashes, bounds = symbols(texts, order)
             each = np.zeros(len(stream))
             for begin, real, codes in gram_codes(stream, order):
@@ -380,7 +385,7 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 48 << 20) ->
 
     return (
         dealt.groupBy("block")
-        .cogroup(priced.groupBy("block"))
+        .cogroup(priced.repartition(min(blocks, _MOST_TASKS), "block").groupBy("block"))
         .applyInArrow(
             run,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

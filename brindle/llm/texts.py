@@ -6,13 +6,16 @@ longest text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _HASH_BYTES = 1 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -66,6 +69,20 @@ def slices(
                 offsets[begin : end + 1] - offsets[begin],
             )
             begin = end
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers outlive their task and stand by while
+    other stages run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let Arrow batches of this session hold fewer rows than by default, as texts are long rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:

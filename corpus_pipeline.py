@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm import exact, ngram_join, packing, pii, quality
 from brindle.llm.queries import PII_KEY, WORDS
+from brindle.llm.texts import small_batches
 from brindle.session import materialize
 
 # SQL cannot express the stages; tests compare them with plain Python.
@@ -18,6 +19,7 @@ ORACLE_SQL = None
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier, learnt from `labels`, takes for bad."""
+    small_batches(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -28,6 +30,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked texts, that of the smallest id."""
+    small_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
@@ -39,6 +42,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, see `packing.pack_documents`."""
+    small_batches(spark)
     return packing.pack_documents(docs, WORDS)
 
 
