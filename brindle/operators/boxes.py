@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.boxes import CORNERS, round_half_even, truncate
 from brindle.functions.text import basename
-from brindle.operators.grouping import HOT_ROWS, chunk_groups, global_index, group_index
+from brindle.operators.grouping import HOT_ROWS, global_index, group_index
 from brindle.session import materialize
 
-# An image with more boxes than this is written as several lines.
+# Boxes of one line at most; an image of more has several.
 LINE_BOXES = 100_000
 
 
@@ -53,26 +53,41 @@ def image_lines(
     name: str = "line",
     max_boxes: int = LINE_BOXES,
 ) -> DataFrame:
-    """`image, chunk, line`: the texts of an image's boxes behind its name.
+    """`image, part, line`: the texts of an image's boxes, in order, behind its name.
 
-    An image with more than `max_boxes` boxes gives several lines with the same name, which the
-    reader of such lines takes together again.
+    A line holds `max_boxes` boxes at most: the box at place `i` of its image is in part
+    `i div max_boxes`, whatever the size of the image. Parts in order are the image's whole list; the
+    reader of such lines takes them together again.
     """
-    chunked = chunk_groups(boxes.withColumn("_image", image), ["_image"], max_boxes)
-    item = F.struct(*order, text.alias("_text"))
-    grouped = chunked.groupBy("_image", "chunk").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    placed = group_index(boxes.withColumn("_image", image), ["_image"], order, "_place")
+    part = F.floor(F.col("_place") / max_boxes).alias("part")
+    item = F.struct("_place", text.alias("_text"))
+    grouped = placed.groupBy("_image", part).agg(F.sort_array(F.collect_list(item)).alias("items"))
     joined = F.array_join(F.transform("items", lambda i: i["_text"]), " ")
     return grouped.select(
-        F.col("_image").alias("image"), "chunk", F.concat_ws(" ", "_image", joined).alias(name)
+        F.col("_image").alias("image"), "part", F.concat_ws(" ", "_image", joined).alias(name)
     )
 
 
+def add_bare_images(lines: DataFrame, images: DataFrame, name: str = "line") -> DataFrame:
+    """Lines of `image_lines` and, for every other `image`, a line that holds its name alone."""
+    others = images.select("image").distinct().join(lines.select("image").distinct(), "image", "left_anti")
+    return lines.unionByName(others.select("image", F.lit(0).cast("long").alias("part"), F.col("image").alias(name)))
+
+
 def training_lines(
-    boxes: DataFrame, order: Sequence[str], folder: str = "", max_boxes: int = LINE_BOXES
+    boxes: DataFrame,
+    order: Sequence[str],
+    folder: str = "",
+    max_boxes: int = LINE_BOXES,
+    path_column: str | None = None,
 ) -> DataFrame:
-    """`path xmin,ymin,xmax,ymax,code ...` per image, from rounded and encoded boxes."""
+    """`path xmin,ymin,xmax,ymax,code ...` per image, from rounded and encoded boxes.
+
+    The path is folder and image, or the full path that `path_column` holds.
+    """
     prefix = folder if not folder or folder.endswith("/") else folder + "/"
-    name = F.concat(F.lit(prefix), "image")
+    name = F.col(path_column) if path_column else F.concat(F.lit(prefix), "image")
     text = box_text(*[F.col(c) for c in (*CORNERS, "code")])
     return image_lines(boxes, name, text, order, max_boxes=max_boxes)
 
@@ -106,7 +121,7 @@ def crop_names(
     """Add `crop`: image name, postfix, label and running number of the box inside its image."""
     label = F.col("label").cast("string")
     for code, text in (labels or {}).items():
-        label = F.when(F.col("label") == code, F.lit(text)).otherwise(label)
+        label = F.when(F.col("label").cast("string") == str(code), F.lit(text)).otherwise(label)
     stem = F.expr("left(image, length(image) - 4)")
     numbered = group_index(boxes, ["image"], order, "_number", max_boxes)
     crop = F.concat_ws("_", stem, F.lit(postfix), label, F.col("_number").cast("string"))

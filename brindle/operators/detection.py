@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.boxes import CORNERS, centre_corners, centre_size, corners, iou, size_iou, truncate
-from brindle.operators.grouping import hot_groups, unit_hash
+from brindle.operators.grouping import hot_groups, match_keys, unit_hash
 from brindle.session import materialize
 
 # Candidates of one group handled together; larger groups go through rounds of this many.
@@ -78,9 +78,9 @@ def non_max_suppression(
     if hot.isEmpty():
         return unpack(settle(packed))
 
-    result = unpack(settle(packed.join(hot, keys, "left_anti")))
+    result = unpack(settle(match_keys(packed, hot, keys, "left_anti")))
     best = Window.partitionBy(*keys).orderBy("box")
-    left = packed.join(hot, keys, "left_semi").dropDuplicates()
+    left = match_keys(packed, hot, keys, "left_semi").dropDuplicates()
     left = materialize(left.withColumn("found", F.lit(0)), "suppression")
     for _ in range(max_boxes):
         head = left.withColumn("place", F.row_number().over(best)).where(F.col("place") <= group_rows)
@@ -97,7 +97,7 @@ def non_max_suppression(
         step = materialize(step, "suppression-step")
         result = result.unionByName(unpack(step))
         open_groups = step.where(F.col("total") < max_boxes).drop("before")
-        beyond = left.drop("found").join(open_groups, keys).where(F.col("box") > F.col("last"))
+        beyond = match_keys(left.drop("found"), open_groups, keys, "inner").where(F.col("box") > F.col("last"))
         clear = ~_overlaps(F.col("kept"), F.col("box"), iou_threshold)
         left = materialize(
             beyond.where(clear).select(*keys, "box", F.col("total").alias("found")), "suppression"
@@ -146,12 +146,13 @@ def first_centres(sizes: DataFrame, k: int, seed: int) -> list[tuple[int, int]]:
 
 
 def cluster_anchors(
-    boxes: DataFrame, k: int = 9, seed: int = 0, max_rounds: int = 100
+    boxes: DataFrame, k: int = 9, seed: int = 0, max_rounds: int = 1000
 ) -> list[tuple[int, int]]:
     """`k` anchors: medians of the boxes nearest by same-centre overlap, sorted by width.
 
     Centres are whole numbers, an empty cluster keeps its centre, and rounds end when no centre
-    moves. Only the centres are held on the driver.
+    moves; it is an error if they still do after `max_rounds`. Only the centres are held on the
+    driver.
     """
     sizes = materialize(box_sizes(boxes), "box-sizes")
     centres = first_centres(sizes, k, seed)
@@ -163,9 +164,9 @@ def cluster_anchors(
         moved = {r["c"]: (r["w"], r["h"]) for r in sizes.groupBy(nearest.alias("c")).agg(*middle).collect()}
         new = [moved.get(i, centre) for i, centre in enumerate(centres)]
         if new == centres:
-            break
+            return sorted(centres)
         centres = new
-    return sorted(centres)
+    raise RuntimeError(f"the centres still move after {max_rounds} rounds")
 
 
 def average_iou(boxes: DataFrame, anchors: Sequence[tuple[float, float]]) -> DataFrame:

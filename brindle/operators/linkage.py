@@ -107,7 +107,8 @@ class LinkageIndex:
     `members` has `side, id, vid`: the vector of every record, named by its smallest id.
     `postings` has `side, vid, copies, token, spread, unit, held`: `unit` is the weight divided by
     the norm of the vector, `spread` the number of vectors holding the token, and `held` the norm
-    of this and all more frequent tokens of the vector as a share of its norm.
+    of this and all more frequent tokens of the vector as a share of its norm (null in an index that
+    is not ordered, which `candidate_pairs` cannot use).
     """
 
     members: DataFrame
@@ -129,8 +130,8 @@ class LinkageIndex:
         )
 
 
-def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
-    """Index of two token tables. Ids must be unique within a side."""
+def build_index(a: DataFrame, b: DataFrame, ordered: bool = True) -> LinkageIndex:
+    """Index of two token tables. Ids must be unique within a side; repeated ones are refused."""
     both = a.select(F.lit("a").alias("side"), "id", "tokens").unionByName(
         b.select(F.lit("b").alias("side"), "id", "tokens")
     )
@@ -144,6 +145,9 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
         ),
         "records",
     )
+    repeated = keyed.groupBy("side", "id").count().where("count > 1").select("side", "id").first()
+    if repeated:
+        raise ValueError(f"side {repeated[0]} has id {repeated[1]} more than once")
     # sides of n:1 joins are written, see `tfidf`
     contents = keyed.groupBy("side", "content").agg(
         F.min("id").alias("vid"), F.count(F.lit(1)).alias("copies")
@@ -166,7 +170,10 @@ def build_index(a: DataFrame, b: DataFrame) -> LinkageIndex:
     square = F.col("weight") * F.col("weight")
     postings = (
         weighted.withColumn("norm", F.sqrt(F.sum(square).over(vector)))
-        .withColumn("held", F.sqrt(F.sum(square).over(frequent_first)) / F.col("norm"))
+        .withColumn(
+            "held",
+            F.sqrt(F.sum(square).over(frequent_first)) / F.col("norm") if ordered else F.lit(None).cast("double"),
+        )
         .withColumn("unit", F.col("weight") / F.col("norm"))
         .select("side", "vid", "copies", "token", "spread", "unit", "held")
     )
@@ -266,11 +273,42 @@ def score_pairs(index: LinkageIndex, pairs: DataFrame) -> DataFrame:
     )
 
 
-def lookup(index: LinkageIndex, id_a, id_b) -> DataFrame:
-    """Similarity of one pair."""
-    spark = index.postings.sparkSession
-    pair = spark.range(1).select(F.lit(id_a).alias("id_a"), F.lit(id_b).alias("id_b"))
-    return score_pairs(index, pair).select("id_a", "id_b", "sim")
+def lookup(a: DataFrame, b: DataFrame, id_a, id_b) -> DataFrame:
+    """Similarity of one pair of records of two token tables; 0 for unknown ids.
+
+    Only the two records are weighted; the tables are read for the number of records and for those
+    that hold a token of the two.
+    """
+    both = a.select("id", "tokens").unionByName(b.select("id", "tokens"))
+    total = both.agg(F.countDistinct("id")).scalar()
+
+    def terms(records: DataFrame, key) -> DataFrame:
+        own = records.where(F.col("id") == key).select(
+            F.size("tokens").alias("n"), F.inline(token_counts(F.col("tokens")))
+        )
+        return materialize(own.select("token", (F.col("c") / F.col("n")).alias("tf")), "lookup-terms")
+
+    left, right = terms(a, id_a), terms(b, id_b)
+    asked = left.select("token").unionByName(right.select("token")).distinct()
+    held = both.select(F.explode(F.array_distinct("tokens")).alias("token")).join(asked, "token", "left_semi")
+    idf = materialize(
+        held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select("token", (total / F.col("df")).alias("idf")),
+        "lookup-idf",
+    )
+    weights = (
+        idf.join(left.withColumnRenamed("tf", "tf_a"), "token", "left")
+        .join(right.withColumnRenamed("tf", "tf_b"), "token", "left")
+        .select(*[(F.coalesce(F.col(f"tf_{s}"), F.lit(0.0)) * F.col("idf")).alias(s) for s in "ab"])
+    )
+    size = F.sqrt(F.sum(F.col("a") * F.col("a"))) * F.sqrt(F.sum(F.col("b") * F.col("b")))
+    sim = F.coalesce(F.try_divide(F.sum(F.col("a") * F.col("b")), size), F.lit(0.0))
+    return weights.agg(sim.alias("sim")).select(F.lit(id_a).alias("id_a"), F.lit(id_b).alias("id_b"), "sim")
+
+
+def pair_count(index: LinkageIndex) -> int:
+    """Number of all pairs of records."""
+    sizes = dict(index.members.groupBy("side").count().collect())
+    return sizes.get("a", 0) * sizes.get("b", 0)
 
 
 def common_tokens(index: LinkageIndex, pairs: DataFrame) -> DataFrame:
@@ -316,10 +354,12 @@ def other_average(index: LinkageIndex, scored_gold: DataFrame) -> DataFrame:
 
 
 def evaluate(
-    sims: DataFrame, scored_gold: DataFrame, min_sim: float, steps: int = 100
+    sims: DataFrame, scored_gold: DataFrame, min_sim: float, steps: int = 100, n_pairs: int | None = None
 ) -> DataFrame:
     """Quality of linking at every threshold `i / steps` from `min_sim` up.
 
+    With `n_pairs`, the number of all pairs of records, threshold 0 is rated too: it links them all.
+
     `sims` are vector pairs from `similar_pairs(index, min_sim)`, `scored_gold` distinct gold pairs
     from `score_pairs`. False positives use bins `int(sim * steps)`, false negatives raw scores.
     """
@@ -342,7 +382,10 @@ def evaluate(
     missed = scored_gold.groupBy(F.greatest(missed_at, F.lit(low)).alias("i")).agg(
         F.count(F.lit(1)).alias("missed")
     )
-    grid = sims.sparkSession.range(low, steps + 1).select(F.col("id").cast("int").alias("i"))
+    if n_pairs is not None and low > 1:
+        raise ValueError("threshold 0 can only be added below the first threshold")
+    grid = sims.sparkSession.range(low if n_pairs is None else 0, steps + 1).select(F.col("id").cast("int").alias("i"))
+    n_gold = scored_gold.agg(F.count(F.lit(1))).scalar()
     # windows over at most `steps + 1` rows
     at_or_above = Window.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
     at_or_below = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -357,8 +400,10 @@ def evaluate(
             F.sum("missed").over(at_or_below).alias("fn"),
         )
         .where(F.col("i") < steps)
-        .withColumn("tp", scored_gold.agg(F.count(F.lit(1))).scalar() - F.col("fn"))
+        .withColumn("tp", n_gold - F.col("fn"))
     )
+    if n_pairs is not None:
+        counts = counts.withColumn("fp", F.when(F.col("i") == 0, n_pairs - n_gold).otherwise(F.col("fp")))
     rated = counts.withColumn("precision", F.try_divide("tp", F.col("tp") + F.col("fp"))).withColumn(
         "recall", F.try_divide("tp", F.col("tp") + F.col("fn"))
     )

@@ -34,12 +34,31 @@ class Moments:
         return self.outer / self.n - np.outer(near, near)
 
 
+def well_formed(vector: Column, d: int) -> Column:
+    """Whether an array has `d` elements, none of them null."""
+    return F.coalesce((F.size(vector) == d) & ~F.exists(vector, lambda v: v.isNull()), F.lit(False))
+
+
 def vector_length(df: DataFrame, column: str) -> int:
-    """Length of the first vector. All others must have the same."""
-    row = df.where(F.col(column).isNotNull()).select(F.size(column)).first()
+    """The most frequent length of the arrays, the larger one of a tie."""
+    row = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.size(column).alias("d"))
+        .count()
+        .orderBy(F.desc("count"), F.desc("d"))
+        .first()
+    )
     if row is None:
         raise ValueError("no vectors")
-    return row[0]
+    return row["d"]
+
+
+def vector_status(df: DataFrame, column: str, d: int | None = None) -> DataFrame:
+    """One row `n_read, n_ok, n_bad`: how many arrays moments are taken of, and how many are left out."""
+    good = well_formed(F.col(column), vector_length(df, column) if d is None else d)
+    return df.agg(
+        F.count(F.lit(1)).alias("n_read"), F.count_if(good).alias("n_ok"), F.count_if(~good).alias("n_bad")
+    )
 
 
 def _expression_moments(df: DataFrame, column: str, d: int, part: Column) -> dict[int, Moments]:
@@ -47,8 +66,7 @@ def _expression_moments(df: DataFrame, column: str, d: int, part: Column) -> dic
     sums = [F.sum(v[i]).alias(f"t{i}") for i in range(d)]
     products = [F.sum(v[i] * v[j]).alias(f"o{i}_{j}") for i in range(d) for j in range(i, d)]
     rows = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(part.alias("part"))
+        df.groupBy(part.alias("part"))
         .agg(F.count(F.lit(1)).alias("n"), *sums, *products)
         .collect()
     )
@@ -88,13 +106,9 @@ def _batch_moments(d: int):
 
 
 def _arrow_moments(df: DataFrame, column: str, d: int, part: Column) -> dict[int, Moments]:
-    vectors = df.where(F.col(column).isNotNull()).select(
-        part.cast("int").alias("part"), F.col(column).cast("array<double>").alias("v")
-    )
-    # every task emits one matrix, so their number follows the cores, not the input splits
-    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    vectors = df.select(part.cast("int").alias("part"), F.col(column).cast("array<double>").alias("v"))
     rows = (
-        vectors.coalesce(tasks)
+        vectors
         .mapInArrow(_batch_moments(d), _SCHEMA)
         .select("part", "i", F.posexplode("total").alias("j", "x"))
         .groupBy("part", "i", "j")
@@ -107,23 +121,29 @@ def _arrow_moments(df: DataFrame, column: str, d: int, part: Column) -> dict[int
     return {p: Moments(int(m[0, 0]), m[0, 1:], m[1:, 1:]) for p, m in full.items()}
 
 
-def moments_by(df: DataFrame, column: str, part: Column) -> dict[int, Moments]:
-    """Moments of an array column for every value of a small integer column, in one pass."""
-    d = vector_length(df, column)
+def moments_by(df: DataFrame, column: str, part: Column, d: int | None = None) -> dict[int, Moments]:
+    """Moments of an array column for every value of a small integer column, in one pass.
+
+    `d` is the length of the arrays, by default the most frequent one. Arrays of another length or
+    with a null element are left out, whatever `d`; `vector_status` counts them.
+    """
+    d = vector_length(df, column) if d is None else d
     small = d <= _EXPRESSION_LENGTH
-    return (_expression_moments if small else _arrow_moments)(df, column, d, part)
+    good = df.where(well_formed(F.col(column), d))
+    return (_expression_moments if small else _arrow_moments)(good, column, d, part)
 
 
-def moments(df: DataFrame, column: str) -> Moments:
-    """Moments of an array column in one pass.
+def moments(df: DataFrame, column: str, d: int | None = None) -> Moments:
+    """Moments of an array column in one pass, see `moments_by`.
 
     Products are taken around the first vector found, which keeps the covariance of data far from
     the origin accurate.
     """
-    first = df.where(F.col(column).isNotNull()).select(column).first()
+    d = vector_length(df, column) if d is None else d
+    first = df.where(well_formed(F.col(column), d)).select(column).first()
     if first is None:
         raise ValueError("no vectors")
     pivot = np.array(first[0], dtype=float)
     near = F.array(*[F.lit(-float(p)) for p in pivot])
-    centred = df.select(F.zip_with(column, near, lambda x, y: x + y).alias("v"))
-    return replace(moments_by(centred, "v", F.lit(0))[0], origin=pivot)
+    centred = df.where(well_formed(F.col(column), d)).select(F.zip_with(column, near, lambda x, y: x + y).alias("v"))
+    return replace(moments_by(centred, "v", F.lit(0), d)[0], origin=pivot)

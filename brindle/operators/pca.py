@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from brindle.functions.arrays import array_std, fold_block, fold_period, rescale
 from brindle.functions.color import polar_rgb
-from brindle.operators.moments import moments
+from brindle.operators.moments import moments, well_formed
 
 
 @dataclass(frozen=True)
@@ -44,11 +44,13 @@ def scores(
 ) -> DataFrame:
     """The columns `keep` and the product of every array with the components, uncentred.
 
-    One matrix product per Arrow batch; a null array gives null scores.
+    One matrix product per Arrow batch; an array that is null, of another length or with a null
+    element gives null scores.
     """
     components = model.components
     d, k = components.shape
-    source = df.select(*keep, F.col(column).cast("array<double>").alias("_vector"))
+    vector = F.when(well_formed(F.col(column), d), F.col(column)).cast("array<double>")
+    source = df.select(*keep, vector.alias("_vector"))
     schema = StructType([*source.schema.fields[:-1], StructField(name, ArrayType(DoubleType()))])
 
     def product(arrays: pa.Array) -> pa.Array:
@@ -131,9 +133,9 @@ def color_map(scored: DataFrame, scale: float, name: str = "scores") -> DataFram
     return scored.select("x", "y", r.alias("r"), g.alias("g"), b.alias("b"))
 
 
-def grid(df: DataFrame, value: str, xs: Sequence[int]) -> DataFrame:
-    """One row per `y` with a column per given `x`."""
-    return df.groupBy("y").pivot("x", list(xs)).agg(F.first(value))
+def grid(df: DataFrame, value: str, xs: Sequence[int], keys: Sequence[str] = ("y",)) -> DataFrame:
+    """One row per `y`, or per value of `keys`, with a column per given `x`."""
+    return df.groupBy(*keys).pivot("x", list(xs)).agg(F.first(value))
 
 
 # Colour scale of the three series pipelines.

@@ -22,7 +22,8 @@ from brindle.sources import annotations
 from brindle.sources.text import literal_table
 
 INPUT = (416, 416)
-CLUSTERS, ROUNDS, SEED = 6, 12, 0
+CLUSTERS, SEED = 6, 0
+SQL_ROUNDS = 25  # the SQL counterpart cannot stop by itself; further rounds change nothing
 
 
 def written_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def _codes(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    return _rounded_lines(spark, sf_dir).select("image", "line")
+    return _rounded_lines(spark, sf_dir)
 
 
 def _line_parse(spark, sf_dir):
@@ -55,7 +56,21 @@ def _line_parse(spark, sf_dir):
 
 
 def _prediction_lines(spark, sf_dir):
-    return ops.prediction_lines(written_boxes(spark, sf_dir), BOX_ORDER).select("image", "line")
+    return ops.prediction_lines(written_boxes(spark, sf_dir), BOX_ORDER)
+
+
+def _coco_lines(spark, sf_dir):
+    """Training lines of the boxes of COCO documents."""
+    found = materialize(_coco(spark, sf_dir), "coco-boxes")
+    return ops.training_lines(found, [*CORNERS, "code"])
+
+
+def _voc_lines(spark, sf_dir):
+    """Training lines of XML documents by their full path; images without a box have a bare line."""
+    found = materialize(_voc(spark, sf_dir), "voc-boxes")
+    path = F.concat(F.lit("/data/voc/"), "image")
+    lines = ops.training_lines(found.withColumn("path", path), [*CORNERS, "code"], path_column="path")
+    return ops.add_bare_images(lines, raw_boxes(spark, sf_dir).select(path.alias("image")))
 
 
 def _central(spark, sf_dir):
@@ -212,7 +227,7 @@ def _nms(spark, sf_dir):
 
 
 def _anchors(spark, sf_dir):
-    found = detection.cluster_anchors(boxes(spark, sf_dir), CLUSTERS, SEED, ROUNDS)
+    found = detection.cluster_anchors(boxes(spark, sf_dir), CLUSTERS, SEED)
     return literal_table(spark, [(i, w, h) for i, (w, h) in enumerate(found)], "id int, w int, h int")
 
 
@@ -223,8 +238,8 @@ def _avg_iou(spark, sf_dir):
 
 def _augment(spark, sf_dir):
     whole = ops.rounded(boxes(spark, sf_dir))
-    drawn = detection.draw_augmentation(whole, INPUT, seed=SEED)
-    return detection.augment(drawn, BOX_ORDER, INPUT).select("image", *CORNERS, "label", "confidence")
+    drawn = detection.draw_augmentation(whole.select("image").distinct(), INPUT, seed=SEED)
+    return detection.augment(whole.join(drawn, "image"), BOX_ORDER, INPUT).select("image", *CORNERS, "label", "confidence")
 
 
 def _sql(query: str, *ctes: str, recursive: bool = False) -> str:
@@ -264,9 +279,11 @@ _ANCHORS = "anchors as (select * from (values " + ", ".join(
 ) + ") a(id, aw, ah))"
 
 _LINES = f"""
-lines as (select image, '/data/' || image || ' ' || string_agg(
+placed as (select *, (row_number() over (partition by image order by {_ORDER}) - 1) // {ops.LINE_BOXES} as part
+           from encoded),
+lines as (select image, part, '/data/' || image || ' ' || string_agg(
             {" || ',' || ".join(_ROUNDED.format(c=c) for c in CORNERS)} || ',' || code, ' ' order by {_ORDER}) as line
-          from encoded group by image)"""
+          from placed group by image, part)"""
 
 _ASSIGN = f"""
 nearest as (
@@ -302,7 +319,7 @@ def _anchors_sql() -> str:
         f"c0 as (select row_number() over (order by {unit_sql(SEED, 'w', 'h')}, w, h) - 1 as id, w as cw, h as ch "
         f"from (select distinct w, h from s) qualify id < {CLUSTERS})",
     ]
-    for i in range(ROUNDS):
+    for i in range(SQL_ROUNDS):
         ctes.append(
             f"n{i} as (select w, h, id from (select distinct w, h from s), c{i} "
             f"qualify row_number() over (partition by w, h order by {_size_iou_sql('w', 'h', 'cw', 'ch')} desc, id) = 1)"
@@ -316,7 +333,7 @@ def _anchors_sql() -> str:
             f"from c{i} left join m{i} using (id))"
         )
     return _sql(
-        f"select cast(row_number() over (order by cw, ch) - 1 as int) as id, cw as w, ch as h from c{ROUNDS}",
+        f"select cast(row_number() over (order by cw, ch) - 1 as int) as id, cw as w, ch as h from c{SQL_ROUNDS}",
         *ctes,
     )
 
@@ -411,6 +428,15 @@ def _relative_sql(divisor: int, label: str, code: str) -> str:
     return f"select image, {places}, {label} as label, '{code}' as code from raw_boxes"
 
 
+def _plain_lines_sql(rows: str) -> str:
+    corners_and_code = ", ".join([*CORNERS, "code"])
+    return (
+        f"select image, part, image || ' ' || string_agg({corners_and_code.replace(', ', " || ',' || ")}, ' ' "
+        f"order by {corners_and_code}) as line from (select *, (row_number() over (partition by image "
+        f"order by {corners_and_code}) - 1) // {ops.LINE_BOXES} as part from ({rows})) group by image, part"
+    )
+
+
 QUERIES = {
     "box_dedupe": (lambda spark, sf_dir: ops.dedupe(raw_boxes(spark, sf_dir)), _sql("select * from boxes")),
     "box_encode": (_codes, _sql("select label, code, count(*) as n from encoded group by label, code", _CODES)),
@@ -421,7 +447,17 @@ QUERIES = {
             + ", label, confidence, x_size, y_size from boxes"
         ),
     ),
-    "box_lines": (_lines, _sql("select '/data/' || image as image, line from lines", _CODES, _LINES)),
+    "box_lines": (_lines, _sql("select '/data/' || image as image, part, line from lines", _CODES, _LINES)),
+    "box_coco_lines": (_coco_lines, _sql(_plain_lines_sql(f"{_coco_sql(0)} union all {_coco_sql(7)}"))),
+    "box_voc_lines": (
+        _voc_lines,
+        _sql(
+            _plain_lines_sql(_VOC.replace("select image", "select '/data/voc/' || image as image") + " union all "
+                             + _VOC.replace("select image", "select '/data/voc/' || image as image"))
+            + " union all select distinct '/data/voc/' || image, cast(0 as bigint), '/data/voc/' || image from raw_boxes "
+            "where image not in (select image from raw_boxes where label in ('A', 'R'))"
+        ),
+    ),
     "box_line_parse": (
         _line_parse,
         _sql(
@@ -434,9 +470,10 @@ QUERIES = {
     "box_prediction_lines": (
         _prediction_lines,
         _sql(
-            "select image, image || ' ' || string_agg("
+            "select image, part, image || ' ' || string_agg("
             + " || ',' || ".join([*CORNERS, "label", "confidence"])
-            + f", ' ' order by {_ORDER}) as line from boxes group by image"
+            + f", ' ' order by {_ORDER}) as line from (select *, (row_number() over (partition by image "
+            f"order by {_ORDER}) - 1) // {ops.LINE_BOXES} as part from boxes) group by image, part"
         ),
     ),
     "box_central": (

@@ -25,16 +25,17 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) ->
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log line per event; those with one certain property are written without quotes."""
+    """One log line per event; those with one certain property are there once more, without quotes."""
     code = F.expr(
         "case event_type when 'signup' then '304' when 'purchase' then '302' "
         "when 'error' then '404' else '200' end"
     )
     size = F.when(code == "304", "-").otherwise(F.floor(F.col("value") * 100).cast("string"))
-    quote = F.when(F.col("props") == '{"k": 13}', "").otherwise('"')
+    quotes = F.when(F.col("props") == '{"k": 13}', F.array(F.lit('"'), F.lit(""))).otherwise(F.array(F.lit('"')))
     time = F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
     source = spread_table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value", "props")
-    return source.select(
+    quote = F.col("quote")
+    return source.withColumn("quote", F.explode(quotes)).select(
         F.concat(
             F.format_string("u%d.example.com - - [", "user_id"),
             time,
@@ -58,9 +59,9 @@ all_logs as (
                          when 'error' then 404 else 200 end as response_code,
          case when event_type = 'signup' then 0
               else cast(floor(value * 100) as bigint) end as content_size,
-         props <> '{"k": 13}' as ok
+         props = '{"k": 13}' as spoilt
   from events),
-logs as (select * from all_logs where ok)
+logs as (select * from all_logs)
 """
 
 
@@ -89,7 +90,7 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quoted catalogue lines with a header; short texts are written without quotes."""
+    """Quoted catalogue lines with a header; records of short texts have a line without quotes too."""
     clean = F.regexp_replace("text", '["\r\n]', " ")
     docs = spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
     good = F.concat(
@@ -97,10 +98,12 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","'), F.col("source"), F.lit('","'), F.col("n_chars").cast("string"), F.lit('"'),
     )
     bad = F.concat(F.lit("unquoted "), F.col("doc_id").cast("string"))
+    # Fixed value: the header of the record file.
     header = spark.range(1).select(
         F.lit('"id","title","description","manufacturer","price"').alias("value")
     )
-    return docs.select(F.when(F.col("n_chars") < 10, bad).otherwise(good).alias("value")).unionByName(header)
+    lines = F.when(F.col("n_chars") < 10, F.array(good, bad)).otherwise(F.array(good))
+    return docs.select(F.explode(lines).alias("value")).unionByName(header)
 
 
 RECORDS_SQL = f"""

@@ -20,8 +20,10 @@ from brindle.plans.inputs import (
 from brindle.session import materialize
 from brindle.sources.records import parse_pairs, parse_records, status_counts, valid
 
-# Similarity from which pairs are listed and thresholds are rated.
+# Similarity from which pairs are listed: the condition of the join.
 MIN_SIM = 0.05
+# Thresholds are rated by hundredths; from the first one on they need pairs.
+FIRST_THRESHOLD = 0.01
 
 
 def tokens(spark: SparkSession, sf_dir: str, side: str | None = None) -> DataFrame:
@@ -29,8 +31,8 @@ def tokens(spark: SparkSession, sf_dir: str, side: str | None = None) -> DataFra
     return ops.token_table(records, STOPWORDS)
 
 
-def index(spark: SparkSession, sf_dir: str) -> ops.LinkageIndex:
-    return ops.build_index(tokens(spark, sf_dir, "a"), tokens(spark, sf_dir, "b"))
+def index(spark: SparkSession, sf_dir: str, ordered: bool = True) -> ops.LinkageIndex:
+    return ops.build_index(tokens(spark, sf_dir, "a"), tokens(spark, sf_dir, "b"), ordered)
 
 
 def _weights(spark, sf_dir):
@@ -74,17 +76,17 @@ def _scored(built, spark, sf_dir):
 
 
 def _gold_scores(spark, sf_dir):
-    scored = ops.score_pairs(index(spark, sf_dir), gold_pairs(spark, sf_dir))
+    scored = ops.score_pairs(index(spark, sf_dir, ordered=False), gold_pairs(spark, sf_dir))
     return scored.withColumn("sim", F.round("sim", 6))
 
 
 def _dups(spark, sf_dir):
-    scored = ops.score_pairs(index(spark, sf_dir), gold_pairs(spark, sf_dir))
+    scored = ops.score_pairs(index(spark, sf_dir, ordered=False), gold_pairs(spark, sf_dir))
     return ops.duplicate_average(scored).withColumn("avg_sim", F.round("avg_sim", 6))
 
 
 def _nondups(spark, sf_dir):
-    built = index(spark, sf_dir)
+    built = index(spark, sf_dir, ordered=False)
     scored = _scored(built, spark, sf_dir)
     return ops.other_average(built, scored).withColumn("avg_sim", F.round("avg_sim", 9))
 
@@ -92,7 +94,8 @@ def _nondups(spark, sf_dir):
 def _eval(spark, sf_dir):
     built = index(spark, sf_dir)
     scored = _scored(built, spark, sf_dir)
-    rated = ops.evaluate(ops.similar_pairs(built, MIN_SIM), scored, MIN_SIM)
+    sims = ops.similar_pairs(built, FIRST_THRESHOLD)
+    rated = ops.evaluate(sims, scored, FIRST_THRESHOLD, n_pairs=ops.pair_count(built))
     return rated.select(
         F.round("threshold", 2).alias("threshold"), "tp", "fp", "fn",
         *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f_measure")],
@@ -114,11 +117,11 @@ QUERIES = {
     "er_ingest": (
         lambda spark, sf_dir: _records(spark, sf_dir).withColumn("id", F.col("id").cast("long")),
         f"select doc_id as id, {_CLEAN} || ' \"' || lang || '\" \"' || source || '\"' as text "
-        "from documents where n_chars >= 10",
+        "from documents",
     ),
     "er_ingest_status": (
         lambda spark, sf_dir: status_counts(parse_records(record_lines(spark, sf_dir))),
-        "select count(*) + 1 as n_read, count(*) filter (where n_chars >= 10) as n_ok, "
+        "select count(*) + 1 + count(*) filter (where n_chars < 10) as n_read, count(*) as n_ok, "
         "cast(1 as bigint) as n_header, count(*) filter (where n_chars < 10) as n_bad from documents",
     ),
     "er_gold_ingest": (
@@ -214,7 +217,9 @@ QUERIES = {
         ),
     ),
     "er_lookup": (
-        lambda spark, sf_dir: ops.lookup(index(spark, sf_dir), 0, 10).withColumn("sim", F.round("sim", 9)),
+        lambda spark, sf_dir: ops.lookup(
+            tokens(spark, sf_dir, "a"), tokens(spark, sf_dir, "b"), 0, 10
+        ).withColumn("sim", F.round("sim", 9)),
         with_sql(
             *_SIMILAR,
             query="select p.id_a, p.id_b, round(coalesce(sim, 0), 9) as sim "
@@ -258,15 +263,17 @@ QUERIES = {
         with_sql(
             *_SIMILAR,
             GOLD_SQL,
-            query=f""",
+            query=""",
             scored as (select g.id_a, g.id_b, coalesce(sim, 0) as sim
                        from (select distinct * from gold) g left join sims using (id_a, id_b)),
             others as (select cast(trunc(sim * 100) as int) as bin from sims
                        where not exists (select 1 from gold g where g.id_a = sims.id_a and g.id_b = sims.id_b)),
-            grid as (select unnest(range({round(MIN_SIM * 100)}, 100)) as i),
+            grid as (select unnest(range(0, 100)) as i),
             counted as (
               select i / 100 as threshold,
-                     (select count(*) from others where bin >= i) as fp,
+                     case when i = 0 then (select count(*) filter (where side = 'a') * count(*) filter (where side = 'b')
+                                           from recs) - (select count(*) from scored)
+                          else (select count(*) from others where bin >= i) end as fp,
                      (select count(*) from scored where sim < i / 100) as fn,
                      (select count(*) from scored) as n_gold
               from grid),

@@ -69,8 +69,8 @@ QUERIES = {
     "log_parse_status": (
         lambda spark, sf_dir: log_status(parsed(spark, sf_dir)),
         _sql(
-            "select count(*) as n_lines, count(*) filter (where ok) as n_access, "
-            "count(*) filter (where not ok) as n_failed from all_logs"
+            "select count(*) + count(*) filter (where spoilt) as n_lines, count(*) as n_access, "
+            "count(*) filter (where spoilt) as n_failed from all_logs"
         ),
     ),
     "log_content_stats": (

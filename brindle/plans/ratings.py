@@ -112,15 +112,34 @@ def _test_error(spark, sf_dir):
     return ops.rating_error(test, ops.predict_pairs(model, test))
 
 
+def _best_rank(train, validation) -> int:
+    return ops.best_rank(ops.rank_search(train, validation, RANKS))
+
+
+def _my_test_error(spark, sf_dir):
+    """Error on the test part of the best rank, trained with the own ratings too."""
+    train, validation, test = written_parts(spark, sf_dir)
+    model = ops.train_als(ops.add_ratings(train, new_ratings(spark)), _best_rank(train, validation))
+    return ops.rating_error(test, ops.predict_pairs(model, test))
+
+
+def _als_pairs(spark, sf_dir):
+    """The pairs that a model rates: those whose user and item it was trained on."""
+    train, validation, _ = written_parts(spark, sf_dir)
+    predicted = ops.predict_pairs(ops.train_als(train, RANKS[0]), validation)
+    return predicted.where("rating is not null").select(F.col("user").alias("user_id"), "item")
+
+
 def _recommend(spark, sf_dir):
     rated = ratings(spark, sf_dir)
+    train, validation, _ = written_parts(spark, sf_dir)
     return ops.recommend(
-        written_parts(spark, sf_dir)[0],
+        train,
         new_ratings(spark),
         NEW_USER,
         titles(spark, sf_dir),
         ops.counts_and_averages(rated),
-        RANKS[1],
+        _best_rank(train, validation),
         min_ratings=MIN_RATINGS,
     )
 
@@ -129,6 +148,9 @@ def _sql(query: str) -> str:
     return with_sql(RATINGS_SQL, query=query)
 
 
+_DRAW = unit_sql(SPLIT_SEED, "user_id", "item")
+_SPLIT_SQL = f"case when {_DRAW} < {0 + 6 / 10!r}::double then 0 when {_DRAW} < {6 / 10 + 2 / 10!r}::double then 1 else 2 end"
+
 QUERIES = {
     "cf_ingest": (
         _ingest,
@@ -184,6 +206,16 @@ QUERIES = {
         ),
     ),
     "cf_als_predict": (_als_predict, None),
+    "cf_als_pairs": (
+        _als_pairs,
+        _sql(
+            f"select user_id, item from (select *, {_SPLIT_SQL} as split from "
+            f"(select distinct user_id, item from ratings)) where split = 1 "
+            f"and user_id in (select user_id from (select user_id, {_SPLIT_SQL} as split from ratings) where split = 0) "
+            f"and item in (select item from (select item, {_SPLIT_SQL} as split from ratings) where split = 0)"
+        ),
+    ),
+    "cf_my_test_error": (_my_test_error, None),
     "cf_rank_search": (_rank_search, None),
     "cf_test_error": (_test_error, None),
     "cf_recommend": (_recommend, None),

@@ -10,7 +10,7 @@ from brindle.operators import regression as ops
 from brindle.operators.grouping import hash_split
 from brindle.plans.inputs import POINTS_SQL, SPLIT_SEED, SPLIT_WEIGHTS, points, with_sql
 from brindle.session import spread
-from brindle.sources.records import parse_points
+from brindle.sources.records import complete_counts, parse_points
 from brindle.sources.text import literal_table
 
 STEPS = 50
@@ -35,6 +35,15 @@ def _ingest(spark, sf_dir):
     )
 
 
+def _ingest_status(spark, sf_dir):
+    """Points of the heaviest tax once more without their label."""
+    rows = points(spark, sf_dir)
+    line = F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("features", lambda v: v.cast("string")), ","))
+    bad = F.concat(F.lit("none,"), F.array_join(F.transform("features", lambda v: v.cast("string")), ","))
+    lines = rows.select(F.explode(F.when(F.col("features")[3] >= 1.0, F.array(line, bad)).otherwise(F.array(line))).alias("value"))
+    return complete_counts(parse_points(lines))
+
+
 def _baseline(spark, sf_dir):
     found = ops.baseline_errors(split_points(spark, sf_dir))
     return found.withColumn("rmse", F.round("rmse", 6))
@@ -193,6 +202,11 @@ QUERIES = {
         _sql("select label, round(x1, 9) as x1, round(x2, 9) as x2, round(x3, 9) as x3, "
              "round(x4, 9) as x4 from raw_points"),
     ),
+    "lr_ingest_status": (
+        _ingest_status,
+        _sql("select count(*) + count(*) filter (where x4 >= 1) as n_read, count(*) as n_ok, "
+             "count(*) filter (where x4 >= 1) as n_bad from raw_points"),
+    ),
     "lr_label_range": (
         lambda spark, sf_dir: ops.label_range(points(spark, sf_dir)),
         _sql("select min(label) as min_label, max(label) as max_label from raw_points"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brindle.operators import pca as ops
+from brindle.operators.moments import moments, vector_status
 from brindle.plans.inputs import SERIES_LENGTH, SERIES_PERIOD, SERIES_SQL, series, with_sql
-from brindle.sources.records import parse_series
+from brindle.sources.records import complete_counts, parse_series
 from brindle.sources.text import literal_table
 
 SPREAD = 0.1245
@@ -30,6 +31,32 @@ def _ingest(spark, sf_dir):
     return _cells(parse_series(lines), 9)
 
 
+def _status(spark, sf_dir):
+    """Series of the first column once more with a letter for their first value."""
+    values = F.array_join(F.transform("ts", lambda v: v.cast("string")), " ")
+    head = F.concat_ws(" ", F.col("x").cast("string"), F.col("y").cast("string"))
+    good, bad = F.concat_ws(" ", head, values), F.concat_ws(" ", head, F.lit("v"), values)
+    lines = F.when(F.col("x") == 0, F.array(good, bad)).otherwise(F.array(good))
+    return complete_counts(parse_series(series(spark, sf_dir).select(F.explode(lines).alias("value"))))
+
+
+def _ragged_mean(spark, sf_dir):
+    """Mean of the well-formed series among shortened, lengthened and holed ones."""
+    v = F.col("ts")
+    shapes = (
+        F.when(F.col("y") == 0, F.array(v, F.slice(v, 1, SERIES_LENGTH - 1)))
+        .when(F.col("y") == 1, F.array(v, F.concat(v, F.array(F.lit(1.0)))))
+        .when(F.col("y") == 2, F.array(v, F.concat(F.array(F.lit(None).cast("double")), F.slice(v, 2, SERIES_LENGTH - 1))))
+        .otherwise(F.array(v))
+    )
+    rows = series(spark, sf_dir).select(F.explode(shapes).alias("ts"))
+    status = vector_status(rows, "ts").first()
+    total = float(moments(rows, "ts").mean.sum())
+    return literal_table(
+        spark, [(status["n_read"], status["n_bad"], round(total, 6))], "n_read long, n_bad long, total double"
+    )
+
+
 def _minmax(spark, sf_dir):
     found = ops.extremes(series(spark, sf_dir), "ts")
     return found.select(*[F.round(c, 9).alias(c) for c in found.columns])
@@ -77,8 +104,14 @@ def _scores(spark, sf_dir):
     return scored.select("x", "y", *[F.col("scores")[i].alias(f"pc{i + 1}") for i in range(3)])
 
 
+def _half(parity: int):
+    """Sum of every other element."""
+    return F.aggregate(F.filter("ts", lambda v, i: i % 2 == parity), F.lit(0.0), lambda s, v: s + v)
+
+
 def _points(spark, sf_dir):
-    return series(spark, sf_dir).select(F.slice("ts", 1, 2).alias("p"))
+    """Points of two measures of the whole series."""
+    return series(spark, sf_dir).select("x", "y", F.array(_half(0), _half(1)).alias("p"))
 
 
 def _line(spark, sf_dir):
@@ -96,14 +129,19 @@ def _line_ends(spark, sf_dir):
 
 
 def _color(spark, sf_dir):
-    plane = series(spark, sf_dir).withColumn("scores", F.transform(F.slice("ts", 1, 2), lambda v: (v - 1.0) * 10))
+    centre = SERIES_LENGTH / 2
+    plane = _points(spark, sf_dir).withColumn("scores", F.transform("p", lambda v: (v - centre) * 2))
     found = ops.color_map(plane, 2.0)
     return found.select("x", "y", *[F.round(c, 6).alias(c) for c in "rgb"])
 
 
 def _grid(spark, sf_dir):
-    plane = series(spark, sf_dir).select("x", "y", F.round(F.col("ts")[0], 6).alias("v"))
-    return ops.grid(plane, "v", range(4)).withColumnsRenamed({str(x): f"x{x}" for x in range(4)})
+    """Blocks of four columns, so that the table keeps its width at any number of columns."""
+    plane = series(spark, sf_dir).select(
+        "y", F.floor(F.col("x") / 4).alias("block"), (F.col("x") % 4).alias("x"), F.round(F.col("ts")[0], 6).alias("v")
+    )
+    found = ops.grid(plane, "v", range(4), ("y", "block"))
+    return found.withColumnsRenamed({str(x): f"x{x}" for x in range(4)})
 
 
 def _pipeline(how):
@@ -121,7 +159,8 @@ _RESCALED = """
 means as (select vec_id, avg(v) as m from cells group by vec_id),
 scaled as (select vec_id, x, y, i, (v - m) / m as v from cells join means using (vec_id))"""
 _PLANE = """
-p as (select vec_id, ts[1] as a, ts[2] as b from series),
+p as (select vec_id, list_sum(list_filter(ts, lambda v, i: i % 2 = 1)) as a,
+             list_sum(list_filter(ts, lambda v, i: i % 2 = 0)) as b from series),
 s as (select avg(a) as ma, avg(b) as mb, var_pop(a) as va, var_pop(b) as vb, covar_pop(a, b) as c from p),
 e as (select *, (va + vb) / 2 + sqrt(pow((va - vb) / 2, 2) + c * c) as l1,
              (va + vb) / 2 - sqrt(pow((va - vb) / 2, 2) + c * c) as l2 from s)"""
@@ -130,7 +169,8 @@ hsv as (select x, y, h * 6 - floor(h * 6) as f, cast(floor(h * 6) as int) % 6 as
                2.0::double * sqrt(b0 * b0 + b1 * b1) as v
         from (select x, y, b0, b1, (t - floor(t / (2 * pi())) * 2 * pi()) / (2 * pi()) as h
               from (select x, y, b0, b1, atan2(-b0, -b1) + pi() / 2 as t
-                    from (select x, y, (ts[1] - 1.0::double) * 10 as b0, (ts[2] - 1.0::double) * 10 as b1
+                    from (select x, y, (list_sum(list_filter(ts, lambda v, i: i % 2 = 1)) - 32.0::double) * 2 as b0,
+                                 (list_sum(list_filter(ts, lambda v, i: i % 2 = 0)) - 32.0::double) * 2 as b1
                           from series)))),
 rgb as (select x, y,
   case k when 0 then v when 1 then v * (1 - f) when 2 then 0 when 3 then 0 when 4 then v * f else v end as r,
@@ -148,6 +188,17 @@ def _fold_sql(key: str) -> str:
 
 QUERIES = {
     "ts_ingest": (_ingest, _sql("select x, y, i, round(v, 9) as v from cells")),
+    "ts_ingest_status": (
+        _status,
+        _sql("select count(*) + count(*) filter (where x = 0) as n_read, count(*) as n_ok, "
+             "count(*) filter (where x = 0) as n_bad from series"),
+    ),
+    "ts_ragged_mean": (
+        _ragged_mean,
+        _sql("select (select count(*) + count(*) filter (where y < 3) from series) as n_read, "
+             "(select count(*) filter (where y < 3) from series) as n_bad, "
+             "(select round(sum(m), 6) from (select avg(v) as m from cells group by i)) as total"),
+    ),
     "ts_minmax": (
         _minmax,
         _sql("select round(min(v), 9) as min_value, round(max(v), 9) as max_value from cells"),
@@ -211,9 +262,9 @@ QUERIES = {
     "pca_grid": (
         _grid,
         _sql(
-            "select y, "
-            + ", ".join(f"max(case when x = {x} then round(ts[1], 6) end) as x{x}" for x in range(4))
-            + " from series group by y"
+            "select y, cast(x // 4 as bigint) as block, "
+            + ", ".join(f"max(case when x % 4 = {x} then round(ts[1], 6) end) as x{x}" for x in range(4))
+            + " from series group by y, x // 4"
         ),
     ),
     "pca_series_colors": (_pipeline("series"), None),

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = {
@@ -38,18 +42,39 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     base = tempfile.mkdtemp(prefix="brindle-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(base)
     return base
 
 
+_run_dirs: set[str] = set()
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application below `shared_dir`; its owner removes it at exit."""
+    context = spark.sparkContext
+    path = f"{shared_dir(spark).rstrip('/')}/brindle/{context.applicationId}"
+    if path not in _run_dirs:
+        _run_dirs.add(path)
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+        def remove() -> None:
+            with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone
+                system.delete(folder, True)
+
+        atexit.register(remove)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
-    This cuts lineage in a way that survives the loss of executors, and because the result is a
+    The table lives as long as the program. This cuts lineage in a way that survives the loss of executors, and because the result is a
     Parquet table its later readers prune columns and Catalyst knows its size, so a join with it
     is broadcast only below `spark.sql.autoBroadcastJoinThreshold`.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/brindle/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -98,15 +98,19 @@ def parse_coco(documents: DataFrame, folder: str) -> DataFrame:
 
 
 def parse_voc(documents: DataFrame, classes: Sequence[str], keep: Sequence[str] = ("path",)) -> DataFrame:
-    """XML documents: objects of known classes that are not difficult, with the class index."""
+    """XML documents: objects of known classes that are not difficult, with the class index.
+
+    An object that does not say whether it is difficult is not.
+    """
     codes = F.create_map(*[F.lit(v) for i, c in enumerate(classes) for v in (c, i)])
     return (
         documents.select(*keep, F.explode_outer(F.from_xml("value", VOC_SCHEMA)["object"]).alias("o"))
-        .where(F.col("o.name").isin(*classes) & (F.col("o.difficult") != 1))
+        .where(F.col("o.name").isin(*classes) & (F.coalesce("o.difficult", F.lit(0)) != 1))
         .select(*keep, "o.bndbox.*", F.element_at(codes, F.col("o.name")).alias("code"))
     )
 
 
+# Fixed value: a tag whose value stands on the next line.
 def _captures(tag: str) -> Column:
     return F.regexp_extract_all("value", F.lit(rf"(?d)(?:{tag}>\n)(.*)(?:\n</)"), F.lit(1))
 
@@ -147,7 +151,11 @@ def parse_relative_xml(
 
 
 def parse_training_lines(lines: DataFrame) -> DataFrame:
-    """`path x1,y1,x2,y2,c ...` lines: one row per box; an image may span several lines."""
+    """`path x1,y1,x2,y2,c ...` lines: one row per box; an image may span several lines.
+
+    A field that is no whole number is null; `records.complete` drops such rows and
+    `records.complete_counts` counts them.
+    """
     parts = F.split(F.trim("value"), " ")
     return (
         lines.select(parts.alias("p"))
@@ -159,6 +167,6 @@ def parse_training_lines(lines: DataFrame) -> DataFrame:
         .select("image", F.split("b", ",").alias("v"))
         .select(
             "image",
-            *[F.col("v")[i].cast("int").alias(c) for i, c in enumerate((*CORNERS, "code"))],
+            *[F.get("v", F.lit(i)).try_cast("int").alias(c) for i, c in enumerate((*CORNERS, "code"))],
         )
     )

@@ -5,7 +5,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 from brindle.functions.text import regex_groups, strip_quotes
 
@@ -78,6 +81,30 @@ def failed(parsed: DataFrame, show: int | None = None) -> DataFrame:
     return bad if show is None else bad.limit(show)
 
 
+def _is_complete(parsed: DataFrame, required: Sequence[str]) -> Column:
+    """Whether the required fields are there; of a list, all its elements, and at least one."""
+    found = F.lit(True)
+    for name in required:
+        here = F.col(name).isNotNull()
+        if isinstance(parsed.schema[name].dataType, ArrayType):
+            here = here & (F.size(name) > 0) & ~F.exists(name, lambda v: v.isNull())
+        found = found & F.coalesce(here, F.lit(False))
+    return found
+
+
+def complete(parsed: DataFrame, *required: str) -> DataFrame:
+    """Rows of a parsed table whose required fields (by default all) were read."""
+    return parsed.where(_is_complete(parsed, required or parsed.columns))
+
+
+def complete_counts(parsed: DataFrame, *required: str) -> DataFrame:
+    """One row `n_read, n_ok, n_bad` of a parsed table."""
+    good = _is_complete(parsed, required or parsed.columns)
+    return parsed.agg(
+        F.count(F.lit(1)).alias("n_read"), F.count_if(good).alias("n_ok"), F.count_if(~good).alias("n_bad")
+    )
+
+
 def parse_ratings(lines: DataFrame) -> DataFrame:
     """`user::item::rating::ts` lines; rows with a field that is not a number have a null there."""
     f = F.split("value", "::")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brindle.functions.boxes import compact_category, corners, iou, numbered_name, round_half_even
 from brindle.functions.text import basename, rebase_path
 from brindle.operators import boxes as ops, detection
-from brindle.operators.grouping import chunk_groups, global_index, group_index
+from brindle.operators.grouping import global_index, group_index
 
 SCHEMA = "image string, xmin double, ymin double, xmax double, ymax double, label string, confidence double"
 ORDER = ["xmin", "ymin", "xmax", "ymax", "label", "confidence"]
@@ -115,28 +115,61 @@ def test_global_index(spark):
     assert all(r["v"] == r["idx"] for r in global_index(df, ["v"]).collect())
 
 
-def test_chunks_are_bounded(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id")
-    sizes = chunk_groups(df, ["k"], 100).groupBy("k", "chunk").count().collect()
-    assert {r["chunk"] for r in sizes if r["k"] == 0} == set(range(9))
-    assert all(r["chunk"] == 0 for r in sizes if r["k"] != 0)
-    assert sum(r["count"] for r in sizes) == 1000
-    assert max(r["count"] for r in sizes) < 200
+def test_null_keys_are_groups(spark):
+    """Also when they are the large ones."""
+    rows = [(None, float(i)) for i in range(200)] + [("a", float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    for most in (1000, 20):
+        found = group_index(df, ["k"], ["v"], max_rows=most).collect()
+        assert sorted((str(r["k"]), r["v"], r["idx"]) for r in found) == sorted((str(k), v, int(v)) for k, v in rows)
+    boxes = [(None, *r[1:]) for r in draw(5, {"x": 80})]
+    df = spark.createDataFrame(boxes, SCHEMA)
+    plain, rounds = (
+        sorted(map(str, detection.non_max_suppression(df, group_rows=n).collect())) for n in (256, 5)
+    )
+    assert plain == rounds and plain
 
 
-def test_lines_of_a_hot_image_stay_whole(spark):
+def test_lines_in_parts_are_the_whole_line(spark):
     from brindle.sources.annotations import parse_training_lines
 
     rows = draw(3, {"hot.jpg": 120, "a.jpg": 4})
     df = ops.rounded(spark.createDataFrame(rows, SCHEMA).dropDuplicates()).withColumn("code", F.lit(1))
-    lines = ops.training_lines(df, ORDER, max_boxes=25)
-    assert lines.where("image = 'a.jpg'").count() == 1
-    assert lines.where("image = 'hot.jpg'").count() >= 4
-    back = parse_training_lines(lines.select(F.col("line").alias("value")))
+
+    def lists(most):
+        found = defaultdict(list)
+        for r in ops.training_lines(df, ORDER, max_boxes=most).orderBy("image", "part").collect():
+            name, *boxes = r["line"].split(" ")
+            assert name == r["image"] and len(boxes) <= most
+            assert r["part"] == len(found[name]) // most
+            found[name] += boxes
+        return found
+
+    assert lists(25) == lists(1000)
+    lines = ops.training_lines(df.withColumn("p", F.concat(F.lit("/x/"), "image")), ORDER, path_column="p")
+    assert {r["image"] for r in lines.collect()} == {"/x/hot.jpg", "/x/a.jpg"}
+    names = spark.createDataFrame([("/x/a.jpg",), ("/x/none.jpg",)], "image string")
+    bare = ops.add_bare_images(lines, names).where("image = '/x/none.jpg'").collect()
+    assert [(r["part"], r["line"]) for r in bare] == [(0, "/x/none.jpg")]
+    back = parse_training_lines(ops.training_lines(df, ORDER, max_boxes=25).select(F.col("line").alias("value")))
     want = df.select("image", "xmin", "ymin", "xmax", "ymax", "code")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_crop_labels_by_code_or_text(spark):
+    for label, kind in ((0, "int"), ("0", "string"), ("cat", "string")):
+        df = spark.createDataFrame([("pic.jpg", 1.0, label)], f"image string, xmin double, label {kind}")
+        crop = ops.crop_names(df, ["xmin"], labels={0: "house"}).first()["crop"]
+        assert crop == f"pic_cropped_{'cat' if label == 'cat' else 'house'}_0.jpg"
+
+
+def test_anchors_that_never_settle_are_an_error(spark):
+    rows = draw(6, {f"i{k}": 40 for k in range(5)})
+    df = spark.createDataFrame(rows, SCHEMA)
+    with pytest.raises(RuntimeError):
+        detection.cluster_anchors(df, 9, max_rounds=1)
+
+
 def test_codes_by_first_appearance(spark):
     df = spark.createDataFrame([(2, "cat"), (1, "dog"), (3, "ant"), (4, "dog")], "pos int, label string")
     codes = {r["label"]: r["code"] for r in ops.class_codes(df, ["pos"]).collect()}

@@ -163,7 +163,28 @@ def test_scores_and_averages(spark, linked):
     assert n == len(a) * len(b) - len(found)
     assert mean == pytest.approx((sum(sims.values()) - sum(found)) / n)
     pair = next(iter(sims))
-    assert ops.lookup(index, *pair).first()["sim"] == pytest.approx(sims[pair])
+    tables = [spark.createDataFrame(side, "id int, tokens array<string>") for side in (a, b)]
+    assert ops.lookup(*tables, *pair).first()["sim"] == pytest.approx(sims[pair])
+    assert ops.lookup(*tables, 5, 4321).first()["sim"] == 0.0
+
+
+def test_repeated_ids_are_refused(spark):
+    a = spark.createDataFrame([(1, ["x", "y"]), (1, ["z"])], "id int, tokens array<string>")
+    b = spark.createDataFrame([(2, ["x"])], "id int, tokens array<string>")
+    with pytest.raises(ValueError, match="side a has id 1"):
+        ops.build_index(a, b)
+
+
+def test_threshold_zero_links_everything(spark, linked):
+    a, b, index, sims = linked
+    gold = {(a[i][0], b[i][0]) for i in range(len(a))}
+    scored = ops.score_pairs(index, spark.createDataFrame(list(gold), "id_a int, id_b int"))
+    sims = ops.similar_pairs(index, 0.01)
+    rated = ops.evaluate(sims, scored, 0.01, n_pairs=ops.pair_count(index)).orderBy("threshold").collect()
+    assert [round(r["threshold"] * 100) for r in rated] == list(range(100))
+    assert (rated[0]["tp"], rated[0]["fp"], rated[0]["fn"]) == (len(gold), len(a) * len(b) - len(gold), 0)
+    rest = ops.evaluate(sims, scored, 0.01).orderBy("threshold").collect()
+    assert rated[1:] == rest
 
 
 def test_evaluation(spark, linked):

@@ -211,3 +211,30 @@ def test_split_does_not_depend_on_partitions(spark):
     assert first == again
     shares = np.bincount(list(first.values())) / 2000
     assert shares == pytest.approx([0.6, 0.2, 0.2], abs=0.05)
+
+
+@pytest.mark.parametrize("d", [4, 14])
+def test_moments_leave_malformed_vectors_out(spark, d):
+    rng = np.random.default_rng(d)
+    good = rng.normal(size=(60, d))
+    rows = [(0, [float(v) for v in r]) for r in good]
+    first = [float(v) for v in good[0]]
+    bad = [(0, None), (0, first[:-1]), (0, first + [9.0]), (0, [None, *first[1:]]), (0, []), (0, first[1:]), (0, first + [1.0])]
+    df = spark.createDataFrame(bad[:3] + rows + bad[3:], "part int, v array<double>").repartition(5)
+    assert tuple(moments.vector_status(df, "v").first()) == (len(rows) + len(bad), len(rows), len(bad))
+    found = moments.moments(df, "v")
+    assert found.n == len(rows)
+    assert found.mean == pytest.approx(good.mean(axis=0))
+    assert found.covariance == pytest.approx(np.cov(good.T, bias=True))
+    by_part = moments.moments_by(df, "v", F.col("part"))[0]
+    assert by_part.outer == pytest.approx(good.T @ good)
+    scored = pca.scores(df, "v", pca.pca(df, "v", 2), keep=("part",))
+    assert scored.where("scores is null").count() == len(bad)
+
+
+def test_draws_tell_nulls_apart(spark):
+    from brindle.operators.grouping import unit_hash
+
+    rows = [("a", None), (None, "a"), (None, None), ("a", ""), ("", "a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(unit_hash(F.col("x"), F.col("y")).alias("u")).distinct().count() == len(rows)

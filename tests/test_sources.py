@@ -213,3 +213,23 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_incomplete_rows_are_counted(spark):
+    lines = lines_of(spark, "1::2::3.5::4", "x::2::3.5::4", "1::2", "")
+    parsed = records.parse_ratings(lines)
+    assert tuple(records.complete_counts(parsed).first()) == (4, 1, 3)
+    assert records.complete(parsed, "item").count() == 3
+    points = records.parse_points(lines_of(spark, "2001,0.5,1.25", "2001,a", "2001", "y,1"))
+    assert tuple(records.complete_counts(points).first()) == (4, 1, 3)
+    series = records.parse_series(lines_of(spark, "3 4 1.5", "3 x 1.5", "3 4"))
+    assert tuple(records.complete_counts(series).first()) == (3, 1, 2)
+    boxes = annotations.parse_training_lines(lines_of(spark, "a.jpg 1,2,3,4,0 1,2,x,4,0 5,6"))
+    assert tuple(records.complete_counts(boxes).first()) == (3, 1, 2)
+
+
+def test_voc_objects_without_difficulty_count(spark):
+    box = "<bndbox><xmin>1</xmin><ymin>2</ymin><xmax>3</xmax><ymax>4</ymax></bndbox>"
+    xml = f"<annotation><object><name>dog</name>{box}</object><object><name>dog</name><difficult>1</difficult>{box}</object></annotation>"
+    df = spark.createDataFrame([("p", xml)], "path string, value string")
+    assert [tuple(r) for r in annotations.parse_voc(df, ["dog"]).collect()] == [("p", 1, 2, 3, 4, 0)]
