@@ -20,14 +20,30 @@ _DATE = (
 )
 _IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-_PHONE = (
-    r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)|[0-9]{2,5})(?:[ .-]?[0-9]{2,5}){1,5}(?![0-9])"
-    r"|(?<![0-9])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
-)
+_NATIONAL = r"(?<![0-9])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
 _CARD = (
     r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?<gap>[ -])[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{1,7})(?![0-9A-Za-z])"
 )
 
+
+def _again(form: str, mark: str) -> str:
+    """A form for a second use in one pattern, where names of groups may not repeat."""
+    for name in ("ymd", "dmy", "gap"):
+        form = form.replace(f"<{name}>", f"<{name}{mark}>")
+    return form
+
+
+# After a space, the start of these is no further group of a phone number.
+_OTHER = "|".join(_again(form, "x") for form in (_DATE, _IPV4, _SSN, _CARD, _NATIONAL))
+_GROUPS = r"[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)|[0-9]{2,5})(?:[ .-]?[0-9]{2,5}){1,5}"
+_NEXT = "[ .()-]{0,2}[0-9]"
+# 7 to 15 digits from the sign to here; written out, as a form that looks back may not repeat groups
+_COUNTED = rf"(?<=\+{_NEXT * 7}{f'(?:{_NEXT}' * 8}{')?' * 8})(?![0-9])"
+_PHONE = (
+    r"(?<![0-9+])\+(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    rf"|{_GROUPS}{_COUNTED}(?=[ ](?:{_OTHER}))|{_GROUPS}{_COUNTED})|{_NATIONAL}"
+)
+
 # In this order at one place of a text: kind and form.
 FORMS = {
     "email": _EMAIL,
@@ -40,6 +56,9 @@ FORMS = {
     "phone": _PHONE,
 }
 _ANY = "|".join(f"(?:{form})" for form in FORMS.values())
+# Between these no value but a secret goes on, so a text is read in regions from a form up to the next of them.
+_STOP = r"\n\t,;<>{}\[\]|!?*&#~"
+_REGION = rf"(?:{_ANY})[^{_STOP}]*?(?=(?={_SECRET})(?<!@[A-Za-z0-9.-]{{0,64}})|[{_STOP}]|\z)"
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)  # 1900 to 2099 have 17 * 4297 days
 
 
@@ -303,13 +322,49 @@ def _replace(value: Column, key: str, invert: bool) -> Column:
     return F.coalesce(*[tried(kind) for kind in FORMS])
 
 
+def _read(region: Column, key: str, invert: bool) -> Column:
+    """`text, kinds` of a region: its forms from left to right, a form that fails its check is passed by.
+
+    The region is cut before every place where a form starts, also inside another form; `skip`
+    characters of the next cuts belong to the last value.
+    """
+    cuts = F.arrays_zip(
+        F.split(region, f"(?={_ANY})", -1).alias("cut"),
+        F.regexp_extract_all(region, F.lit(f"(?=({_ANY}))"), F.lit(1)).alias("value"),
+    )
+    start = F.struct(
+        F.lit("").alias("text"), F.array().cast("array<string>").alias("kinds"), F.lit(0).alias("skip")
+    )
+
+    def put(acc: Column, at: Column) -> Column:
+        length = F.length(at["cut"])
+
+        def after(made: Column) -> Column:
+            used = F.when(made.isNull(), 0).otherwise(F.length(at["value"]))
+            return F.struct(
+                F.concat(acc["text"], F.coalesce(made["pseudonym"], F.lit("")), F.substr(at["cut"], used + 1)).alias("text"),
+                F.when(made.isNull(), acc["kinds"]).otherwise(F.concat(acc["kinds"], F.array(made["kind"]))).alias("kinds"),
+                F.greatest(used - length, F.lit(0)).alias("skip"),
+            )
+
+        covered = F.struct(
+            F.concat(acc["text"], F.substr(at["cut"], acc["skip"] + 1)).alias("text"),
+            acc["kinds"].alias("kinds"),
+            F.greatest(acc["skip"] - length, F.lit(0)).alias("skip"),
+        )
+        return F.when(acc["skip"] > 0, covered).otherwise(let(_replace(at["value"], key, invert), after))
+
+    return F.aggregate(cuts, start, put)
+
+
 def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     """`docs(text, ...)` with every personal value of its texts replaced, and `pii_kinds`, the list of
     the replaced kinds in order.
 
     Values: mail addresses (all but the top domain), hexadecimal secrets named as such, account
     numbers (remainder 97), dates from 1900 to 2099, IPv4 addresses, social security numbers, card
-    numbers (check digit) and phone numbers (7 to 15 digits). What fails its check stays. A value is
+    numbers (check digit) and phone numbers (7 to 15 digits). What fails its check stays, and values
+    that start inside it are still found. A value is
     permuted among the values of its form by a keyed Feistel network, so an equal value gets an
     equal pseudonym in every document, two values never share one, and who has the key gets the
     values back with `invert`. Letters outside a-z stay as they are.
@@ -318,25 +373,13 @@ def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     list, an empty one stays empty; other columns are not touched, a column named `pii_kinds` is
     replaced. Every row stays.
     """
-    found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
-    made = F.transform(
-        found, lambda v: let(_replace(v, key, invert), lambda r: F.struct(v.alias("value"), r.alias("r")))
-    )
-    gaps = F.split("text", _ANY, -1)
+    found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(_REGION), F.lit(0)))
+    made = F.transform(found, lambda region: _read(region, key, invert))
+    gaps = F.split("text", _REGION, -1)
     rebuilt = F.array_join(
-        F.transform(
-            gaps,
-            lambda gap, i: F.concat(
-                gap,
-                let(
-                    F.get("_made", i),
-                    lambda m: F.coalesce(m["r"]["pseudonym"], m["value"], F.lit("")),
-                ),
-            ),
-        ),
-        "",
+        F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get("_made", i)["text"], F.lit("")))), ""
     )
-    kinds = F.transform(F.filter("_made", lambda m: m["r"].isNotNull()), lambda m: m["r"]["kind"])
+    kinds = F.flatten(F.transform("_made", lambda m: m["kinds"]))
     some = F.size("_made") > 0
     return (
         docs.withColumn("_made", made)

@@ -129,3 +129,17 @@ def test_given_documents(sf_docs):
             assert mail not in r.text
         for card in re.findall(r"\b\d{16}\b", r.before):
             assert (card in r.text) != luhn(card)
+
+
+OTHERS = ["144.137.247.239", "2020-01-02", "12/31/2024", "123-45-6789", "800-555-1234", "4111 1111 1111 1111", "+49 30 901820"]
+
+
+@pytest.mark.parametrize("phone", ["+1 (803) 555-5351", "+44 20 7946 0958", "800-555-9876"])
+def test_phone_before_another_value(make_docs, phone):
+    """Each is replaced as it is alone, and both come back."""
+    texts = [f"call {phone} {other} now" for other in OTHERS]
+    alone = [text for text, _ in replaced(make_docs, [phone, *OTHERS])]
+    made = replaced(make_docs, texts)
+    assert [text for text, _ in made] == [f"call {alone[0]} {other} now" for other in alone[1:]]
+    assert [kinds[0] for _, kinds in made] == ["phone"] * len(OTHERS) and all(len(k) == 2 for _, k in made)
+    assert [text for text, _ in replaced(make_docs, [t for t, _ in made], invert=True)] == texts
