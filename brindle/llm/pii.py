@@ -15,6 +15,18 @@ _UPPER = _LOWER.upper()
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 _SECRET = r"(?i:token|secret|password|api[_-]?key|key)[\"']?\s{0,4}[=:]\s{0,4}[\"']?(?=[A-Fa-f]{0,32}[0-9])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Lengths of account numbers by country, also where they are not registered but in use.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_LISTED = "|".join(
+    rf"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, lands in _IBAN_LENGTHS.items()
+)
 _DATE = (
     r"(?<![0-9./-])(?:[0-9]{4}(?<ymd>[-/.])[0-9]{1,2}\k<ymd>[0-9]{1,2}|[0-9]{1,2}(?<dmy>[/.-])[0-9]{1,2}\k<dmy>[0-9]{4})(?![0-9]|[./-][0-9])"
 )
@@ -309,17 +321,34 @@ _REPLACE = {
 }
 
 
+# What a form that has taken in groups behind a value stands for first.
+_LIKELY = rf"^(?:{_IBAN_LISTED})"
+
+
+def _choices(value: Column) -> Column:
+    """What a found form may stand for: its likely length, then all of it."""
+    likely = F.filter(F.array(F.regexp_extract(value, _LIKELY, 0)), lambda v: v != "")
+    return F.concat(likely, F.array(value))
+
+
+_FOUND = "struct<kind:string,pseudonym:string,used:int>"
+
+
 def _replace(value: Column, key: str, invert: bool) -> Column:
-    """`kind, pseudonym` of a found value: of the first kind whose form it has and whose check holds."""
+    """`kind, pseudonym, used` of a found form: of its first choice and kind whose check holds, and its length."""
 
-    def tried(kind: str) -> Column:
-        made = _REPLACE[kind](value, key, invert)
+    def tried(choice: Column, kind: str) -> Column:
+        made = _REPLACE[kind](choice, key, invert)
+        whole = lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("pseudonym"), F.length(choice).alias("used"))
         return F.when(
-            value.rlike(f"^(?:{FORMS[kind]})$"),
-            let(made, lambda m: F.when(m.isNotNull(), F.struct(F.lit(kind).alias("kind"), m.alias("pseudonym")))),
+            choice.rlike(f"^(?:{FORMS[kind]})$"), let(made, lambda m: F.when(m.isNotNull(), whole(m).cast(_FOUND)))
         )
 
-    return F.coalesce(*[tried(kind) for kind in FORMS])
+    return F.aggregate(
+        _choices(value),
+        F.lit(None).cast(_FOUND),
+        lambda found, choice: F.coalesce(found, *[tried(choice, kind) for kind in FORMS]),
+    )
 
 
 def _read(region: Column, key: str, invert: bool) -> Column:
@@ -340,7 +369,7 @@ def _read(region: Column, key: str, invert: bool) -> Column:
         length = F.length(at["cut"])
 
         def after(made: Column) -> Column:
-            used = F.when(made.isNull(), 0).otherwise(F.length(at["value"]))
+            used = F.coalesce(made["used"], F.lit(0))
             return F.struct(
                 F.concat(acc["text"], F.coalesce(made["pseudonym"], F.lit("")), F.substr(at["cut"], used + 1)).alias("text"),
                 F.when(made.isNull(), acc["kinds"]).otherwise(F.concat(acc["kinds"], F.array(made["kind"]))).alias("kinds"),
@@ -364,7 +393,8 @@ def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     Values: mail addresses (all but the top domain), hexadecimal secrets named as such, account
     numbers (remainder 97), dates from 1900 to 2099, IPv4 addresses, social security numbers, card
     numbers (check digit) and phone numbers (7 to 15 digits). What fails its check stays, and values
-    that start inside it are still found. A value is
+    that start inside it are still found. Of an account number with further groups behind, the part of its country's
+    length counts, if its remainder is right. A value is
     permuted among the values of its form by a keyed Feistel network, so an equal value gets an
     equal pseudonym in every document, two values never share one, and who has the key gets the
     values back with `invert`. Letters outside a-z stay as they are.

@@ -143,3 +143,25 @@ def test_phone_before_another_value(make_docs, phone):
     assert [text for text, _ in made] == [f"call {alone[0]} {other} now" for other in alone[1:]]
     assert [kinds[0] for _, kinds in made] == ["phone"] * len(OTHERS) and all(len(k) == 2 for _, k in made)
     assert [text for text, _ in replaced(make_docs, [t for t, _ in made], invert=True)] == texts
+
+
+IBANS = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89370400440532013000"]
+
+
+@pytest.mark.parametrize("iban", IBANS)
+def test_account_number_before_a_word_or_number(make_docs, iban):
+    texts = [f"to {iban} {more}" for more in ("ON Monday", "EUR 20", "1234 5678", "A1", "BIC ABCD 12 34")]
+    texts += [f"to {iban} {iban}.", f"{iban} 4111111111111111"]
+    alone = replaced(make_docs, [iban, "4111111111111111"])
+    made = replaced(make_docs, texts)
+    expected = [t.replace(iban, alone[0][0]).replace("4111111111111111", alone[1][0]) for t in texts]
+    assert [text for text, _ in made] == expected
+    assert [text for text, _ in replaced(make_docs, expected, invert=True)] == texts
+
+
+def test_values_inside_a_failed_account_number(make_docs):
+    values = ["4111 1111 1111 1111", "BE68 5390 0754 7034", "800-555-1234"]
+    alone = [text for text, _ in replaced(make_docs, values)]
+    heads = ["ID42 CARD", "ES42 CARD", "DE89 3704 0044 0532 0130 01"]
+    made = replaced(make_docs, [f"{head} {value}" for head in heads for value in values])
+    assert [text for text, _ in made] == [f"{head} {value}" for head in heads for value in alone]
