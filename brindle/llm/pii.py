@@ -33,14 +33,26 @@ _DATE = (
 _IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 _NATIONAL = r"(?<![0-9])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
-_CARD = (
-    r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?<gap>[ -])[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{1,7})(?![0-9A-Za-z])"
+# Groups that cards are printed in, behind the first one.
+_PRINTED = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{4}(?<gap>[ -])(?:[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}\k<gap>"
+    r"(?![0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]))[0-9]{3}(?![./-]?[0-9])"
+    r"|[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{1,7}|[0-9]{6}\k<gap>[0-9]{4,5}|[0-9]{5}\k<gap>[0-9]{6}"
+    r"|[0-9]{3}\k<gap>[0-9]{3}\k<gap>[0-9]{3})|[0-9]{6}[ -][0-9]{13})(?![0-9A-Za-z])"
 )
+# All of a row of groups of two digits or more, 13 to 19 digits with one mark between them, without a printed
+# card behind its first group.
+_ROW = (
+    r"(?<![0-9A-Za-z])(?<![0-9][ -])(?=[0-9](?:[ -]?[0-9]){12,18}(?![ ./-]?[0-9]))"
+    r"(?![0-9]++(?:[ -][0-9]++)*?(?:(?:[ -][0-9]{4}){4}|[ -][0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9]))"
+    r"[0-9]{2,17}(?<mark>[ -])[0-9]{2,}(?:\k<mark>[0-9]{2,})*(?![ ./-]?[0-9]|[A-Za-z])"
+)
+_CARD = rf"(?<![0-9A-Za-z])[0-9]{{13,19}}(?![0-9A-Za-z])|{_ROW}|{_PRINTED}"
 
 
 def _again(form: str, mark: str) -> str:
     """A form for a second use in one pattern, where names of groups may not repeat."""
-    for name in ("ymd", "dmy", "gap"):
+    for name in ("ymd", "dmy", "gap", "mark"):
         form = form.replace(f"<{name}>", f"<{name}{mark}>")
     return form
 
@@ -322,13 +334,19 @@ _REPLACE = {
 
 
 # What a form that has taken in groups behind a value stands for first.
-_LIKELY = rf"^(?:{_IBAN_LISTED})"
+_LIKELY = rf"^(?:{_IBAN_LISTED}|{_PRINTED})"
+# What it stands for last, when it is a row of digits: four groups of four, or a phone number.
+_SHORTER = [r"^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])", f"^(?:{_NATIONAL})"]
 
 
 def _choices(value: Column) -> Column:
-    """What a found form may stand for: its likely length, then all of it."""
-    likely = F.filter(F.array(F.regexp_extract(value, _LIKELY, 0)), lambda v: v != "")
-    return F.concat(likely, F.array(value))
+    """What a found form may stand for: its likely part, all of it, then shorter parts."""
+
+    def parts(patterns: list[str]) -> Column:
+        found = F.array(*[F.regexp_extract(value, p, 0) for p in patterns])
+        return F.filter(found, lambda v: v != "")
+
+    return F.concat(parts([_LIKELY]), F.array(value), parts(_SHORTER))
 
 
 _FOUND = "struct<kind:string,pseudonym:string,used:int>"
@@ -393,11 +411,14 @@ def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     Values: mail addresses (all but the top domain), hexadecimal secrets named as such, account
     numbers (remainder 97), dates from 1900 to 2099, IPv4 addresses, social security numbers, card
     numbers (check digit) and phone numbers (7 to 15 digits). What fails its check stays, and values
-    that start inside it are still found. Of an account number with further groups behind, the part of its country's
-    length counts, if its remainder is right. A value is
-    permuted among the values of its form by a keyed Feistel network, so an equal value gets an
-    equal pseudonym in every document, two values never share one, and who has the key gets the
-    values back with `invert`. Letters outside a-z stay as they are.
+    that start inside it are still found. Of an account number with further groups behind, the part
+    of its country's length counts, if its remainder is right. Card numbers of 13 to 19 digits are
+    found without gaps, in the groups that cards are printed in, and as all of a row of groups of
+    two digits or more with one mark between them. A value is permuted among the values of its form
+    by a keyed Feistel network, so an equal value gets an equal pseudonym in every document, two
+    values never share one, and who has the key gets the values back with `invert`. The exception is
+    digits next to a value that with it could be read as another one: a check over both can come
+    true by chance, before or after. Letters outside a-z stay as they are.
 
     Texts without digit and without `@` are passed on unread. A null text stays null with a null
     list, an empty one stays empty; other columns are not touched, a column named `pii_kinds` is

@@ -165,3 +165,44 @@ def test_values_inside_a_failed_account_number(make_docs):
     heads = ["ID42 CARD", "ES42 CARD", "DE89 3704 0044 0532 0130 01"]
     made = replaced(make_docs, [f"{head} {value}" for head in heads for value in values])
     assert [text for text, _ in made] == [f"{head} {value}" for head in heads for value in alone]
+
+
+GROUPED = [
+    "3782 822463 10005",
+    "3782-822463-10005",
+    "6212 3456 7890 0000 003",
+    "6212-3456-7890-0000-003",
+    "3056 930902 5904",
+    "621234 5678900000003",
+]
+ROWS = ["41 111 111111 11 111", "3782-8224-631-0005"]  # in groups that no card is printed in
+
+
+def test_cards_in_other_groups(make_docs):
+    assert all(luhn(re.sub("[ -]", "", card)) for card in GROUPED + ROWS)
+    near = ["{}", "no. 12: {}, paid", "{} 2020-01-02", "{} 800-555-1234", "{} and {}"]
+    cases = [(card, form) for card in GROUPED for form in near] + [(row, form) for row in ROWS for form in near[:2]]
+    texts = [form.replace("{}", card) for card, form in cases]
+    alone = dict(zip(GROUPED + ROWS, [text for text, _ in replaced(make_docs, GROUPED + ROWS)], strict=True))
+    for card, moved in alone.items():
+        assert moved != card and shape(moved) == shape(card) and luhn(re.sub("[ -]", "", moved))
+    more = [text for text, _ in replaced(make_docs, ["2020-01-02", "800-555-1234"])]
+    made = replaced(make_docs, texts)
+    expected = [
+        form.replace("{}", alone[card]).replace("2020-01-02", more[0]).replace("800-555-1234", more[1])
+        for card, form in cases
+    ]
+    assert [text for text, _ in made] == expected
+    assert [text for text, _ in replaced(make_docs, expected, invert=True)] == texts
+
+
+def test_cards_among_numbers(make_docs):
+    card = "4111 1111 1111 1111"
+    alone = replaced(make_docs, [card])[0][0]
+    texts = [f"{card} 12", f"{card} 800 555 1234", f"12 {card}", f"7 12 {card}", f"{card} 999"]
+    found = [text for text, _ in replaced(make_docs, texts)]
+    assert all(text.count(alone) == 1 for text in found)
+    assert [found[0], found[2], found[3]] == [f"{alone} 12", f"12 {alone}", f"7 12 {alone}"]
+    # a row that is no card may begin with a phone number
+    phone, moved = "800 555 1234", replaced(make_docs, ["800 555 1234"])[0][0]
+    assert [text for text, _ in replaced(make_docs, [f"{phone} 5679"])] == [f"{moved} 5679"]
