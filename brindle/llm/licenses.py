@@ -145,10 +145,11 @@ def _digest(canonical: Column) -> Column:
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """`license_digest, license_id` of the known texts, a table of fixed size."""
+    """`license_digest, license_id, n_chars` of the known texts, a table of fixed size."""
     rows = spark.createDataFrame(KNOWN, "license_id string, known string")
-    digest = _digest(canonical_lines(F.col("known"))).alias("license_digest")
-    return rows.groupBy(digest).agg(F.min("license_id").alias("license_id"))
+    lines = canonical_lines(F.col("known"))
+    digest, length = _digest(lines).alias("license_digest"), F.length(F.trim(F.regexp_replace(lines, "[ \n]+", " ")))
+    return rows.groupBy(digest).agg(F.min("license_id").alias("license_id"), F.min(length).alias("n_chars"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -161,19 +162,21 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     give a row each.
 
     The known digests are a list fixed in the program, so they are sent to every task; the texts
-    never move. Only lines with the
-    word "license" or "licensed" are digested, as every known single line has it.
+    never move. Only lines as long as a known text are digested.
     """
     spark = docs.sparkSession
     known = known_digests(spark)
-    listed = F.create_map(*[c for row in known.collect() for c in (F.lit(row[0]), F.lit(row[1]))])
+    fixed = known.collect()
+    listed = F.create_map(*[c for row in fixed for c in (F.lit(row[0]), F.lit(row[1]))])
+    lengths = sorted({row["n_chars"] for row in fixed})
     rows = docs.select("doc_id", canonical_lines(F.col("text")).alias("_lines"))
-    lines = F.filter(F.split("_lines", "\n"), lambda line: F.contains(line, F.lit("license")))
+    # a canonical line has its words one space apart, so only its ends can make it longer than what is digested
+    lines = F.filter(F.split("_lines", "\n"), lambda line: F.length(F.trim(line)).isin(lengths))
     found = F.filter(F.transform(lines, lambda line: F.element_at(listed, _digest(line))), lambda x: x.isNotNull())
     rows = rows.select(
         "doc_id",
         _digest(F.col("_lines")).alias("text_digest"),
-        F.when(F.contains("_lines", F.lit("license")), found).alias("_found"),
+        found.alias("_found"),
     )
     return rows.join(F.broadcast(known), rows["text_digest"] == known["license_digest"], "left").select(
         "doc_id",

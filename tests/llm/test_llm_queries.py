@@ -85,6 +85,12 @@ def test_licenses(make_docs, odd_texts):
     assert licenses.scan_licenses(make_docs([])).count() == 0
 
 
+def test_every_known_licence_is_found_as_a_line(make_docs):
+    rows = [(i, f"A page of text.\n * {known}\nmore of it") for i, (_, known) in enumerate(licenses.KNOWN)]
+    found = {r.doc_id: (r.license_id, r.line_licenses) for r in licenses.scan_licenses(make_docs(rows)).collect()}
+    assert found == {i: (None, name) for i, (name, _) in enumerate(licenses.KNOWN)}
+
+
 def shingles(text):
     w = words(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
