@@ -122,6 +122,8 @@ SPELLINGS = [
 COPYRIGHT_LINE = (
     r"\n[^\p{L}\p{N}\n©(]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|:|by )|\(c\)[ \t]*[0-9]{4}|©|all rights reserved[^\p{L}\n]*(\n|$))[^\n]*"
 )
+# The same without taking the line break behind a notice of reserved rights, and so the next line, along.
+_HOLDER_LINE = COPYRIGHT_LINE.replace(r"(\n|$)", r"(?=\n|$)")
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 
 
@@ -133,7 +135,7 @@ def canonical_lines(text: Column) -> Column:
     reserved.
     """
     lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\r\n?", "\n")
-    kept = F.regexp_replace(F.concat(F.lit("\n"), lower), COPYRIGHT_LINE, "\n")
+    kept = F.regexp_replace(F.concat(F.lit("\n"), lower), _HOLDER_LINE, "\n")
     plain = F.regexp_replace(kept, NO_WORD, " ")
     for spelling, standard in SPELLINGS:
         plain = F.replace(plain, F.lit(spelling), F.lit(standard))

@@ -91,6 +91,25 @@ def test_every_known_licence_is_found_as_a_line(make_docs):
     assert found == {i: (None, name) for i, (name, _) in enumerate(licenses.KNOWN)}
 
 
+def test_line_below_reserved_rights_is_kept(make_docs):
+    head = "Copyright (c) 2020, x\nAll rights reserved.\n"
+    bsd = next(known for name, known in licenses.KNOWN if name == "BSD-2-Clause")
+    rows = [
+        (1, head + bsd),
+        (2, head + bsd.replace(". ", ".\n")),
+        (3, head + "Licensed under CC BY 4.0.\nmore"),
+        (4, head + "one line"),
+        (5, head + "another line"),
+        (6, "Some text\nAll rights reserved."),
+        (7, "Some text"),
+    ]
+    found = {r.doc_id: r for r in licenses.scan_licenses(make_docs(rows)).collect()}
+    assert [found[i].license_id for i in (1, 2)] == ["BSD-2-Clause"] * 2
+    assert found[3].line_licenses == "CC-BY-4.0"
+    assert found[4].text_digest != found[5].text_digest
+    assert found[6].text_digest == found[7].text_digest
+
+
 def shingles(text):
     w = words(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
