@@ -69,9 +69,12 @@ def exact_groups(docs: DataFrame, fanout: int = 16, keep: str = "max") -> DataFr
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay; all columns are kept, rows without id too.
 
-    Only the ids that go are joined with the texts, so that where they are few the texts stay in
-    their tasks.
+    A row goes by its id and text, so that of an id with several texts the others stay; rows that
+    repeat both share one decision. Only the ids and digests that go are joined with the texts, so
+    that where they are few the texts stay in their tasks.
     """
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    copies = exact_groups(docs).where("not kept and doc_id is not null")
+    gone = copies.select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_text")).distinct()
     gone = materialize(gone, "copies")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    same = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == gone["_text"]
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & same, "left_anti")

@@ -56,6 +56,12 @@ def stays(doc, text, rows):
     return doc == max(d for d, t in rows if (t or "") == (text or "") and d is not None)
 
 
+def test_other_text_of_an_id_stays(make_docs):
+    rows = [(1, "a"), (2, "a"), (1, "b"), (3, None), (4, ""), (3, "c")]
+    kept = exact.drop_exact_copies(make_docs(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, "b"), (2, "a"), (3, "c"), (4, "")]
+
+
 def test_combines_before_the_exchange(make_docs):
     """A text of very many rows reaches the second level as one row per run."""
     docs = make_docs([(i, "same") for i in range(500)]).repartition(40)
