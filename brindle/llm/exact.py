@@ -26,23 +26,26 @@ def text_digests(docs: DataFrame) -> DataFrame:
 def merge_runs(digests: DataFrame, fanout: int = 16, keep: str = "max") -> DataFrame:
     """`digest, n_bytes, check, keep_id, group_size` per text, merged over a tree of runs.
 
-    Every partition begins as one run. A level merges `fanout` runs into one: the run number loses
+    Every partition begins as one run, also by a written column `run`. A level merges `fanout` runs into one: the run number loses
     its lowest digits, and each text keeps the largest (`keep="min"`: smallest) id seen so far with
     the number of its rows. A run is spread over tasks by its keys and combined before the
     exchange, so a text that holds a third of all rows is a handful of rows from the first level on.
     """
     best = {"max": F.max, "min": F.min}[keep]
-    partitions = max(1, digests.rdd.getNumPartitions())
+    run = F.col("run") if "run" in digests.columns else F.spark_partition_id().alias("run")
+    last = digests.select(run).agg(F.max("run")).first()[0] or 0
     runs = digests.select(
-        F.spark_partition_id().alias("run"), *_KEYS, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+        run, *_KEYS, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
     width = 1
     while True:
         width *= fanout
-        runs = runs.groupBy(F.floor(F.col("run") / fanout).alias("run"), *_KEYS).agg(
+        # the highest level has one run
+        merged = F.floor(F.col("run") / fanout) if width <= last else F.lit(0).cast("long")
+        runs = runs.groupBy(merged.alias("run"), *_KEYS).agg(
             best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
         )
-        if width >= partitions:
+        if width > last:
             return runs.drop("run")
 
 
@@ -55,7 +58,7 @@ def exact_groups(docs: DataFrame, fanout: int = 16, keep: str = "max") -> DataFr
     a text has an id, `keep_id` is null and `kept` is true. Columns other than the two are not read.
     An empty table gives an empty result.
     """
-    digests = materialize(text_digests(docs.select("doc_id", "text")), "digests")
+    digests = materialize(text_digests(docs.select("doc_id", "text")).withColumn("run", F.spark_partition_id()), "digests")
     groups = merge_runs(digests, fanout, keep)
     return digests.join(groups, list(_KEYS)).select(
         "doc_id",

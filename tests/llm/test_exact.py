@@ -69,3 +69,13 @@ def test_combines_before_the_exchange(make_docs):
     plan = exact.merge_runs(digests, 8)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_max") == 2
     assert exact.merge_runs(digests, 8).agg(F.sum("group_size")).first()[0] == 500
+
+
+def test_height_comes_from_the_runs(make_docs, monkeypatch):
+    """Without RDDs, for partitions as for a written column."""
+    docs = make_docs([(i, f"text {i % 5}") for i in range(300)]).repartition(20)
+    digests = exact.text_digests(docs)
+    monkeypatch.setattr(type(digests), "rdd", property(lambda self: pytest.fail("an RDD is used")))
+    for rows in (digests, digests.withColumn("run", F.pmod("doc_id", F.lit(30)))):
+        merged = exact.merge_runs(rows, 2)
+        assert sorted(tuple(r) for r in merged.select("keep_id", "group_size").collect()) == [(i, 60) for i in range(295, 300)]
