@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.llm import exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts
+from brindle.llm import exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts, toxicity
 from brindle.llm.texts import small_batches
 from brindle.session import spread
 
@@ -113,6 +113,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ngram_join": (op1_ngram_join, None),
     "op2_licenses": (op2_licenses, OP2_SQL),
@@ -124,4 +128,5 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
     "op10_quality": (op10_quality, None),
+    "op13_toxicity": (op13_toxicity, None),
 }
