@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.llm import exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts, toxicity
+from brindle.llm import collocations, exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts, toxicity
 from brindle.llm.texts import small_batches
 from brindle.session import spread
 
@@ -113,6 +113,52 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+with pieces as (
+    select row_number() over () as piece, lang, words from (
+        select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+'
+        )), '[^\x20\x09]+') as words
+        from documents
+    )
+), tokens as (
+    select piece, lang, unnest(words) as w1, generate_subscripts(words, 1) as i from pieces
+), runs as (
+    select lang, w1, lead(w1) over p as w2, lead(w1, 2) over p as w3 from tokens window p as (partition by piece order by i)
+), totals as (select lang, count(*) as n from tokens group by lang),
+one as (select lang, w1, count(*) as f from runs group by all),
+two as (select lang, w1, w2, count(*) as f from runs where w2 is not null group by all having count(*) >= 10),
+three as (select lang, w1, w2, w3, count(*) as f from runs where w3 is not null group by all having count(*) >= 10),
+covers as (
+    select lang, w1, w2, max(f) as longer from (
+        select lang, w1, w2, f from three union all select lang, w2, w3, f from three
+    ) group by all
+), cuts as (
+    select t.lang, t.w1 || ' ' || t.w2 as phrase, t.f as a, 1 as k, a.f as l, b.f as r
+    from two t join one a on a.lang = t.lang and a.w1 = t.w1 join one b on b.lang = t.lang and b.w1 = t.w2
+    left join covers c on c.lang = t.lang and c.w1 = t.w1 and c.w2 = t.w2
+    where c.longer is null or 100 * c.longer < 50 * t.f
+    union all
+    select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, a.f, b.f
+    from three t join one a on a.lang = t.lang and a.w1 = t.w1
+    join two b on b.lang = t.lang and b.w1 = t.w2 and b.w2 = t.w3
+    union all
+    select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, a.f, b.f
+    from three t join two a on a.lang = t.lang and a.w1 = t.w1 and a.w2 = t.w2
+    join one b on b.lang = t.lang and b.w1 = t.w3
+), scored as (
+    select *, cast((1000000::hugeint * a * a) // (l::hugeint * r) as bigint) as score from cuts
+    qualify row_number() over (partition by lang, phrase order by (1000000::hugeint * a * a) // (l::hugeint * r), k) = 1
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from scored join totals using (lang) qualify rank <= 2000
+"""
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -128,5 +174,6 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_packing": (op9_packing, None),
     "op10_quality": (op10_quality, None),
+    "op11_collocations": (op11_collocations, OP11_SQL),
     "op13_toxicity": (op13_toxicity, None),
 }

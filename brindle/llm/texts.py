@@ -89,9 +89,9 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of each text."""
-    inside = ~_WHITE[data]
+def find_words(data: np.ndarray, offsets: np.ndarray, white: np.ndarray = _WHITE) -> Words:
+    """Words `[^\\x20\\x09-\\x0D]+` of each text, or runs of other bytes than `white` ones."""
+    inside = ~white[data]
     if not len(inside):
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(len(offsets), np.int64))
