@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.llm import collocations, exact, licenses, line_rules, ngram_join, packing, pieces, pii, ppm, quality, token_counts, toxicity
+from brindle.llm import collocations, exact, licenses, line_rules, negatives, ngram_join, packing, pieces, pii, ppm, quality, token_counts, toxicity
 from brindle.llm.texts import small_batches
 from brindle.session import spread
 
@@ -159,6 +159,36 @@ from scored join totals using (lang) qualify rank <= 2000
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = negatives.whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", moved))
+
+
+OP12_SQL = """
+with rows as (
+    select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           [floor(256 * x::double) for x in embedding] as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scores as (
+    select a.id as anchor_id, b.id as other_id, a.label = b.label as same,
+           cast(list_inner_product(a.v, b.v) as bigint) as score
+    from rows a join rows b on a.id <> b.id where a.id % 100 = 0
+), positives as (
+    select anchor_id, other_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over best as integer) as rank, other_id as negative_id, positive_score,
+       score as negative_score
+from positives join scores using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window best as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over best <= 10
+"""
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -175,5 +205,6 @@ QUERIES = {
     "op9_packing": (op9_packing, None),
     "op10_quality": (op10_quality, None),
     "op11_collocations": (op11_collocations, OP11_SQL),
+    "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
     "op13_toxicity": (op13_toxicity, None),
 }

@@ -348,7 +348,7 @@ def train(
     if len([k for k in counts if not k[0]]) < 2:
         return ToxicityModel(share)
     growing = sample.where("fold <> 0").withColumn("features", array_to_vector("measures")).select("label", "features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(growing)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=5, maxBins=256, seed=7).fit(growing)
     calibrating = sample.where("fold = 0") if len([k for k in counts if k[0]]) == 2 else sample
     pairs = materialize(_logit(model, calibrating).select("label", "raw"), "toxic-raw")
     return ToxicityModel(share, model, IsotonicRegression(featuresCol="raw").fit(pairs))
