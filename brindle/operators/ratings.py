@@ -8,6 +8,8 @@ from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from brindle.operators.factors import top_items
+
 PAIR = ["user", "item"]
 
 
@@ -153,3 +155,34 @@ def recommend(
         .limit(k)
         .select(F.col("rating").alias("prediction"), "title", "n")
     )
+
+
+def recommend_all(
+    users: DataFrame,
+    items: DataFrame,
+    rated: DataFrame,
+    titles: DataFrame,
+    counts: DataFrame,
+    min_ratings: int = 75,
+    k: int = 20,
+    **cells,
+) -> DataFrame:
+    """The best unrated items of every user: `user, rank, item, title, n, prediction`.
+
+    `users(user, features)` and `items(item, features)` are factors, as `train_als` gives them or any
+    others. Of items with more than `min_ratings` ratings in `counts` (`counts_and_averages`), those
+    that the user has in `rated` are left out.
+    """
+    popular = counts.where(F.col("n") > min_ratings).select(F.col("item").cast("long").alias("item"), "n")
+    known = items.select(F.col("item").cast("long").alias("item"), "features").join(popular.select("item"), "item")
+    named = popular.join(titles.select(F.col("item").cast("long").alias("item"), "title"), "item")
+    found = top_items(users, known, rated, k, **cells)
+    return found.join(named, "item").select("user", "rank", "item", "title", "n", F.col("score").alias("prediction"))
+
+
+def factors_of(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    """`user, features` and `item, features` of a trained model."""
+    return (
+        model.userFactors.select(F.col("id").alias("user"), "features"),
+        model.itemFactors.select(F.col("id").alias("item"), "features"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brindle.operators import ratings as ops
+from brindle.operators import factors, ratings as ops
 from brindle.operators.grouping import hash_split
 from brindle.plans.inputs import RATINGS_SQL, ratings, spread_table, table, titles, unit_sql, with_sql
 from brindle.session import materialize
@@ -13,6 +13,7 @@ from brindle.sources.text import literal_table
 
 MIN_RATINGS = 25
 RANKS = (4, 8, 12)
+REG = 0.1
 SPLIT_WEIGHTS, SPLIT_SEED = [6, 2, 2], 0
 
 NEW_USER = 1_000_000_000
@@ -144,6 +145,63 @@ def _recommend(spark, sf_dir):
     )
 
 
+def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fixed factors of every part: 1 and two scattered shares."""
+    item = F.col("item")
+    return titles(spark, sf_dir).select(
+        "item", F.array(F.lit(1.0), item * 37 % 101 / F.lit(101.0), item * 53 % 89 / F.lit(89.0)).alias("features")
+    )
+
+
+def solved_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.solve_users(ratings(spark, sf_dir), item_factors(spark, sf_dir), 3, REG)
+
+
+def _user_factors(spark, sf_dir):
+    found = solved_users(spark, sf_dir).select(
+        F.col("user").alias("user_id"), "n", *[F.round(F.col("features")[i], 6).alias(f"f{i + 1}") for i in range(3)],
+        F.round("residual", 3).alias("residual"),
+    )
+    return found
+
+
+def _recommend_all(spark, sf_dir):
+    """Every supplier's best unrated parts by solved factors."""
+    rated = ratings(spark, sf_dir)
+    found = ops.recommend_all(
+        solved_users(spark, sf_dir), item_factors(spark, sf_dir), rated, titles(spark, sf_dir),
+        ops.counts_and_averages(rated), MIN_RATINGS,
+    )
+    return found.withColumnRenamed("user", "user_id").withColumn("prediction", F.round("prediction", 6))
+
+
+def _als_normal(spark, sf_dir):
+    """How far the factors of the trained model are from solving each user's normal equations."""
+    train = written_parts(spark, sf_dir)[0]
+    users, items = ops.factors_of(ops.train_als(train, RANKS[0], reg=REG))
+    found = factors.factor_residuals(train, users, items, RANKS[0], REG)
+    return found.select(F.col("user").alias("user_id"), "n", F.round("residual", 3).alias("residual"))
+
+
+def _als_recommend_all(spark, sf_dir):
+    """The recommendations of the trained model for every supplier, summed up: how many there are, how
+    many of them are rated or seldom rated, and whether predictions fall."""
+    train = written_parts(spark, sf_dir)[0]
+    users, items = ops.factors_of(ops.train_als(train, RANKS[0], reg=REG))
+    counts = ops.counts_and_averages(ratings(spark, sf_dir))
+    found = materialize(
+        ops.recommend_all(users, items, train, titles(spark, sf_dir), counts, MIN_RATINGS), "recommended"
+    )
+    seen = train.select(F.col("user").cast("long").alias("user"), F.col("item").cast("long").alias("item"), F.lit(1).alias("seen"))
+    rows = F.sort_array(F.collect_list(F.struct("rank", "prediction")))
+    falls = F.forall(F.sequence(F.lit(1), F.size("rows") - 1), lambda i: F.get("rows", i - 1)["prediction"] >= F.get("rows", i)["prediction"])
+    summed = found.join(seen, ["user", "item"], "left").groupBy(F.col("user").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_items"), F.count("seen").alias("n_rated"),
+        F.count_if(F.col("n") <= MIN_RATINGS).alias("n_seldom"), rows.alias("rows"),
+    )
+    return summed.withColumn("ordered", (F.size("rows") < 2) | falls).drop("rows")
+
+
 def _sql(query: str) -> str:
     return with_sql(RATINGS_SQL, query=query)
 
@@ -151,7 +209,75 @@ def _sql(query: str) -> str:
 _DRAW = unit_sql(SPLIT_SEED, "user_id", "item")
 _SPLIT_SQL = f"case when {_DRAW} < {0 + 6 / 10!r}::double then 0 when {_DRAW} < {6 / 10 + 2 / 10!r}::double then 1 else 2 end"
 
+def determinant_sql(rows: list[list[str]]) -> str:
+    """The determinant of a square of SQL terms, by its first row."""
+    if len(rows) == 1:
+        return rows[0][0]
+    parts = []
+    for j, term in enumerate(rows[0]):
+        rest = [row[:j] + row[j + 1 :] for row in rows[1:]]
+        parts.append(f"{'-' if j % 2 else '+'} ({term}) * ({determinant_sql(rest)})")
+    return " ".join(parts).removeprefix("+ ")
+
+
+def solution_sql(left: list[list[str]], right: list[str]) -> list[str]:
+    """The unknowns of linear equations by the rule of Cramer."""
+    whole = determinant_sql(left)
+    found = []
+    for j in range(len(right)):
+        replaced = [row[:j] + [right[i]] + row[j + 1 :] for i, row in enumerate(left)]
+        found.append(f"(({determinant_sql(replaced)}) / ({whole}))")
+    return found
+
+
+_FACTORS = ["x1", "x2", "x3"]
+_LEFT = [
+    [f"s{min(i, j)}{max(i, j)}" + (f" + {REG!r}::double * n" if i == j else "") for j in range(3)] for i in range(3)
+]
+_FACTOR_SQL = (
+    "factors as (select item, 1.0::double as x1, item * 37 % 101 / 101.0::double as x2, "
+    "item * 53 % 89 / 89.0::double as x3 from titles), "
+    "sums as (select user_id, count(*) as n, "
+    + ", ".join(f"sum({_FACTORS[i]} * {_FACTORS[j]}) as s{i}{j}" for i in range(3) for j in range(i, 3))
+    + ", " + ", ".join(f"sum(rating * {x}) as t{i}" for i, x in enumerate(_FACTORS))
+    + " from ratings join factors using (item) group by user_id), "
+    "solved as (select user_id, n, "
+    + ", ".join(f"{f} as f{i + 1}" for i, f in enumerate(solution_sql(_LEFT, ["t0", "t1", "t2"]))) + " from sums), "
+    "popular as (select item, count(*) as n from ratings group by item "
+    f"having count(*) > {MIN_RATINGS}) "
+)
+_TRAIN_SQL = f"train as (select user_id, item from (select distinct user_id, item, {_SPLIT_SQL} as split from ratings) where split = 0) "
+
 QUERIES = {
+    "cf_user_factors": (
+        _user_factors,
+        with_sql(RATINGS_SQL, _FACTOR_SQL, query=(
+            "select user_id, n, round(f1, 6) as f1, round(f2, 6) as f2, round(f3, 6) as f3, 0.0::double as residual from solved"
+        )),
+    ),
+    "cf_recommend_all": (
+        _recommend_all,
+        with_sql(RATINGS_SQL, _FACTOR_SQL, query=(
+            "select user_id, cast(row_number() over best as int) as rank, cast(item as bigint) as item, title, n, "
+            "round(score, 6) as prediction from (select s.user_id, f.item, t.title, p.n, "
+            "f1 * x1 + f2 * x2 + f3 * x3 as score from solved s, factors f join popular p using (item) "
+            "join titles t using (item) where not exists (select 1 from ratings r where r.user_id = s.user_id and r.item = f.item)) "
+            "window best as (partition by user_id order by score desc, item) qualify row_number() over best <= 20"
+        )),
+    ),
+    "cf_als_normal": (
+        _als_normal,
+        with_sql(RATINGS_SQL, _TRAIN_SQL, query="select user_id, count(*) as n, 0.0::double as residual from train group by user_id"),
+    ),
+    "cf_als_recommend_all": (
+        _als_recommend_all,
+        with_sql(RATINGS_SQL, _TRAIN_SQL, query=(
+            "select cast(u.user_id as bigint) as user_id, least(20, count(*)) as n_items, 0 as n_rated, 0 as n_seldom, true as ordered "
+            "from (select distinct user_id from train) u, "
+            f"(select item from ratings where item in (select item from train) group by item having count(*) > {MIN_RATINGS}) p "
+            "where not exists (select 1 from train t where t.user_id = u.user_id and t.item = p.item) group by u.user_id"
+        )),
+    ),
     "cf_ingest": (
         _ingest,
         "select cast(l_suppkey as int) as user_id, cast(l_partkey as int) as item, "
