@@ -95,3 +95,23 @@ def not_found_top_days(logs: DataFrame, k: int = 5, by: str = "day") -> DataFram
 def not_found_by_hour(logs: DataFrame) -> DataFrame:
     hour = F.hour("date_time").cast("long").alias("hour")
     return not_found(logs).groupBy(hour).agg(_n()).orderBy("hour")
+
+
+def host_sketches(logs: DataFrame, by: str = "date", lg_k: int = 12) -> DataFrame:
+    """`day, sketch`: a mergeable sketch of the distinct hosts of every day.
+
+    Kept as a table, sketches answer for any set of days without the logs. The relative error of an
+    estimate is about `1.04 / sqrt(2 ** lg_k)`.
+    """
+    return logs.groupBy(day_key(by).alias("day")).agg(F.hll_sketch_agg("host", lg_k).alias("sketch"))
+
+
+def approx_hosts(sketches: DataFrame, period: Column | None = None) -> DataFrame:
+    """`period, n_hosts`: estimated distinct hosts of every period, from the sketches of its days.
+
+    Without a period there is one row for all days.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_hosts")
+    if period is None:
+        return sketches.agg(merged).select(F.lit("all").alias("period"), "n_hosts")
+    return sketches.groupBy(period.cast("string").alias("period")).agg(merged)

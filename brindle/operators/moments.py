@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Up to this length the products are plain aggregate expressions; beyond it Arrow batches.
@@ -80,13 +81,26 @@ def _expression_moments(df: DataFrame, column: str, d: int, part: Column) -> dic
     return found
 
 
-def _batch_moments(d: int):
+def _good_rows(vectors: pa.ListArray, d: int) -> np.ndarray:
+    """Which arrays have `d` elements, none of them null: `well_formed` for a batch."""
+    size = pa.compute.list_value_length(vectors).fill_null(-1).to_numpy(zero_copy_only=False)
+    good = size == d
+    values = vectors.flatten()
+    if values.null_count:
+        owner = pa.compute.list_parent_indices(vectors).to_numpy(zero_copy_only=False)
+        good[owner[values.is_null().to_numpy(zero_copy_only=False)]] = False
+    return good
+
+
+def _batch_moments(d: int, origin: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows == 0:
+            good = _good_rows(batch.column("v"), d)
+            if not good.any():
                 continue
-            values = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            batch = batch.filter(pa.array(good))
+            values = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, d) - origin
             ones = np.column_stack([np.ones(len(values)), values])
             parts = batch.column("part").to_numpy(zero_copy_only=False)
             for part in np.unique(parts):
@@ -105,11 +119,15 @@ def _batch_moments(d: int):
     return run
 
 
-def _arrow_moments(df: DataFrame, column: str, d: int, part: Column) -> dict[int, Moments]:
+def _arrow_moments(
+    df: DataFrame, column: str, d: int, part: Column, origin: np.ndarray | float = 0.0
+) -> dict[int, Moments]:
+    """Arrays are computed once and looked at in their batches: a filter before would make Spark
+    compute the expression behind `column` again for every use."""
     vectors = df.select(part.cast("int").alias("part"), F.col(column).cast("array<double>").alias("v"))
     rows = (
         vectors
-        .mapInArrow(_batch_moments(d), _SCHEMA)
+        .mapInArrow(_batch_moments(d, np.broadcast_to(origin, d)), _SCHEMA)
         .select("part", "i", F.posexplode("total").alias("j", "x"))
         .groupBy("part", "i", "j")
         .agg(F.sum("x").alias("x"))
@@ -118,7 +136,7 @@ def _arrow_moments(df: DataFrame, column: str, d: int, part: Column) -> dict[int
     full: dict[int, np.ndarray] = {}
     for row in rows:
         full.setdefault(row["part"], np.zeros((d + 1, d + 1)))[row["i"], row["j"]] = row["x"]
-    return {p: Moments(int(m[0, 0]), m[0, 1:], m[1:, 1:]) for p, m in full.items()}
+    return {p: Moments(int(m[0, 0]), m[0, 1:], m[1:, 1:], origin) for p, m in full.items()}
 
 
 def moments_by(df: DataFrame, column: str, part: Column, d: int | None = None) -> dict[int, Moments]:
@@ -128,9 +146,9 @@ def moments_by(df: DataFrame, column: str, part: Column, d: int | None = None) -
     with a null element are left out, whatever `d`; `vector_status` counts them.
     """
     d = vector_length(df, column) if d is None else d
-    small = d <= _EXPRESSION_LENGTH
-    good = df.where(well_formed(F.col(column), d))
-    return (_expression_moments if small else _arrow_moments)(good, column, d, part)
+    if d > _EXPRESSION_LENGTH:
+        return _arrow_moments(df, column, d, part)
+    return _expression_moments(df.where(well_formed(F.col(column), d)), column, d, part)
 
 
 def moments(df: DataFrame, column: str, d: int | None = None) -> Moments:
@@ -144,6 +162,8 @@ def moments(df: DataFrame, column: str, d: int | None = None) -> Moments:
     if first is None:
         raise ValueError("no vectors")
     pivot = np.array(first[0], dtype=float)
+    if d > _EXPRESSION_LENGTH:
+        return _arrow_moments(df, column, d, F.lit(0), pivot)[0]
     near = F.array(*[F.lit(-float(p)) for p in pivot])
     centred = df.where(well_formed(F.col(column), d)).select(F.zip_with(column, near, lambda x, y: x + y).alias("v"))
     return replace(moments_by(centred, "v", F.lit(0), d)[0], origin=pivot)

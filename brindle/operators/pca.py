@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from brindle.functions.arrays import array_std, fold_block, fold_period, rescale
 from brindle.functions.color import polar_rgb
+from brindle.operators.grouping import unit_hash
 from brindle.operators.moments import moments, well_formed
+from brindle.session import materialize
 
 
 @dataclass(frozen=True)
@@ -147,18 +149,32 @@ def series_pipeline(series: DataFrame, how: str, period: int, k: int = 3) -> tup
     data = rescaled(series).where(F.col("ts").isNotNull())
     if how != "series":
         data = folded(data, period, how)
+    data = materialize(data, "rescaled-series")  # read by lengths, moments and scores
     model = pca(data, "ts", k)
     return model, color_map(scores(data, "ts", model), SCALES[how])
 
 
-def gaussian_points(spark, n: int, mean: float, variance: float, cov: float, seed: int = 142) -> DataFrame:
-    """`n` correlated points `p` of two coordinates."""
+def standard_pairs(key: Sequence[Column], seed: int) -> tuple[Column, Column]:
+    """Two independent standard normal draws per key, by the transform of Box and Muller.
+
+    The uniform draws behind them are hashes of seed and key, so the same key has the same draws in
+    every partitioning, order and run.
+    """
+    radius = F.sqrt(-2.0 * F.log(1.0 - unit_hash(F.lit(seed), *key, F.lit(0))))
+    angle = 2.0 * F.pi() * unit_hash(F.lit(seed), *key, F.lit(1))
+    return radius * F.cos(angle), radius * F.sin(angle)
+
+
+def correlated_pairs(
+    df: DataFrame, key: Sequence[str], mean: float, variance: float, cov: float, seed: int = 142, name: str = "p"
+) -> DataFrame:
+    """`df` with a point of two correlated coordinates per key."""
     slope = cov / variance**0.5
     rest = (variance - slope * slope) ** 0.5
-    drawn = spark.range(n).select("id", F.randn(seed).alias("u"), F.randn(seed + 1).alias("v"))
-    return drawn.select(
-        "id",
-        F.array(
-            F.col("u") * variance**0.5 + mean, F.col("u") * slope + F.col("v") * rest + mean
-        ).alias("p"),
-    )
+    u, v = standard_pairs([F.col(k) for k in key], seed)
+    return df.withColumn(name, F.array(u * variance**0.5 + mean, u * slope + v * rest + mean))
+
+
+def gaussian_points(spark, n: int, mean: float, variance: float, cov: float, seed: int = 142) -> DataFrame:
+    """`n` correlated points `p` of two coordinates."""
+    return correlated_pairs(spark.range(n), ["id"], mean, variance, cov, seed)

@@ -12,9 +12,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.arrays import dot
+from brindle.operators.grouping import hash_split
 from brindle.operators.moments import Moments, moments_by
 
 TRAIN, VALIDATION, TEST = 0, 1, 2
@@ -162,3 +168,35 @@ def grid_search(
     return errors, best, best_model
 
 
+def feature_columns(points: DataFrame, d: int) -> DataFrame:
+    """The features as columns `x1, x2, ...`, which the stages of a pipeline name."""
+    return points.withColumns({f"x{i + 1}": F.col("features")[i] for i in range(d)}).drop("features")
+
+
+def cross_validated(
+    points: DataFrame, d: int, regs: Sequence[float], key: Sequence[str], folds: int = 3, seed: int = 7
+) -> CrossValidatorModel:
+    """The library's linear regression with the best L2 penalty by cross-validation.
+
+    Folds are drawn by a hash of `key`, so rows of one key stay together and folds do not depend on
+    partitions. The library divides the penalty by the deviation of the labels. `avgMetrics` has the
+    mean RMSE for each of `regs`; `bestModel` is fitted on all points.
+    """
+    regression = LinearRegression(labelCol="label", elasticNetParam=0.0, standardization=False, solver="normal")
+    pipeline = Pipeline(
+        stages=[VectorAssembler(inputCols=[f"x{i + 1}" for i in range(d)], outputCol="features"), regression]
+    )
+    search = CrossValidator(
+        estimator=pipeline,
+        estimatorParamMaps=ParamGridBuilder().addGrid(regression.regParam, list(regs)).build(),
+        evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
+        numFolds=folds,
+        foldCol="fold",
+        parallelism=min(4, len(regs)),
+    )
+    return search.fit(hash_split(feature_columns(points, d), key, [1.0] * folds, seed, "fold"))
+
+
+def library_error(model: CrossValidatorModel, points: DataFrame, d: int) -> float:
+    """RMSE of the best model over other points."""
+    return RegressionEvaluator(labelCol="label", metricName="rmse").evaluate(model.transform(feature_columns(points, d)))

@@ -204,7 +204,7 @@ raw_points as (
          l_discount * 10.0::double as x3, l_tax * 12.5::double as x4
   from lineitem),
 points as (
-  select label - (select min(label) from raw_points) as label, x1, x2, x3, x4,
+  select key, label - (select min(label) from raw_points) as label, x1, x2, x3, x4,
          case when {unit_sql(SPLIT_SEED, "key")} < 0.8::double then 0
               when {unit_sql(SPLIT_SEED, "key")} < 0.9::double then 1 else 2 end as split
   from raw_points)
@@ -283,3 +283,24 @@ boxes as (select distinct * from raw_boxes)
 
 def with_sql(*ctes: str, query: str, recursive: bool = False) -> str:
     return f"with {'recursive ' if recursive else ''}" + ",".join(ctes) + query
+
+
+def determinant_sql(rows: list[list[str]]) -> str:
+    """The determinant of a square of SQL terms, by its first row."""
+    if len(rows) == 1:
+        return rows[0][0]
+    parts = []
+    for j, term in enumerate(rows[0]):
+        rest = [row[:j] + row[j + 1 :] for row in rows[1:]]
+        parts.append(f"{'-' if j % 2 else '+'} ({term}) * ({determinant_sql(rest)})")
+    return " ".join(parts).removeprefix("+ ")
+
+
+def solution_sql(left: list[list[str]], right: list[str]) -> list[str]:
+    """The unknowns of linear equations by the rule of Cramer."""
+    whole = determinant_sql(left)
+    found = []
+    for j in range(len(right)):
+        replaced = [row[:j] + [right[i]] + row[j + 1 :] for i, row in enumerate(left)]
+        found.append(f"(({determinant_sql(replaced)}) / ({whole}))")
+    return found

@@ -18,7 +18,7 @@ from brindle.plans.inputs import (
     with_sql,
 )
 from brindle.session import materialize
-from brindle.sources.records import parse_pairs, parse_records, status_counts, valid
+from brindle.sources.records import load, parse_pairs, parse_records, status_counts, valid
 
 # Similarity from which pairs are listed: the condition of the join.
 MIN_SIM = 0.05
@@ -51,6 +51,12 @@ def _gold_ingest(spark, sf_dir):
     return pairs.select(F.col("id_a").cast("long"), F.col("id_b").cast("long"))
 
 
+def _load(spark, sf_dir):
+    """The counts that came with the scan which wrote the records, and the rows written."""
+    rows, counts = load(parse_records(record_lines(spark, sf_dir)), name="records")
+    return rows.agg(*[F.lit(v).cast("long").alias(k) for k, v in counts.items()], F.count(F.lit(1)).alias("n_written"))
+
+
 def _records(spark, sf_dir):
     return valid(parse_records(record_lines(spark, sf_dir)))
 
@@ -124,6 +130,11 @@ QUERIES = {
         "select count(*) + 1 + count(*) filter (where n_chars < 10) as n_read, count(*) as n_ok, "
         "cast(1 as bigint) as n_header, count(*) filter (where n_chars < 10) as n_bad from documents",
     ),
+    "er_load": (
+        _load,
+        "select count(*) + 1 + count(*) filter (where n_chars < 10) as n_read, count(*) as n_ok, "
+        "cast(1 as bigint) as n_header, count(*) filter (where n_chars < 10) as n_bad, count(*) as n_written from documents",
+    ),
     "er_gold_ingest": (
         _gold_ingest,
         with_sql(RECORDS_SQL, GOLD_SQL, query="select id_a, id_b from gold"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators import logs as ops
 from brindle.plans.inputs import LOGS_SQL, log_lines, with_sql
+from brindle.session import materialize
 from brindle.sources.logs import access_logs, log_status, parse_log
 
 
@@ -50,6 +53,24 @@ def _by_date(logs):
     return ops.daily_hosts(logs, by="date").withColumn("day", F.col("day").cast("string"))
 
 
+HOST_BITS, HOST_ERROR = 12, 0.05
+
+
+def _approx_hosts(spark, sf_dir):
+    """Distinct hosts per day, per month and in all: the exact number, and whether the estimate from
+    the written daily sketches is within its error."""
+    logs = access(spark, sf_dir).select("host", "date_time")
+    sketches = materialize(ops.host_sketches(logs, "date", HOST_BITS), "host-sketches")
+    month = F.date_format("day", "yyyy-MM")
+    estimates = reduce(DataFrame.unionByName, [ops.approx_hosts(sketches, p) for p in (F.col("day"), month, None)])
+    day = F.to_date("date_time").cast("string")
+    periods = F.array(day, F.substring(day, 1, 7), F.lit("all"))
+    exact = logs.select("host", F.explode(periods).alias("period")).groupBy("period")
+    exact = exact.agg(F.countDistinct("host").alias("exact"))
+    off = F.abs(F.col("n_hosts") - F.col("exact")) <= F.ceil(HOST_ERROR * F.col("exact"))
+    return exact.join(estimates, "period", "full").select("period", F.col("exact").alias("n_hosts"), off.alias("within"))
+
+
 def _top(column, where, k):
     return _sql(
         f"select {column}, count(*) as n from logs where {where} group by {column} "
@@ -58,6 +79,13 @@ def _top(column, where, k):
 
 
 QUERIES = {
+    "log_approx_hosts": (
+        _approx_hosts,
+        _sql(
+            "select period, count(distinct host) as n_hosts, true as within from (select host, unnest(["
+            "strftime(date_time, '%Y-%m-%d'), strftime(date_time, '%Y-%m'), 'all']) as period from logs) group by period"
+        ),
+    ),
     "log_parse": (
         _parse,
         _sql(

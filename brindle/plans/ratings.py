@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators import factors, ratings as ops
 from brindle.operators.grouping import hash_split
-from brindle.plans.inputs import RATINGS_SQL, ratings, spread_table, table, titles, unit_sql, with_sql
+from brindle.plans.inputs import RATINGS_SQL, ratings, solution_sql, spread_table, table, titles, unit_sql, with_sql
 from brindle.session import materialize
 from brindle.sources.records import parse_ratings, parse_titles
 from brindle.sources.text import literal_table
@@ -209,27 +209,6 @@ def _sql(query: str) -> str:
 _DRAW = unit_sql(SPLIT_SEED, "user_id", "item")
 _SPLIT_SQL = f"case when {_DRAW} < {0 + 6 / 10!r}::double then 0 when {_DRAW} < {6 / 10 + 2 / 10!r}::double then 1 else 2 end"
 
-def determinant_sql(rows: list[list[str]]) -> str:
-    """The determinant of a square of SQL terms, by its first row."""
-    if len(rows) == 1:
-        return rows[0][0]
-    parts = []
-    for j, term in enumerate(rows[0]):
-        rest = [row[:j] + row[j + 1 :] for row in rows[1:]]
-        parts.append(f"{'-' if j % 2 else '+'} ({term}) * ({determinant_sql(rest)})")
-    return " ".join(parts).removeprefix("+ ")
-
-
-def solution_sql(left: list[list[str]], right: list[str]) -> list[str]:
-    """The unknowns of linear equations by the rule of Cramer."""
-    whole = determinant_sql(left)
-    found = []
-    for j in range(len(right)):
-        replaced = [row[:j] + [right[i]] + row[j + 1 :] for i, row in enumerate(left)]
-        found.append(f"(({determinant_sql(replaced)}) / ({whole}))")
-    return found
-
-
 _FACTORS = ["x1", "x2", "x3"]
 _LEFT = [
     [f"s{min(i, j)}{max(i, j)}" + (f" + {REG!r}::double * n" if i == j else "") for j in range(3)] for i in range(3)

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators import regression as ops
 from brindle.operators.grouping import hash_split
-from brindle.plans.inputs import POINTS_SQL, SPLIT_SEED, SPLIT_WEIGHTS, points, with_sql
-from brindle.session import spread
+from brindle.plans.inputs import POINTS_SQL, SPLIT_SEED, SPLIT_WEIGHTS, points, solution_sql, unit_sql, with_sql
+from brindle.session import materialize, spread
 from brindle.sources.records import complete_counts, parse_points
 from brindle.sources.text import literal_table
 
 STEPS = 50
 WEIGHTS = [0.5, -1.0, 2.0, 0.25]
 REGS = (1.0, 1e-10, 1e-5)
+LIBRARY_REGS = (0.3, 0.03, 0.001)
+FOLDS, FOLD_SEED = 3, 7
 
 
 def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +94,26 @@ def _grid(spark, sf_dir):
     return literal_table(spark, rows, "reg double, rmse double, best boolean")
 
 
+def _library_search(spark, sf_dir):
+    written = materialize(split_points(spark, sf_dir), "points")
+    train = written.where(F.col("split") == ops.TRAIN)
+    return written, ops.cross_validated(train, 4, LIBRARY_REGS, ["key"], FOLDS, FOLD_SEED)
+
+
+def _library_grid(spark, sf_dir):
+    found = [float(error) for error in _library_search(spark, sf_dir)[1].avgMetrics]
+    rows = [(reg, round(error, 6), error == min(found)) for reg, error in zip(LIBRARY_REGS, found)]
+    return literal_table(spark, rows, "reg double, rmse double, best boolean")
+
+
+def _library_fit(spark, sf_dir):
+    written, found = _library_search(spark, sf_dir)
+    error = ops.library_error(found, written.where(F.col("split") == ops.VALIDATION), 4)
+    model = found.bestModel.stages[-1]
+    row = [round(float(v), 6) for v in (*model.coefficients, model.intercept, error)]
+    return literal_table(spark, [tuple(row)], "w1 double, w2 double, w3 double, w4 double, intercept double, rmse double")
+
+
 def _sql(query: str, *ctes: str, recursive: bool = False) -> str:
     return with_sql(POINTS_SQL, *ctes, query=query, recursive=recursive)
 
@@ -196,7 +218,70 @@ def _regularized_sql(regs, select: str) -> str:
     return _sql(select, _moment_sql(), walk, recursive=True)
 
 
+_PRODUCTS = [f"{a}_{b}" for i, a in enumerate(_NAMES) for b in _NAMES[i:]]
+
+
+def _ridge_sql(m: str, reg: str) -> dict[str, str]:
+    """Weights and intercept of the penalized equations, from the products of row `m`."""
+    mean = {a: f"({m}.{_m(a, 'one')} / {m}.n)" for a in _NAMES}
+
+    def cov(a: str, b: str) -> str:
+        return f"({m}.{_m(a, b)} / {m}.n - {mean[a]} * {mean[b]})"
+
+    penalty = f"{reg} / sqrt({cov('y', 'y')})"
+    left = [[f"c_{_m(a, b)}" for b in X] for a in X]
+    weights = dict(zip(X, solution_sql(left, [f"c_{_m('y', a)}" for a in X])))
+    terms = {f"c_{_m(a, b)}": cov(a, b) + (f" + {penalty}" if a == b else "") for i, a in enumerate(X) for b in X[i:]}
+    terms |= {f"c_{_m('y', a)}": cov("y", a) for a in X}
+    return {
+        "terms": ", ".join(f"{term} as {name}" for name, term in terms.items()),
+        "weights": ", ".join(f"{w} as w_{x}" for x, w in weights.items()),
+        "intercept": f"{mean['y']} - " + " - ".join(f"w_{x} * {mean[x]}" for x in X),
+    }
+
+
+def _library_sql(select: str) -> str:
+    """Cross-validation by closed solutions from the products of every fold."""
+    draw = unit_sql(FOLD_SEED, "key")
+    bounds = [sum([1 / FOLDS] * (i + 1)) for i in range(FOLDS - 1)]
+    fold = "case " + " ".join(f"when {draw} < {b!r}::double then {i}" for i, b in enumerate(bounds)) + f" else {FOLDS - 1} end"
+    sums = ", ".join(f"sum({p}) as {p}" for p in _PRODUCTS)
+    products = ", ".join(f"sum({a} * {b}) as {a}_{b}" for i, a in enumerate(_NAMES) for b in _NAMES[i:])
+    regs = ", ".join(f"({r!r}::double)" for r in LIBRARY_REGS)
+    ridge, final = _ridge_sql("t", "reg"), _ridge_sql("t", "reg")
+    weights = {**{x: f"w_{x}" for x in X}, "one": "w_one"}
+    return _sql(
+        select,
+        f"dealt as (select *, {fold} as fold, label as y, 1.0::double as one from points)",
+        f"folds as (select split, fold, count(*) as n, {products} from dealt group by split, fold)",
+        f"others as (select f.fold, sum(o.n) as n, {', '.join(f'sum(o.{p}) as {p}' for p in _PRODUCTS)} from folds f "
+        "join folds o on f.split = 0 and o.split = 0 and f.fold <> o.fold group by f.fold)",
+        f"regs as (select * from (values {regs}) r(reg))",
+        f"c as (select t.*, reg, {ridge['terms']} from others t, regs)",
+        f"w as (select *, {ridge['weights']} from c)",
+        f"wi as (select t.*, {ridge['intercept']} as w_one from w t)",
+        f"rated as (select reg, avg({_rmse_sql({k: f'wi.{v}' for k, v in weights.items()})}) as rmse "
+        "from wi join folds m on m.split = 0 and m.fold = wi.fold group by reg)",
+        f"whole as (select split, sum(n) as n, {sums} from folds group by split)",
+        f"fc as (select t.*, reg, {final['terms']} from whole t, (select reg from rated order by rmse limit 1) where split = 0)",
+        f"fw as (select *, {final['weights']} from fc)",
+        f"best as (select t.*, {final['intercept']} as w_one from fw t)",
+    )
+
+
 QUERIES = {
+    "lr_ml_grid": (
+        _library_grid,
+        _library_sql("select reg, round(rmse, 6) as rmse, rmse = min(rmse) over () as best from rated"),
+    ),
+    "lr_ml_fit": (
+        _library_fit,
+        _library_sql(
+            "select " + ", ".join(f"round(w_{x}, 6) as w{i + 1}" for i, x in enumerate(X))
+            + f", round(w_one, 6) as intercept, round({_rmse_sql({**{x: f'w_{x}' for x in X}, 'one': 'w_one'})}, 6) as rmse "
+            "from best, whole m where m.split = 1"
+        ),
+    ),
     "lr_ingest": (
         _ingest,
         _sql("select label, round(x1, 9) as x1, round(x2, 9) as x2, round(x3, 9) as x3, "

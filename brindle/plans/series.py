@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.operators import pca as ops
 from brindle.operators.moments import moments, vector_status
-from brindle.plans.inputs import SERIES_LENGTH, SERIES_PERIOD, SERIES_SQL, series, with_sql
+from brindle.plans.inputs import SERIES_LENGTH, SERIES_PERIOD, SERIES_SQL, series, table, unit_sql, with_sql
 from brindle.sources.records import complete_counts, parse_series
 from brindle.sources.text import literal_table
 
 SPREAD = 0.1245
+GAUSS_SEED, GAUSS_MEAN, GAUSS_COV = 142, 50.0, 0.9
+
+
+def _gaussian(spark, sf_dir):
+    """A correlated pair of variance 1 for every customer."""
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    drawn = ops.correlated_pairs(keys, ["c_custkey"], GAUSS_MEAN, 1.0, GAUSS_COV, GAUSS_SEED)
+    return drawn.select("c_custkey", *[F.round(F.col("p")[i], 6).alias(f"p{i + 1}") for i in range(2)])
 
 
 def _cells(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -267,6 +275,14 @@ QUERIES = {
             + " from series group by y, x // 4"
         ),
     ),
+    "pca_gaussian": (
+        _gaussian,
+        "with u as (select c_custkey, sqrt(-2.0::double * ln(1.0::double - "
+        f"{unit_sql(GAUSS_SEED, 'c_custkey', '0')})) as r, 2.0::double * pi() * {unit_sql(GAUSS_SEED, 'c_custkey', '1')} as a "
+        f"from customer) select c_custkey, round(r * cos(a) + {GAUSS_MEAN}::double, 6) as p1, "
+        f"round(r * cos(a) * {GAUSS_COV}::double + r * sin(a) * sqrt(1 - pow({GAUSS_COV}::double, 2)) + {GAUSS_MEAN}::double, 6) as p2 "
+        "from u",
+    ),
     "pca_series_colors": (_pipeline("series"), None),
     "pca_time_colors": (_pipeline("time"), None),
     "pca_block_colors": (_pipeline("block"), None),

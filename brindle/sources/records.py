@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType
 
 from brindle.functions.text import regex_groups, strip_quotes
+from brindle.session import materialize
 
 # Formats and header fields of the two record files.
 RECORD_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)$'
@@ -63,6 +64,41 @@ def status_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def observed(parsed: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """`parsed`, and its `status_counts` gathered by the first action that reads it to the end.
+
+    The counts cost no pass of their own: `observation.get` has them once that action is done.
+    """
+    counts = Observation(name)
+    is_ = F.col("status")
+    return parsed.observe(
+        counts,
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(is_ == "ok").alias("n_ok"),
+        F.count_if(is_ == "header").alias("n_header"),
+        F.count_if(is_ == "bad").alias("n_bad"),
+    ), counts
+
+
+def load(parsed: DataFrame, max_bad: int | None = None, name: str = "load") -> tuple[DataFrame, dict[str, int]]:
+    """The valid rows, written once, and the counts of all rows from the same scan.
+
+    With `max_bad`, more bad lines than that, or not exactly one header, are an error.
+    """
+    rows, counts = observed(parsed, name)
+    written = materialize(valid(rows), name)
+    found = {k: int(v) for k, v in counts.get.items()}
+    if max_bad is not None and (found["n_bad"] > max_bad or found["n_header"] != 1):
+        raise ValueError(f"{found['n_bad']} lines failed to parse, {found['n_header']} headers")
+    return written, found
+
+
+def expect_valid(parsed: DataFrame) -> DataFrame:
+    """`parsed` itself; a job that comes across a bad line fails there, with the line in its message."""
+    message = F.concat(F.lit("line failed to parse: "), F.substring(F.coalesce("line", F.lit("")), 1, 200))
+    return parsed.where(F.assert_true(F.col("status") != "bad", message).isNull())
+
+
 def check_load(parsed: DataFrame) -> DataFrame:
     """The counts of `status_counts`; running it fails unless all lines but one header are valid."""
     clean = (F.col("n_bad") == 0) & (F.col("n_read") == F.col("n_ok") + 1)

@@ -238,3 +238,57 @@ def test_draws_tell_nulls_apart(spark):
     rows = [("a", None), (None, "a"), (None, None), ("a", ""), ("", "a")]
     df = spark.createDataFrame(rows, "x string, y string")
     assert df.select(unit_hash(F.col("x"), F.col("y")).alias("u")).distinct().count() == len(rows)
+
+
+def test_cross_validation_is_the_closed_ridge_solution(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    y = x @ np.array([1.0, -2.0, 0.5]) + rng.normal(size=300) + 3
+    rows = [(int(k // 2), float(b), [float(v) for v in a]) for k, (a, b) in enumerate(zip(x, y))]
+    points = spark.createDataFrame(rows, "key long, label double, features array<double>")
+    regs = [2.0, 0.1, 0.0]
+    found = regression.cross_validated(points, 3, regs, ["key"], folds=3)
+    folds = [r.fold for r in hash_split(points, ["key"], [1.0] * 3, 7, "fold").orderBy("key").select("key", "fold").distinct().orderBy("key").collect()]
+    fold = np.repeat(folds, 2)
+
+    def ridge(a, b, reg):
+        near = a - a.mean(0)
+        left = near.T @ near / len(b) + reg / b.std() * np.eye(3)
+        w = np.linalg.solve(left, near.T @ (b - b.mean()) / len(b))
+        return w, b.mean() - a.mean(0) @ w
+
+    wanted = []
+    for reg in regs:
+        errors = []
+        for f in range(3):
+            w, c = ridge(x[fold != f], y[fold != f], reg)
+            errors.append(np.sqrt(np.mean((x[fold == f] @ w + c - y[fold == f]) ** 2)))
+        wanted.append(np.mean(errors))
+    assert found.avgMetrics == pytest.approx(wanted)
+    w, c = ridge(x, y, regs[int(np.argmin(wanted))])
+    assert found.bestModel.stages[-1].coefficients.toArray() == pytest.approx(w)
+    assert regression.library_error(found, points, 3) == pytest.approx(np.sqrt(np.mean((x @ w + c - y) ** 2)))
+
+
+def test_gaussian_draws_do_not_depend_on_partitions(spark):
+    def drawn(df):
+        return sorted((r.id, *r.p) for r in pca.correlated_pairs(df, ["id"], 50.0, 4.0, 3.0).select("id", "p").collect())
+
+    ids = spark.range(4000)
+    once = drawn(ids)
+    assert drawn(ids.repartition(13)) == once == drawn(ids.orderBy(F.desc("id")))
+    points = np.array([r[1:] for r in once])
+    assert points.mean(0) == pytest.approx([50, 50], abs=0.15)
+    assert np.cov(points.T) == pytest.approx(np.array([[4.0, 3.0], [3.0, 4.0]]), abs=0.25)
+    assert len({r[1] for r in once}) == 4000
+
+
+def test_wide_vectors_are_filtered_in_their_batches(spark):
+    rng = np.random.default_rng(1)
+    good = rng.normal(loc=1e6, size=(50, 20))
+    rows = [([float(v) for v in r],) for r in good]
+    bad = [(None,), ([],), ([1.0] * 19,), ([1.0] * 19 + [None],), ([1.0] * 21,)]
+    df = spark.createDataFrame(rows + bad, "v array<double>").repartition(4)
+    m = moments.moments(df, "v")
+    assert m.n == 50
+    assert m.covariance == pytest.approx(np.cov(good.T, bias=True), rel=1e-6, abs=1e-9)

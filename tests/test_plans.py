@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from brindle.operators import detection, linkage, logs as reports
-from brindle.sources import annotations, logs, sinks
+from brindle.operators import detection, linkage, logs as reports, moments, pca
+from brindle.plans.inputs import series
+from brindle.sources import annotations, logs, records, sinks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -70,3 +71,20 @@ def test_no_query_joins_without_keys(spark):
     for name in ("box_anchor_assign", "box_iou", "cf_rmse", "cf_unrated", "lr_baseline_rmse", "er_cosine"):
         found = plan(queries()[name](spark, SF_DIR))
         assert "CartesianProduct" not in found and "NestedLoopJoin" not in found, name
+
+
+def test_load_counts_need_no_scan_of_their_own(spark):
+    lines = spark.read.text(f"{SF_DIR}/region.parquet")
+    rows, _ = records.observed(records.parse_records(lines), "plan")
+    found = plan(records.valid(rows))
+    assert found.count("CollectMetrics") == 1 and found.count("FileScan") == 1
+
+
+def test_folded_vectors_are_computed_once(spark):
+    """The batches that sum the moments get the vectors from one projection, without a filter on them."""
+    data = pca.folded(pca.rescaled(series(spark, SF_DIR)).where("ts is not null"), 8, "time")
+    taken = data.select(F.lit(0).alias("part"), F.col("ts").cast("array<double>").alias("v")).mapInArrow(
+        moments._batch_moments(15, 0.0), moments._SCHEMA
+    )
+    once = plan(data).count("transform(")
+    assert plan(taken).count("transform(") == once

@@ -233,3 +233,35 @@ def test_voc_objects_without_difficulty_count(spark):
     xml = f"<annotation><object><name>dog</name>{box}</object><object><name>dog</name><difficult>1</difficult>{box}</object></annotation>"
     df = spark.createDataFrame([("p", xml)], "path string, value string")
     assert [tuple(r) for r in annotations.parse_voc(df, ["dog"]).collect()] == [("p", 1, 2, 3, 4, 0)]
+
+
+def test_host_sketches_merge(spark):
+    rows = [(f"h{i % 700}", f"2024-0{1 + i % 2}-{1 + i % 20:02d} 10:00:00") for i in range(4000)]
+    logs_ = spark.createDataFrame(rows, "host string, date_time string").withColumn("date_time", F.to_timestamp("date_time"))
+    sketches = materialize(reports.host_sketches(logs_), "sketches")
+    (whole,) = reports.approx_hosts(sketches).collect()
+    assert whole.period == "all" and abs(whole.n_hosts - 700) <= 35
+    exact = {r.d: r.n for r in logs_.groupBy(F.month("date_time").cast("string").alias("d")).agg(F.countDistinct("host").alias("n")).collect()}
+    for row in reports.approx_hosts(sketches, F.month("day")).collect():
+        assert abs(row.n_hosts - exact[row.period]) <= 0.05 * exact[row.period]
+    assert reports.approx_hosts(sketches.where("false")).first().n_hosts == 0
+
+
+def test_load_counts_come_with_the_rows(spark):
+    lines = ['"id","title","description","manufacturer","price"', '"a1","t","d","m","1"', "no record", '"a2","t","d","m","2"']
+    parsed = records.parse_records(lines_of(spark, *lines))
+    rows, found = records.load(parsed, max_bad=1, name="some")
+    assert found == {"n_read": 4, "n_ok": 2, "n_header": 1, "n_bad": 1}
+    assert sorted(r.id for r in rows.collect()) == ["a1", "a2"]
+    with pytest.raises(ValueError, match="1 lines failed"):
+        records.load(parsed, max_bad=0)
+    with pytest.raises(ValueError, match="2 headers"):
+        records.load(parsed.where("status <> 'bad'").unionByName(parsed.where("status = 'header'")), max_bad=0)
+    assert records.load(parsed.where("false"), name="none")[1] == {"n_read": 0, "n_ok": 0, "n_header": 0, "n_bad": 0}
+
+
+def test_a_bad_line_fails_the_job_that_reads_it(spark):
+    good = '"a1","t","d","m","1"'
+    assert records.valid(records.expect_valid(records.parse_records(lines_of(spark, good)))).count() == 1
+    with pytest.raises(Exception, match="line failed to parse: no record"):
+        records.expect_valid(records.parse_records(lines_of(spark, good, "no record"))).collect()
