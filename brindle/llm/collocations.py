@@ -26,7 +26,7 @@ BLOCK_BYTES = 16 << 20
 # Entries of a part, on average, before equal ones are merged.
 PART_ENTRIES = 1 << 21
 # A filter is cut into at most 2 to this power parts a round.
-ROUND_BITS = 6
+ROUND_BITS = 10
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09]] = True
@@ -36,12 +36,11 @@ _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 _BLOCKS = "block long, words array<struct<lang: string, word: string, n: long>>, tokens binary"
 _SEGMENTS = (
-    "prefix long, source long, entries long, slot_bits int, marks binary, rights binary, lefts binary, "
-    "counts binary, large binary"
+    "prefix long, source long, entries long, slot_bits int, marks binary, remainders binary, counts binary, large binary"
 )
 _SEGMENT_SCHEMA = pa.schema(
     [("prefix", pa.int64()), ("source", pa.int64()), ("entries", pa.int64()), ("slot_bits", pa.int32())]
-    + [(c, pa.binary()) for c in ("marks", "rights", "lefts", "counts", "large")]
+    + [(c, pa.binary()) for c in ("marks", "remainders", "counts", "large")]
 )
 
 
@@ -211,17 +210,35 @@ def phrases(keys: Keys, tokens: np.ndarray) -> Filter:
     return summed(keys, keys.scatter(left, right), left, np.ones(len(left), np.int64))
 
 
-def _bytes(values: np.ndarray, bits: int) -> bytes:
-    """Whole numbers in as many bytes as `bits` need."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : (bits + 7) // 8]).tobytes()
+def _low(values: np.ndarray, bits: int) -> np.ndarray:
+    """The bytes of whole numbers of so many bits, a row each."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : (bits + 7) // 8]
 
 
-def _numbers(data: bytes, bits: int, count: int) -> np.ndarray:
-    wide = np.zeros((count, 8), np.uint8)
-    wide[:, : (bits + 7) // 8] = np.frombuffer(data, np.uint8).reshape(count, -1)
+def _numbers(rows: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
     return wide.view("<u8").ravel().astype(np.uint64)
 
 
+def _joined(tail: np.ndarray, left: np.ndarray, tail_bits: int, left_bits: int) -> bytes:
+    """Remainders: both numbers of an entry, side by side if they fit 64 bits."""
+    if tail_bits + left_bits <= 64:
+        rows = _low((tail << np.uint64(left_bits)) | left, tail_bits + left_bits)
+    else:
+        rows = np.hstack((_low(tail, tail_bits), _low(left, left_bits)))
+    return np.ascontiguousarray(rows).tobytes()
+
+
+def _split(data: bytes, count: int, tail_bits: int, left_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(data, np.uint8).reshape(count, -1) if count else np.zeros((0, 1), np.uint8)
+    if tail_bits + left_bits <= 64:
+        both = _numbers(rows)
+        return both >> np.uint64(left_bits), both & np.uint64((1 << left_bits) - 1)
+    cut = (tail_bits + 7) // 8
+    return _numbers(rows[:, :cut]), _numbers(rows[:, cut:])
+
+
 def packed(keys: Keys, part: Filter, prefix: int, prefix_bits: int) -> list:
     """Fields `entries` to `large` of a segment: entries whose scattered key begins with `prefix`.
 
@@ -239,8 +256,7 @@ def packed(keys: Keys, part: Filter, prefix: int, prefix_bits: int) -> list:
         n,
         slot_bits,
         np.packbits(marks).tobytes(),
-        _bytes(remainder, rest - slot_bits),
-        _bytes(part.left, keys.bits),
+        _joined(remainder, part.left, rest - slot_bits, keys.bits),
         np.minimum(part.counts, 255).astype(np.uint8).tobytes(),
         part.counts[part.counts >= 255].astype("<i8").tobytes(),
     ]
@@ -251,11 +267,12 @@ def unpacked(keys: Keys, row: dict, prefix_bits: int) -> Filter:
     n, slot_bits, rest = row["entries"], row["slot_bits"], keys.width - prefix_bits
     marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=n + (1 << slot_bits))
     slot = (np.flatnonzero(marks) - np.arange(n)).astype(np.uint64)
-    tail = (slot << np.uint64(rest - slot_bits)) | _numbers(row["rights"], rest - slot_bits, n)
+    remainder, left = _split(row["remainders"], n, rest - slot_bits, keys.bits)
+    tail = (slot << np.uint64(rest - slot_bits)) | remainder
     scattered = tail | (np.uint64(row["prefix"]) << np.uint64(rest)) if prefix_bits else tail
     counts = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
     counts[counts == 255] = np.frombuffer(row["large"], "<i8")
-    return Filter(scattered, _numbers(row["lefts"], keys.bits, n), counts)
+    return Filter(scattered, left, counts)
 
 
 def _segments(keys: Keys, whole: Filter, source: int, prefix: int, old_bits: int, new_bits: int) -> pa.RecordBatch:
@@ -400,9 +417,7 @@ def mine_phrases(
         .withColumn("early", F.col("cut2").isNull() | (F.col("cut1") <= F.col("cut2")))
         .withColumn("score", F.when(F.col("early"), F.col("cut1")).otherwise(F.col("cut2")))
     )
-    near = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    best = materialize(scored.withColumn("at", F.rank().over(near)).where(F.col("at") <= top).drop("at"), "phrase-best")
-    spelt = best.join(middle, "x2", "left").withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
+    spelt = _likely_best(scored, top).join(middle, "x2", "left").withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = spelt.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
@@ -417,6 +432,20 @@ def mine_phrases(
     )
 
 
+def _likely_best(scored: DataFrame, top: int) -> DataFrame:
+    """Rows of `scored(lang, score, ...)` among which the `top` of every language are, and few others.
+
+    A language may hold most rows, so these are not sorted in one task: counts of scores by size
+    class, of which a language has some hundred, tell from which class on `top` rows are reached.
+    """
+    written = materialize(scored.withColumn("size", F.floor(64 * F.log1p("score"))), "phrase-scores")
+    classes = written.groupBy("lang", "size").count()
+    above = Window.partitionBy("lang").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = classes.withColumn("above", F.coalesce(F.sum("count").over(above), F.lit(0))).where(F.col("above") < top)
+    wanted = materialize(wanted.select("lang", "size"), "phrase-classes")
+    return written.join(wanted, ["lang", "size"], "left_semi").drop("size")
+
+
 def _score(a: str, left, right):
     whole = [c.cast("decimal(19,0)") for c in (F.col(a), F.col(a), left, right)]
     return F.call_function("div", whole[0] * whole[1] * F.lit(1_000_000).cast("decimal(7,0)"), whole[2] * whole[3])
