@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.llm.texts import Texts, find_words, lower_ascii, release, slices, word_hashes
@@ -17,7 +19,10 @@ _SYMBOLS = 256 - 6 + 2  # bytes of words, the space and the end
 _WINDOW = 1 << 20
 _MOST_TASKS = 20_000
 _SLICE_BYTES = 1 << 20
-_GRAM, _WORD = 0, 1
+_SET_ENTRIES = 4 << 20  # codes of some blocks that one task merges or looks up
+_MERGED_ROWS = 32
+_GRAM, _WORD, _TEXT = 0, 1, 2
+_BLOCKS = "block long, kind int, bucket long, entries long, codes binary, counts binary, large binary"
 
 
 def symbols(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,64 +124,141 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(True))
 
 
-def block_counts(docs: DataFrame, order: int, buckets: int) -> DataFrame:
-    """`block, kind, bucket, codes, counts`: distinct grams and words of each block's texts with how
-    often its training texts hold them, cut into buckets by a hash of the code."""
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    return (codes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(buckets)
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        held = {_GRAM: Counts(), _WORD: Counts()}
-        for texts in slices(iter(table.to_batches()), most=_SLICE_BYTES):
-            learn = ~np.asarray(texts.rows.column("held_out").to_pylist(), bool)
-            stream, begins, hashes, bounds = symbols(texts, order)
-            own = np.repeat(learn, np.diff(begins))
-            for begin, real, codes in gram_codes(stream, order):
-                mine = own[begin : begin + len(codes)]
-                found, n = np.unique(codes[real & mine], return_counts=True)
-                held[_GRAM].add(found, n)
-                other = np.unique(codes[real & ~mine])
-                held[_GRAM].add(other, np.zeros(len(other), np.int64))
-            own = np.repeat(learn, np.diff(bounds))
-            found, n = np.unique(hashes[own], return_counts=True)
-            other = np.unique(hashes[~own])
-            held[_WORD].add(found, n)
-            held[_WORD].add(other, np.zeros(len(other), np.int64))
-        rows = []
-        for kind, own in held.items():
-            codes, counts = own.merge()
-            bucket = (codes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(buckets)
-            by = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                at = by[cuts[b] : cuts[b + 1]]
-                rows.append((kind, b, codes[at].tobytes(), counts[at].astype("<i8").tobytes()))
-        kinds, numbers, codes, counts = zip(*rows, strict=True) if rows else ((), (), (), ())
-        return pa.table(
-            {
-                "block": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-                "kind": pa.array(kinds, pa.int32()),
-                "bucket": pa.array(numbers, pa.int64()),
-                "codes": pa.array(codes, pa.binary()),
-                "counts": pa.array(counts, pa.binary()),
-            }
-        )
 
-    return docs.groupBy("block").applyInArrow(
-        run, "block long, kind int, bucket long, codes binary, counts binary"
+def _dealt(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of sorted codes by bucket, in order."""
+    bucket = _bucket(codes, buckets)
+    by = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        yield b, by[cuts[b] : cuts[b + 1]]
+
+
+def _pack(codes: np.ndarray, counts: np.ndarray, width: int) -> tuple[int, bytes, bytes, bytes]:
+    """Codes of `width` bytes, counts of one byte, and those that need more."""
+    low = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return (
+        len(codes),
+        np.ascontiguousarray(low).tobytes(),
+        np.minimum(counts, 255).astype(np.uint8).tobytes(),
+        counts[counts >= 255].astype("<i8").tobytes(),
     )
 
 
-def _arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(b, kind) for b in column.to_pylist()]
+def _codes(data: bytes, width: int) -> np.ndarray:
+    rows = np.frombuffer(data, np.uint8).reshape(-1, width)
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, :width] = rows
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
+def _unpack(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(row["large"], "<i8")
+    return _codes(row["codes"], width), counts
+
 
+def _width(kind: int, order: int) -> int:
+    return order + 1 if kind == _GRAM else 8
+
+
+def _distinct(batches: list[pa.RecordBatch], order: int) -> dict[int, Counts]:
+    """The distinct grams and words of some texts with how often those of training hold them."""
+    held = {_GRAM: Counts(), _WORD: Counts()}
+    for texts in slices(iter(batches), most=_SLICE_BYTES):
+        learn = ~np.asarray(texts.rows.column("held_out").to_pylist(), bool)
+        stream, begins, hashes, bounds = symbols(texts, order)
+        own = np.repeat(learn, np.diff(begins))
+        for begin, real, codes in gram_codes(stream, order):
+            mine = own[begin : begin + len(codes)]
+            found, n = np.unique(codes[real & mine], return_counts=True)
+            held[_GRAM].add(found, n)
+            other = np.unique(codes[real & ~mine])
+            held[_GRAM].add(other, np.zeros(len(other), np.int64))
+        own = np.repeat(learn, np.diff(bounds))
+        found, n = np.unique(hashes[own], return_counts=True)
+        other = np.unique(hashes[~own])
+        held[_WORD].add(found, n)
+        held[_WORD].add(other, np.zeros(len(other), np.int64))
+    return held
+
+
+def _press(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpress(blobs: list[bytes]) -> list[pa.RecordBatch]:
+    return [batch for blob in blobs for batch in pa.ipc.open_stream(blob)]
+
+
+def make_blocks(docs: DataFrame, order: int, buckets: int, block_bytes: int) -> DataFrame:
+    """Rows of blocks, each of some consecutive texts of a partition of about `block_bytes`.
+
+    A row holds either texts (`kind` 2, compressed in `codes`) or distinct grams or words with how
+    often the block's training texts hold them, cut into buckets by a hash of the code. Blocks
+    follow the partitions, so that many repeated rows are in many blocks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            made = [(_TEXT, 0, len(b), _press(b), b"", b"") for b in held]
+            for kind, own in _distinct(held, order).items():
+                codes, counts = own.merge()
+                for b, at in _dealt(codes, buckets):
+                    made.append((kind, b, *_pack(codes[at], counts[at], _width(kind, order))))
+            for at in range(0, len(made), 16):
+                columns = zip(*made[at : at + 16], strict=True)
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                block = pa.array([number] * len(arrays[0]), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [block, *arrays], names=["block", "kind", "bucket", "entries", "codes", "counts", "large"]
+                )
+            release()
 
-def total_counts(held: DataFrame) -> DataFrame:
-    """`kind, bucket, code, n`: training counts over all blocks; codes only held out have 0."""
+        for texts in slices(batches, most=min(_SLICE_BYTES, block_bytes)):
+            if held and size + len(texts.data) > block_bytes:
+                yield from rows()
+                held, size, number = [], 0, number + 1
+            held.append(pa.concat_batches([texts.rows]))
+            size += len(texts.data)
+        if held:
+            yield from rows()
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, _BLOCKS)
+
+
+def total_counts(held: DataFrame, order: int, sets: int) -> DataFrame:
+    """`kind, bucket, code, n`: training counts over all blocks; codes only held out have 0.
+
+    Blocks of a bucket are merged in `sets` tasks, their results `_MERGED_ROWS` at a time, until one
+    task has all of a bucket.
+    """
+
+    def merged(key: tuple, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         total = Counts()
-        for codes, counts in zip(_arrays(table["codes"], "<u8"), _arrays(table["counts"], "<i8"), strict=True):
-            total.add(codes, counts)
-        codes, counts = total.merge()
+        for batch in table.to_batches():
+            for row in batch.to_pylist():
+                total.add(*_unpack(row, _width(key[0].as_py(), order)))
+        return total.merge()
+
+    def some(key: tuple, table: pa.Table) -> pa.Table:
+        kind, bucket, block = (k.as_py() for k in key)
+        fields = (block, kind, bucket, *_pack(*merged(key, table), _width(kind, order)))
+        names = ["block", "kind", "bucket", "entries", "codes", "counts", "large"]
+        return pa.table({n: pa.array([f], t) for n, f, t in zip(names, fields, _TYPES, strict=True)})
+
+    def whole(key: tuple, table: pa.Table) -> pa.Table:
+        codes, counts = merged(key, table)
         release()
         n = len(codes)
         return pa.table(
@@ -188,7 +270,14 @@ def total_counts(held: DataFrame) -> DataFrame:
             }
         )
 
-    return held.groupBy("kind", "bucket").applyInArrow(run, "kind int, bucket long, code long, n long")
+    while sets > 1:
+        dealt = held.withColumn("block", F.pmod(F.xxhash64("block"), F.lit(sets)))
+        held = dealt.groupBy("kind", "bucket", "block").applyInArrow(some, _BLOCKS)
+        sets = -(-sets // _MERGED_ROWS)
+    return held.groupBy("kind", "bucket").applyInArrow(whole, "kind int, bucket long, code long, n long")
+
+
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _state(total: Column, distinct: Column) -> Column:
@@ -291,24 +380,43 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
     return result
 
 
-def block_prices(held: DataFrame, prices: DataFrame) -> DataFrame:
-    """`block, kind, codes, values`: the prices of the codes that each block holds."""
+def block_prices(held: DataFrame, prices: DataFrame, order: int, sets: int) -> DataFrame:
+    """`block, kind, bucket, values`: the prices of the codes that each block holds, in their order.
 
-    def run(key: tuple, blocks: pa.Table, table: pa.Table) -> pa.Table:
-        codes = table["code"].to_numpy().view(np.uint64)
-        values = table["value"].to_numpy()
+    The prices of a bucket are packed and sent to each of its `sets` of blocks.
+    """
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        codes, values = table["code"].to_numpy().view(np.uint64), table["value"].to_numpy()
         by = np.argsort(codes)
-        codes, values = codes[by], values[by]
-        found = [values[np.searchsorted(codes, own)].astype("<f8").tobytes() for own in _arrays(blocks["codes"], "<u8")]
         return pa.table(
-            {"block": blocks["block"], "kind": blocks["kind"], "codes": blocks["codes"], "values": pa.array(found, pa.binary())}
+            {
+                "kind": pa.array([key[0].as_py()], pa.int32()),
+                "bucket": pa.array([key[1].as_py()], pa.int64()),
+                "known": pa.array([_pack(codes[by], np.zeros(0, np.int64), _width(key[0].as_py(), order))[1]], pa.binary()),
+                "prices": pa.array([values[by].astype("<f8").tobytes()], pa.binary()),
+            }
         )
 
-    pairs = held.drop("counts").groupBy("kind", "bucket").cogroup(prices.groupBy("kind", "bucket"))
-    return pairs.applyInArrow(run, "block long, kind int, codes binary, values binary")
+    def run(key: tuple, blocks: pa.Table, table: pa.Table) -> pa.Table:
+        width = _width(key[0].as_py(), order)
+        known = _codes(table["known"][0].as_py(), width)
+        values = np.frombuffer(table["prices"][0].as_py(), "<f8")
+        found = [
+            values[np.searchsorted(known, _codes(codes.as_py(), width))].tobytes() for codes in blocks["codes"]
+        ]
+        return pa.table(
+            {"block": blocks["block"], "kind": blocks["kind"], "bucket": blocks["bucket"], "values": pa.array(found, pa.binary())}
+        )
 
+    packed = prices.groupBy("kind", "bucket").applyInArrow(pack, "kind int, bucket long, known binary, prices binary")
+    spread = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
+    dealt = held.select("block", "kind", "bucket", "codes", F.pmod(F.xxhash64("block"), F.lit(sets)).alias("part"))
+    pairs = dealt.groupBy("kind", "bucket", "part").cogroup(spread.groupBy("kind", "bucket", "part"))
+    return pairs.applyInArrow(run, "block long, kind int, bucket long, values binary")
 
-def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
+
+def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 16 << 20) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row of
     `docs(doc_id, text, ...)`.
 
@@ -317,25 +425,24 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 32 << 20) ->
     bytes; `base_score` is that of its words and an end by their smoothed frequencies, `n_known`
     counts those seen in training, `train_tokens` all training words and ends.
 
-    Texts are dealt by hash into blocks of about `block_bytes`. A block asks for the prices of the
-    distinct grams and words it holds and gets just these, so no task or driver holds the model,
-    which grows with the input. A null or wordless text is one end. Repeated rows are learnt and
-    scored each; rows without id are held out. With no training rows all bytes cost the same.
+    Texts are taken in blocks of about `block_bytes`. A block asks for the prices of the distinct
+    grams and words it holds and gets just these, so no task or driver holds the model, which grows
+    with the input. The codes of a block go to a number of buckets that grows with the root of the
+    bytes read. A null or wordless text is one end. Repeated rows are learnt and scored each; rows
+    without id are held out. With no training rows all bytes cost the same.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size, rows, learnt = docs.agg(
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    size, learnt = docs.agg(
         F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
-        F.count("*"),
-        F.coalesce(F.sum((~held_out(F.col("doc_id"))).cast("long")), F.lit(0)),
+        F.coalesce(F.sum((~F.col("held_out")).cast("long")), F.lit(0)),
     ).first()
-    blocks = max(1, -(-int(size) // block_bytes), -(-int(rows) // (block_bytes >> 6)))
-    dealt = docs.withColumn("held_out", held_out(F.col("doc_id"))).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
-    )
-    # about one block to a task, so that sorting them takes little memory
-    dealt = dealt.repartition(min(blocks, _MOST_TASKS), "block")
-    held = materialize(block_counts(dealt, order, blocks), "block-counts")
-    totals = materialize(total_counts(held), "totals")
+    buckets = max(1, math.isqrt(int(size) // (block_bytes >> 2)))
+    blocks = materialize(make_blocks(docs, order, buckets, block_bytes), "blocks")
+    held = blocks.where(f"kind <> {_TEXT}")
+    entries, number = held.agg(F.coalesce(F.sum("entries"), F.lit(0)), F.count_distinct("block")).first()
+    sets = max(1, -(-entries // (buckets * _SET_ENTRIES)))
+    totals = materialize(total_counts(held, order, sets), "totals")
     words = totals.where(f"kind = {_WORD}")
     n, v = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # the end is one more token, seen once in each training text
@@ -344,19 +451,28 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 32 << 20) ->
     word_prices = words.select(F.lit(_WORD).alias("kind"), "bucket", "code", F.col("n").cast("double").alias("value"))
     grams = gram_prices(totals.where(f"kind = {_GRAM}").drop("kind"), order)
     prices = grams.select(F.lit(_GRAM).alias("kind"), "bucket", "code", "value").unionByName(word_prices)
-    priced = block_prices(held, prices)
+    priced = block_prices(held, prices, order, sets).withColumnRenamed("block", "of")
 
-    def run(key: tuple, table: pa.Table, own: pa.Table) -> pa.Table:
-        tables = {}
-        for kind in (_GRAM, _WORD):
+    def tables(batches: list[pa.RecordBatch], own: pa.Table) -> dict[int, tuple[Lookup, np.ndarray]]:
+        """Per kind the block's codes, found again from its texts, and their prices."""
+        found = {}
+        for kind, counts in _distinct(batches, order).items():
+            codes = counts.merge()[0]
             mine = own.filter(pc.equal(own["kind"], kind))
-            codes = np.concatenate([np.zeros(0, np.uint64), *_arrays(mine["codes"], "<u8")])
-            values = np.concatenate([np.zeros(0), *_arrays(mine["values"], "<f8")])
-            tables[kind] = (Lookup(codes), values)
-        grams, gram_value = tables[_GRAM]
-        known, word_count = tables[_WORD]
+            of = dict(zip(mine["bucket"].to_pylist(), mine["values"], strict=True))
+            values = np.zeros(len(codes))
+            for b, at in _dealt(codes, buckets):
+                values[at] = np.frombuffer(of[b].as_py(), "<f8")
+            found[kind] = (Lookup(codes), values)
+        return found
+
+    def run(key: tuple, table: pa.Table, own: pa.Table) -> pa.Table:
+        batches = _unpress(table["codes"].to_pylist())
+        found = tables(batches, own)
+        grams, gram_value = found[_GRAM]
+        known, word_count = found[_WORD]
         out = []
-        for texts in slices(iter(table.to_batches()), most=_SLICE_BYTES):
+        for texts in slices(iter(batches), most=_SLICE_BYTES):
             stream, begins, hashes, bounds = symbols(texts, order)
             each = np.zeros(len(stream))
             for begin, real, codes in gram_codes(stream, order):
@@ -383,9 +499,12 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 32 << 20) ->
             )
         return pa.Table.from_batches(out)
 
+    # about one block to a task, so that sorting them takes little memory
+    tasks = max(1, min(number, _MOST_TASKS))
+    texts = blocks.where(f"kind = {_TEXT}").select("block", "codes").repartition(tasks, "block")
     return (
-        dealt.groupBy("block")
-        .cogroup(priced.repartition(min(blocks, _MOST_TASKS), "block").groupBy("block"))
+        texts.groupBy("block")
+        .cogroup(priced.repartition(tasks, "of").groupBy("of"))
         .applyInArrow(
             run,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
