@@ -411,7 +411,7 @@ def block_prices(held: DataFrame, prices: DataFrame, order: int, sets: int) -> D
 
     packed = prices.groupBy("kind", "bucket").applyInArrow(pack, "kind int, bucket long, known binary, prices binary")
     spread = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
-    dealt = held.select("block", "kind", "bucket", "codes", F.pmod(F.xxhash64("block"), F.lit(sets)).alias("part"))
+    dealt = held.select("block", "kind", "bucket", "codes", F.pmod(F.xxhash64("block"), F.lit(sets)).cast("int").alias("part"))
     pairs = dealt.groupBy("kind", "bucket", "part").cogroup(spread.groupBy("kind", "bucket", "part"))
     return pairs.applyInArrow(run, "block long, kind int, bucket long, values binary")
 

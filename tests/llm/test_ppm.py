@@ -100,6 +100,16 @@ def test_scores(make_docs, order, block):
     check(rows, make_docs(rows), order, block)
 
 
+def test_codes_and_prices_meet_in_separate_partitions(spark, make_docs, monkeypatch):
+    rows = [(i, f"some words {i % 7} that go on and {i}") for i in range(60)]
+    monkeypatch.setattr(ppm, "_SET_ENTRIES", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(rows, make_docs(rows), 2, 300)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_odd_texts(make_docs, odd_texts):
     rows = [(d, t if not t or len(t) < 1000 else t[:4000]) for d, t in odd_texts]
     check(rows, make_docs(rows))
