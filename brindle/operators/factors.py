@@ -154,7 +154,7 @@ def top_items(
         "users",
     )
     parts = max(1, -(-users.count() // part_users))
-    part = F.pmod(F.xxhash64("user"), F.lit(parts)).alias("part")
+    part = F.pmod(F.xxhash64("user"), F.lit(parts)).cast("int").alias("part")  # of the type of `piece` below
     seen = rated.select(F.col("user").cast("long").alias("user"), F.col("item").cast("long").alias("item")).distinct()
     seen = materialize(seen.join(placed.select("item", "place", "block"), "item"), "rated-places")
     seen = seen.select(

@@ -50,6 +50,21 @@ def test_short_blocks_are_left_out(spark):
     assert [r[2] for r in found(*args, k=3, block_items=20)] == [1, 2, 3]
 
 
+def test_cells_meet_in_separate_partitions(spark):
+    """Both sides of a cell are dealt to the same of many partitions."""
+    rng = np.random.default_rng(3)
+    users = [(u, rng.normal(size=2).tolist()) for u in range(60)]
+    items = [(i, rng.normal(size=2).tolist()) for i in range(80)]
+    args = tables(spark, users, items, [(1, 2)])
+    users, items = ([(r[0], list(r[1])) for r in t.collect()] for t in args[:2])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = found(*args, k=4, block_items=9, part_users=11)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == brute_force(users, items, {(1, 2)}, 4)
+
+
 def test_no_users_items_or_ratings(spark):
     users, items, rated = tables(spark, [(1, [1.0])], [(2, [1.0])], [(1, 2)])
     assert found(users.where("false"), items, rated) == []
