@@ -70,13 +70,24 @@ def run_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
-    The table lives as long as the program. This cuts lineage in a way that survives the loss of executors, and because the result is a
-    Parquet table its later readers prune columns and Catalyst knows its size, so a join with it
-    is broadcast only below `spark.sql.autoBroadcastJoinThreshold`.
+    The table lives as long as the program, or until `free`. This cuts lineage in a way that survives
+    the loss of executors, and because the result is a Parquet table its later readers prune columns
+    and Catalyst knows its size, so a join with it is broadcast only below
+    `spark.sql.autoBroadcastJoinThreshold`.
     """
     path = f"{run_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` has returned; whatever reads them must have been written."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
