@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.session import materialize
+from brindle.session import free, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
-    """`node, component` for every node of `links(a, b)`; the component is its smallest node.
+    """`node, component` for every node of `links(a, b)`, written; the component is its smallest node.
 
     Alternates two steps until nothing changes, each one pass over the links: every node hands its
     smallest neighbour to its larger neighbours, then to its smaller ones. Links become stars whose
@@ -34,6 +34,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         large = materialize(large, "large-stars")
+        free(centre)
         # smaller neighbours of a node, and itself, are linked to the smallest of them
         centre = materialize(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n"), "centres")
         joined = large.join(centre, large["a"] == centre["n"])
@@ -43,13 +44,18 @@ def connected_components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         small = materialize(small, "small-stars")
-        if _sum(small) == _sum(edges):
-            break
+        free(centre, large)
+        done = _sum(small) == _sum(edges)
+        free(edges)
         edges = small
+        if done:
+            break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    stars = materialize(
+        stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), "stars"
     )
+    free(edges)
+    return stars
 
 
 def _sum(edges: DataFrame) -> tuple:

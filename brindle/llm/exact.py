@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from brindle.llm.joins import without
 from brindle.session import materialize
 
 _KEYS = ("digest", "n_bytes", "check")
@@ -69,15 +70,16 @@ def exact_groups(docs: DataFrame, fanout: int = 16, keep: str = "max") -> DataFr
     )
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay; all columns are kept, rows without id too.
 
     A row goes by its id and text, so that of an id with several texts the others stay; rows that
-    repeat both share one decision. Only the ids and digests that go are joined with the texts, so
-    that where they are few the texts stay in their tasks.
+    repeat both share one decision. Texts that surely stay do not leave their tasks.
     """
     copies = exact_groups(docs).where("not kept and doc_id is not null")
-    gone = copies.select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_text")).distinct()
-    gone = materialize(gone, "copies")
-    same = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == gone["_text"]
-    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & same, "left_anti")
+    gone = copies.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex("text_sha256").alias("mark")).distinct()
+    return without(docs, materialize(gone, "copies"), _digest)

@@ -9,8 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from brindle.llm.components import connected_components
+from brindle.llm.joins import maybe_in, text_mark, without
 from brindle.llm.texts import find_words, lower_ascii, mix, slices, window_hashes, word_hashes
-from brindle.session import materialize
+from brindle.operators.grouping import global_index
+from brindle.session import free, materialize
 
 _BLOCK_GRAMS = 4_500_000
 _CELL_GRAMS = 1_000_000
@@ -79,9 +81,9 @@ def most_repeated(counts: DataFrame, most: int) -> np.ndarray:
     The smallest sum that keeps to the bound is found from the number of grams per sum, sums from 64
     on by powers of two.
     """
-    sums = materialize(counts.groupBy("gram").agg(F.sum("n").alias("n")), "repeated")
+    written = materialize(counts.groupBy("gram").agg(F.sum("n").alias("n")), "repeated")
     level = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n")) + 58)
-    sums = sums.withColumn("level", level)
+    sums = written.withColumn("level", level)
     least, total = 1 << 20, 0
     for found in sums.groupBy("level").count().orderBy(F.desc("level")).collect():
         total += found["count"]
@@ -90,6 +92,7 @@ def most_repeated(counts: DataFrame, most: int) -> np.ndarray:
         least = found["level"]
     tag, size = F.shiftright("gram", 32).cast("int").alias("tag"), F.least("n", F.lit(1 << 30)).cast("int").alias("n")
     chosen = sums.where(F.col("level") >= least).select(tag, size).toArrow()
+    free(written)
     tags, n = (chosen[c].to_numpy().astype(np.uint32) for c in ("tag", "n"))
     tags = tags[np.lexsort((tags, n))]
     last = len(tags) - 1 - np.unique(tags[::-1], return_index=True)[1]
@@ -409,25 +412,30 @@ def ngram_links(
     touched = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     held = nodes.join(touched, nodes["key_b"] == touched["node"]).where("rep is not null").drop("node")
     held = materialize(held, "held")
+    free(links)
     # the texts of all candidates, which later steps read instead of the documents
-    # (candidates grow with the input, so they are never broadcast)
-    texts = docs.join(held.hint("merge"), docs["doc_id"] == held["rep"]).drop("doc_id")
+    # (candidates grow with the input, so they are never broadcast; other texts stay in their tasks)
+    wanted = maybe_in(docs, held.select(F.col("rep").alias("doc_id")), "doc_id").where("maybe").drop("maybe")
+    texts = wanted.join(held.hint("merge"), wanted["doc_id"] == held["rep"]).drop("doc_id")
     repeated = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if not repeated.isEmpty():
         texts = matching(texts, width)
     texts = materialize(texts, "candidate-texts")
-    links = candidate_links(exact_postings(texts, width, percent, frequent), percent)
-    groups = connected_components(materialize(links, "candidates"))
+    links = materialize(candidate_links(exact_postings(texts, width, percent, frequent), percent), "candidates")
+    groups = connected_components(links)
+    free(links)
     members = held.join(groups, held["key_b"] == groups["node"]).drop("node")
     members = materialize(members, "members")
+    free(groups, held)
     blocks = (
         members.groupBy("component")
         .agg(F.sum("n").alias("grams"), F.count("*").alias("sets"))
         .where("sets > 1")
         .select("component", F.ceil(F.col("grams") / _CELL_GRAMS).cast("long").alias("blocks"))
     )
+    blocks = materialize(blocks, "blocks")
     dealt = (
-        members.join(materialize(blocks, "blocks"), "component")
+        members.join(blocks, "component")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
@@ -441,8 +449,10 @@ def ngram_links(
         )
     )
     dealt = materialize(dealt, "dealt")
+    free(members, blocks)
     cells = texts.select("rep", "key_a", "text").join(dealt.hint("merge"), ["rep", "key_a"])
     joined = materialize(join_cells(cells, width, percent), "joined")
+    free(dealt, texts)
     linked = connected_components(joined.select(F.col("rep").alias("a"), F.col("label").alias("b")))
     per_set = (
         nodes.join(joined.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
@@ -456,6 +466,7 @@ def ngram_links(
         )
     )
     per_set = materialize(per_set, "components")
+    free(joined, linked, nodes)
     filled = rows.where("n > 0").join(per_set, ["key_a", "key_b", "n"])
     empty = rows.where("n = 0").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
@@ -476,7 +487,22 @@ def matching(rows: DataFrame, width: int) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of `docs` that are first, by id, of their component; rows without id stay."""
-    gone = ngram_links(docs, width, percent).where("doc_id != component_id")
-    gone = materialize(gone.select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Rows of `docs` that are first, by id, of their component; rows without id stay.
+
+    A row goes by its id and text: an id that stands for several texts is a document for each of
+    them, so only those with a partner go. Repeated rows share one decision, null text counts as empty,
+    an empty table stays empty, all columns are kept.
+    """
+    ids = docs["doc_id"].cast("long").alias("doc_id")
+    rows = docs.select(ids, text_mark(docs["text"]).alias("mark"), docs["text"]).where("doc_id is not null")
+    texts = materialize(rows.select("doc_id", "mark").distinct(), "marks")
+    if texts.groupBy("doc_id").count().where("count > 1").isEmpty():
+        linked = ngram_links(rows.select("doc_id", "text"), width, percent).where("doc_id != component_id")
+        gone = linked.select("doc_id").distinct().join(texts, "doc_id")
+    else:
+        # documents are numbered in the order of their ids, and each text of an id on its own
+        placed = materialize(global_index(texts, ["doc_id", "mark"], "place"), "places")
+        numbered = rows.join(placed, ["doc_id", "mark"]).select(F.col("place").alias("doc_id"), "text")
+        linked = ngram_links(numbered, width, percent).where("doc_id != component_id")
+        gone = placed.join(linked.select(F.col("doc_id").alias("place")).distinct(), "place").drop("place")
+    return without(docs, materialize(gone, "near-copies"))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from brindle.llm.joins import text_mark, without
 from brindle.llm.texts import (
     Texts,
     find_words,
@@ -237,19 +238,20 @@ def fit_additive(
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """`doc_id, measures` per row of `docs(doc_id, text, ...)`."""
+    """`doc_id, mark, measures` per row of `docs(doc_id, text, ...)`; `mark` is that of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in slices(batches):
             rows = measure(texts)
             offsets = np.arange(len(rows) + 1, dtype=np.int32) * len(MEASURES)
             yield pa.RecordBatch.from_arrays(
-                [texts.rows.column("doc_id"), pa.ListArray.from_arrays(offsets, rows.ravel())],
-                names=["doc_id", "measures"],
+                [texts.rows.column("doc_id"), texts.rows.column("mark"), pa.ListArray.from_arrays(offsets, rows.ravel())],
+                names=["doc_id", "mark", "measures"],
             )
 
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(run, "doc_id long, measures array<double>")
+    marked = docs.select(ids, text_mark(docs["text"]).alias("mark"), "text")
+    return marked.mapInArrow(run, "doc_id long, mark long, measures array<double>")
 
 
 def remainder(doc_id: Column) -> Column:
@@ -261,8 +263,8 @@ def train(rows: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> Addit
     """A model of `labels(doc_id, quality)` on `rows(doc_id, measures)`.
 
     Learns from ids whose remainder is not 1, and of these from the `train_rows` with the smallest
-    hashes; this bound is what reaches the driver. Several labels of an id are averaged; null ones
-    are left out.
+    hashes; this bound is what reaches the driver. Several labels of an id are averaged, of several
+    texts that of the smallest mark is taken; null labels are left out.
     """
     known = (
         labels.where("doc_id is not null and quality is not null")
@@ -270,10 +272,14 @@ def train(rows: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> Addit
         .groupBy("doc_id")
         .agg(F.avg("quality").alias("y"))
     )
+    known = materialize(known, "quality-labels")
+    # the smallest hashes by a bound on them, so that about `train_rows` rows reach the driver
+    share = min(1.0, 1.05 * train_rows / max(known.count(), 1))
+    draw = F.xxhash64("doc_id")
+    known = known.where(draw <= min(int(-(2.0**63) + share * 2.0**64), 2**63 - 1))
+    first = rows.join(known, "doc_id").groupBy("doc_id").agg(F.min_by("measures", "mark").alias("measures"), F.first("y").alias("y"))
     sample = (
-        rows.dropDuplicates(["doc_id"])
-        .join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        first.orderBy(draw, "doc_id")
         .limit(train_rows)
         .select("measures", (F.col("y") >= 0.5).cast("double").alias("y"))
         .toPandas()
@@ -282,12 +288,8 @@ def train(rows: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> Addit
     return fit_additive(x, sample["y"].to_numpy(np.float64))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> DataFrame:
-    """`doc_id, held_out, score, predicted` for every row of `docs(doc_id, text, ...)`.
-
-    The score is the probability of quality 1 from the text alone; rows without text are scored as
-    empty ones. Repeated rows are scored each. Without usable labels all rows get one score.
-    """
+def _scored(docs: DataFrame, labels: DataFrame, train_rows: int) -> DataFrame:
+    """`doc_id, mark, score, predicted` per row."""
     rows = materialize(measured(docs), "measures")
     model = train(rows, labels, train_rows)
 
@@ -296,16 +298,28 @@ def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 40_000)
             flat = batch.column("measures").flatten().to_numpy(zero_copy_only=False)
             score = model.score(flat.reshape(-1, len(MEASURES)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                names=["doc_id", "score", "predicted"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                names=["doc_id", "mark", "score", "predicted"],
             )
 
-    scored = rows.mapInArrow(run, "doc_id long, score double, predicted int")
-    return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+    return rows.mapInArrow(run, "doc_id long, mark long, score double, predicted int")
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> DataFrame:
+    """`doc_id, held_out, score, predicted` for every row of `docs(doc_id, text, ...)`.
+
+    The score is the probability of quality 1 from the text alone; rows without text are scored as
+    empty ones. Repeated rows are scored each. Without usable labels all rows get one score.
+    """
+    held_out = (remainder(F.col("doc_id")) == 1).alias("held_out")
+    return _scored(docs, labels, train_rows).select("doc_id", held_out, "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = 40_000) -> DataFrame:
-    """Rows of `docs` whose predicted quality is 1; rows without id stay, as they cannot be told."""
-    bad = score_quality(docs, labels, train_rows).where("predicted = 0")
-    bad = materialize(bad.select(F.col("doc_id").alias("_bad")).where("_bad is not null").distinct(), "rejected")
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """Rows of `docs` whose predicted quality is 1; rows without id stay, as they cannot be told.
+
+    A row goes by its id and text: of an id with several texts the good ones stay. Repeated rows
+    share one decision, null text counts as empty, an empty table stays empty, all columns are kept.
+    """
+    bad = _scored(docs, labels, train_rows).where("predicted = 0 and doc_id is not null")
+    return without(docs, materialize(bad.select("doc_id", "mark").distinct(), "rejected"))

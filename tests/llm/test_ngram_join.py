@@ -114,6 +114,19 @@ def test_one_of_each_group_stays(make_docs):
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c, _ in brute(rows)}
 
 
+def test_an_unrelated_text_of_the_same_id_stays(spark, make_docs, odd_texts):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words), (2, words + " end"), (2, "something else that nobody wrote twice here"), (2, words + " end"), (3, None)]
+    docs = make_docs([*rows, (None, words)])
+    kept = ngram_join.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4], (None, words)], key=str)
+    odd = make_docs(odd_texts)
+    assert sorted((r.doc_id, r.text) for r in ngram_join.keep_one_of_each(odd).where("doc_id is not null").collect() if r.text == "One  TWO\nthree") == []
+    assert ngram_join.keep_one_of_each(odd).where("doc_id is null").count() == 3
+    assert ngram_join.keep_one_of_each(make_docs([])).count() == 0
+
+
 sets = st.lists(st.frozensets(st.integers(1, 25), min_size=1, max_size=14), min_size=1, max_size=14)
 
 
