@@ -83,7 +83,9 @@ _ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 # Between these no value but a secret goes on, so a text is read in regions from a form up to the next of them.
 _STOP = r"\n\t,;<>{}\[\]|!?*&#~"
 _REGION = rf"(?:{_ANY})[^{_STOP}]*?(?=(?={_SECRET})(?<!@[A-Za-z0-9.-]{{0,64}})|[{_STOP}]|\z)"
-_FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)  # 1900 to 2099 have 17 * 4297 days
+_DAYS, _FIRST_NEAR = 3_652_059, 693_595  # days of the years 1 to 9999, and those before 1900
+_NEAR = (17, 4297)  # 1900 to 2099 have 17 * 4297 days,
+_FAR = (1258, 2845)  # the other years 1258 * 2845
 
 
 def _draw(key: str, kind: str, step: Column, other: Column, i: Column) -> Column:
@@ -242,8 +244,8 @@ def _date(v: Column, key: str, invert: bool) -> Column:
             F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")),
             "yyyy-MM-dd",
         )
-        number = F.date_diff(date, F.lit(_FIRST_DAY).cast("date"))
-        inside = (number >= 0) & (number < _DAYS[0] * _DAYS[1])
+        number = F.date_diff(date, F.lit("0001-01-01").cast("date")).cast("long")
+        inside = (number >= 0) & (number < _DAYS)
         padded = (F.length(parts[1]) == 2) & (F.length(F.when(year_first, parts[2]).otherwise(parts[0])) == 2)
         mark = F.regexp_extract(v, "[^0-9]", 0)
 
@@ -256,8 +258,14 @@ def _date(v: Column, key: str, invert: bool) -> Column:
                 F.when(day_first, F.concat(dd, mark, mm, mark, yyyy)).otherwise(F.concat(mm, mark, dd, mark, yyyy))
             )
 
-        moved = permute_number(number.cast("long"), _DAYS, key, "date", invert)
-        return F.when(inside, let(F.date_add(F.lit(_FIRST_DAY).cast("date"), moved.cast("int")), shown))
+        # near days stay near ones, so that pseudonyms of usual dates are usual dates
+        past = number - _FIRST_NEAR
+        near = (past >= 0) & (past < _NEAR[0] * _NEAR[1])
+        other = number - F.when(past >= 0, _NEAR[0] * _NEAR[1]).otherwise(0)
+        moved = permute_number(other, _FAR, key, "far date", invert)
+        moved = let(moved, lambda m: m + F.when(m >= _FIRST_NEAR, _NEAR[0] * _NEAR[1]).otherwise(0))
+        moved = F.when(near, permute_number(past, _NEAR, key, "date", invert) + _FIRST_NEAR).otherwise(moved)
+        return F.when(inside, let(F.date_add(F.lit("0001-01-01").cast("date"), moved.cast("int")), shown))
 
     return let(F.split(v, "[^0-9]"), whole)
 
@@ -409,7 +417,8 @@ def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     the replaced kinds in order.
 
     Values: mail addresses (all but the top domain), hexadecimal secrets named as such, account
-    numbers (remainder 97), dates from 1900 to 2099, IPv4 addresses, social security numbers, card
+    numbers (remainder 97), dates of the years 1 to 9999 (of 1900 to 2099 and others, each among
+    themselves), IPv4 addresses, social security numbers, card
     numbers (check digit) and phone numbers (7 to 15 digits). What fails its check stays, and values
     that start inside it are still found. Of an account number with further groups behind, the part
     of its country's length counts, if its remainder is right. Card numbers of 13 to 19 digits are
@@ -427,14 +436,17 @@ def pseudonymize(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(_REGION), F.lit(0)))
     made = F.transform(found, lambda region: _read(region, key, invert))
     gaps = F.split("text", _REGION, -1)
+    held = "_made"
+    while held.lower() in [c.lower() for c in docs.columns]:
+        held += "_"
     rebuilt = F.array_join(
-        F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get("_made", i)["text"], F.lit("")))), ""
+        F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get(held, i)["text"], F.lit("")))), ""
     )
-    kinds = F.flatten(F.transform("_made", lambda m: m["kinds"]))
-    some = F.size("_made") > 0
+    kinds = F.flatten(F.transform(held, lambda m: m["kinds"]))
+    some = F.size(held) > 0
     return (
-        docs.withColumn("_made", made)
+        docs.withColumn(held, made)
         .withColumn("pii_kinds", F.when(some, kinds).when(F.col("text").isNotNull(), F.array().cast("array<string>")))
         .withColumn("text", F.when(some, rebuilt).otherwise(F.col("text")))
-        .drop("_made")
+        .drop(held)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +13,18 @@ from brindle.session import spread
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-PII_KEY = "corpus pseudonyms, first edition"
+PII_KEY = "spark.brindle.piiKey"
+_own_keys: dict[str, str] = {}
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The key of the pseudonyms, from the setting `spark.brindle.piiKey`.
+
+    Without the setting the application draws one of its own: its pseudonyms agree with each other,
+    and nobody can invert them.
+    """
+    key = spark.conf.get(PII_KEY, None)
+    return key or _own_keys.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +92,7 @@ from documents window same as (partition by coalesce(text, ''))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    return pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), pii_key(spark))
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm import exact, ngram_join, packing, pii, quality
-from brindle.llm.queries import PII_KEY, WORDS
+from brindle.llm.queries import WORDS, pii_key
 from brindle.llm.texts import small_batches
 from brindle.session import materialize
 
@@ -36,7 +36,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values replaced by pseudonyms."""
-    replaced = pii.pseudonymize(docs, PII_KEY).withColumn("n_chars", F.length("text").cast("long"))
+    replaced = pii.pseudonymize(docs, pii_key(spark))
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.length("text").cast("long"))
     return replaced.select(*docs.columns)
 
 

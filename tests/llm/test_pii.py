@@ -9,7 +9,7 @@ VALUES = {
     "email": ["the.72@mail3.example.com", "THE.72@MAIL3.EXAMPLE.COM", "a@b.org", "x_y+z@sub-1.host.co"],
     "secret": ['token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"', "API_KEY: 9233A8ECF7C5B09FE5949719B6B82BC439E9329B"],
     "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"],
-    "date": ["1999-02-28", "2000/02/29", "31.12.2024", "12/31/2024", "31/12/2024", "1.5.1987", "5/1/1987"],
+    "date": ["1999-02-28", "2000/02/29", "31.12.2024", "12/31/2024", "31/12/2024", "1.5.1987", "5/1/1987", "1899-12-31", "2150-01-02", "0001-01-01", "9999-12-31"],
     "ipv4": ["169.122.221.182", "8.8.8.8"],
     "ssn": ["123-45-6789"],
     "card": ["4111111111111111", "4111 1111 1111 1111", "378282246310005"],
@@ -20,7 +20,7 @@ LEFT = [
     "300.1.2.3",
     "1.2.3.4.5",
     "2023-02-30",
-    "1899-12-31",
+    "0000-12-31",
     "666-12-3456",
     "DE89370400440532013001",
     "version 1.2.3",
@@ -206,3 +206,29 @@ def test_cards_among_numbers(make_docs):
     # a row that is no card may begin with a phone number
     phone, moved = "800 555 1234", replaced(make_docs, ["800 555 1234"])[0][0]
     assert [text for text, _ in replaced(make_docs, [f"{phone} 5679"])] == [f"{moved} 5679"]
+
+
+def test_days_of_all_years_are_permuted_among_near_and_far_ones(spark):
+    days = spark.sql("select explode(sequence(date'1890-01-01', date'1910-12-31')) as d union all "
+                     "select explode(sequence(date'2090-01-01', date'2110-12-31')) union all "
+                     "select explode(array(date'0001-01-01', date'9999-12-31', date'0999-02-28'))")
+    docs = days.selectExpr("cast(d as string) as text", "'born ' || d as _made", "1 as made", "2 as gaps", "3 as `row`")
+    made = pii.pseudonymize(docs, KEY)
+    assert made.columns == [*docs.columns, "pii_kinds"]
+    rows = made.selectExpr("substring(_made, 6) as old", "text as new", "made", "gaps", "`row`").collect()
+    assert len({r.new for r in rows}) == len(rows) and all(tuple(r)[2:] == (1, 2, 3) for r in rows)
+    near = lambda d: "1900" <= d[:4] <= "2099"
+    assert all(len(r.new) == 10 and near(r.old) == near(r.new) for r in rows)
+    back = pii.pseudonymize(made.drop("pii_kinds"), KEY, invert=True)
+    assert back.where("text <> substring(_made, 6)").count() == 0
+
+
+def test_key_is_a_setting(spark):
+    from brindle.llm.queries import PII_KEY, pii_key
+
+    assert pii_key(spark) == pii_key(spark) and len(pii_key(spark)) == 64
+    spark.conf.set(PII_KEY, "mine")
+    try:
+        assert pii_key(spark) == "mine"
+    finally:
+        spark.conf.unset(PII_KEY)
