@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from brindle.functions.arrays import map_cosine
 from brindle.functions.text import token_counts, tokenize
 from brindle.session import materialize
 
@@ -33,10 +34,48 @@ def token_table(records: DataFrame, stopwords: Sequence[str] = ()) -> DataFrame:
 
 
 def remove_words(words: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Rows of a long table `id, token` whose token is not a `word` of a large stopword table."""
+    """Rows of a long table `id, token, ...` whose token is not a `word` of a large stopword table."""
     return words.join(stopwords.select(F.col("word").alias("token")), "token", "left_anti")
 
 
+def tokens_without(records: DataFrame, stopwords: DataFrame) -> DataFrame:
+    """`id, text` to `id, tokens` without the words of a table `word` of any size.
+
+    The tokens become rows, the stopword table decides by its written size how they are joined, and
+    each record gets its remaining tokens back in order and with repeats. Records keep their row
+    when no token is left. Ids must be unique.
+    """
+    words = F.transform(tokenize(F.col("text")), lambda w, i: F.struct(i.alias("at"), w.alias("token")))
+    first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("token")))
+    long = records.select("id", F.inline(F.concat(first, F.coalesce(words, F.array().cast("array<struct<at:int,token:string>>")))))
+    left = remove_words(long, materialize(stopwords.select("word").distinct(), "stopwords"))
+    ordered = F.sort_array(F.collect_list(F.struct("at", "token")))
+    return left.groupBy("id").agg(F.transform(F.slice(ordered, 2, 1 << 30), lambda t: t["token"]).alias("tokens"))
+
+
+def weight_maps(weights: DataFrame) -> DataFrame:
+    """`id, vector`: the weights of every record as a map from token to weight."""
+    entries = F.collect_list(F.struct("token", "weight"))
+    return weights.groupBy("id").agg(F.map_from_entries(entries).alias("vector"))
+
+
+def score_chosen(pairs: DataFrame, vectors_a: DataFrame, vectors_b: DataFrame) -> DataFrame:
+    """`id_a, id_b, n_common, sim` of chosen pairs, from whole vectors held as maps.
+
+    A record without tokens has no vector and is similar to nothing.
+    """
+    a = vectors_a.select(F.col("id").alias("id_a"), F.col("vector").alias("a"))
+    b = vectors_b.select(F.col("id").alias("id_b"), F.col("vector").alias("b"))
+    joined = pairs.select("id_a", "id_b").join(a, "id_a", "left").join(b, "id_b", "left")
+    common = F.size(F.array_intersect(F.map_keys("a"), F.map_keys("b")))
+    return joined.select(
+        "id_a",
+        "id_b",
+        F.when(F.col("a").isNull() | F.col("b").isNull(), 0).otherwise(common).cast("long").alias("n_common"),
+        F.coalesce(map_cosine(F.col("a"), F.col("b")), F.lit(0.0)).alias("sim"),
+    )
+
+
 def token_count(records: DataFrame) -> DataFrame:
     return records.agg(F.sum(F.size("tokens")).alias("n_tokens"))
 

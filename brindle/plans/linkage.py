@@ -17,8 +17,10 @@ from brindle.plans.inputs import (
     record_lines,
     with_sql,
 )
-from brindle.session import materialize
+from brindle.session import materialize, scratch_folder
 from brindle.sources.records import load, parse_pairs, parse_records, status_counts, valid
+from brindle.sources.sinks import write_lines
+from brindle.sources.text import literal_table, read_words
 
 # Similarity from which pairs are listed: the condition of the join.
 MIN_SIM = 0.05
@@ -86,6 +88,24 @@ def _gold_scores(spark, sf_dir):
     return scored.withColumn("sim", F.round("sim", 6))
 
 
+def _tokens_long(spark, sf_dir):
+    """The tokens with the stopwords read from a word file and taken out by a join."""
+    folder = scratch_folder(spark, "stopwords")
+    write_lines(literal_table(spark, [(w,) for w in STOPWORDS], "line string"), folder)
+    found = ops.tokens_without(documents(spark, sf_dir), read_words(spark, folder))
+    return found.select(
+        "id", F.size("tokens").cast("long").alias("n"), F.array_join("tokens", " ").alias("tokens")
+    )
+
+
+def _gold_map_scores(spark, sf_dir):
+    """Gold pairs scored from whole vectors."""
+    records = tokens(spark, sf_dir)
+    vectors = materialize(ops.weight_maps(ops.tfidf(records, ops.inverse_document_frequency(records))), "vectors")
+    found = ops.score_chosen(materialize(gold_pairs(spark, sf_dir), "gold"), vectors, vectors)
+    return found.withColumn("sim", F.round("sim", 6))
+
+
 def _dups(spark, sf_dir):
     scored = ops.score_pairs(index(spark, sf_dir, ordered=False), gold_pairs(spark, sf_dir))
     return ops.duplicate_average(scored).withColumn("avg_sim", F.round("avg_sim", 6))
@@ -246,6 +266,22 @@ QUERIES = {
             "round(coalesce(sim, 0), 6) as sim from gold g left join sims using (id_a, id_b)",
         ),
     ),
+    "er_gold_map_scores": (
+        _gold_map_scores,
+        with_sql(
+            *_SIMILAR,
+            GOLD_SQL,
+            query="select g.id_a, g.id_b, coalesce(n_common, 0) as n_common, "
+            "round(coalesce(sim, 0), 6) as sim from gold g left join sims using (id_a, id_b)",
+        ),
+    ),
+    "er_tokens_long": (
+        _tokens_long,
+        with_sql(
+            RECORDS_SQL,
+            query="select id, len(tokens) as n, array_to_string(tokens, ' ') as tokens from recs",
+        ),
+    ),
     "er_dups_avg": (
         _dups,
         with_sql(

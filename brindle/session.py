@@ -67,6 +67,11 @@ def run_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A path below `run_dir` that nothing has been written to."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -75,7 +80,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     and Catalyst knows its size, so a join with it is broadcast only below
     `spark.sql.autoBroadcastJoinThreshold`.
     """
-    path = f"{run_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._written_to = path

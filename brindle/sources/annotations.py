@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brindle.functions.boxes import CORNERS, compact_category, numbered_name, truncate
+from brindle.session import materialize
 
 ANNOTATION_SCHEMA = (
     "image string, xmin double, ymin double, xmax double, ymax double, label string"
@@ -37,8 +38,36 @@ VOC_SCHEMA = (
 )
 
 
-def read_annotations(spark: SparkSession, path: str, schema: str = ANNOTATION_SCHEMA) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True)
+CORRUPT = "_corrupt_record"
+
+
+def read_annotations(
+    spark: SparkSession, path: str, schema: str = ANNOTATION_SCHEMA, rejects: bool = False, multiline: bool = False
+) -> DataFrame:
+    """A CSV table with a header, in the form that `write_table(kind="csv")` writes.
+
+    With `rejects`, the column `_corrupt_record` has the text of rows whose fields do not fit the
+    schema. `multiline` allows line breaks inside quotes; such files are read whole, one per task.
+    """
+    if rejects:
+        schema = f"{schema}, {CORRUPT} string"
+    return spark.read.csv(
+        path, schema=schema, header=True, enforceSchema=False, multiLine=multiline, quote='"', escape='"',
+        mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+    )
+
+
+def split_rejects(read: DataFrame, name: str = "annotations") -> tuple[DataFrame, DataFrame]:
+    """The good rows, and one row `n_read, n_ok, n_bad`, of what `read_annotations` has read with rejects.
+
+    The rows are written once, as the text of a rejected row is only known where all fields are read.
+    """
+    table = materialize(read, name)
+    bad = F.col(CORRUPT).isNotNull()
+    counts = table.agg(
+        F.count(F.lit(1)).alias("n_read"), F.count_if(~bad).alias("n_ok"), F.count_if(bad).alias("n_bad")
+    )
+    return table.where(~bad).drop(CORRUPT), counts
 
 
 def read_documents(spark: SparkSession, path: str, suffix: str) -> DataFrame:

@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def write_lines(lines: DataFrame, path: str, column: str = "line") -> None:
-    """One text line per row, in as many files as there are partitions."""
-    lines.select(F.col(column).alias("value")).write.text(path)
+def write_lines(
+    lines: DataFrame, path: str, column: str = "line", codec: str | None = None, by: Sequence[str] = ()
+) -> None:
+    """One text line per row, in as many files as there are partitions; `by` names nested folders.
+
+    A `codec` such as gzip makes files that cannot be split again, so they should not be few and large.
+    """
+    rows = lines.select(F.col(column).alias("value"), *by)
+    writer = rows.write.partitionBy(*by) if by else rows.write
+    writer.text(path, compression=codec)
 
 
 def write_class_names(codes: DataFrame, path: str) -> None:
@@ -23,7 +30,7 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet", by: Sequence[st
     """Parquet, or CSV with a header; `by` names the columns of the folder layout."""
     writer = df.write.partitionBy(*by) if by else df.write
     if kind == "csv":
-        writer.csv(path, header=True)
+        writer.csv(path, header=True, quote='"', escape='"')
     else:
         writer.parquet(path)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import Row, StructType
 
+from brindle.session import materialize
+
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line, column `value`.
@@ -38,13 +40,32 @@ def word_set(words: DataFrame, max_words: int = 100_000) -> list[str]:
     return sorted(found)
 
 
-def read_class_names(spark: SparkSession, path: str) -> DataFrame:
-    """`code, label` of a class-name file: the code is the line number."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
-    return whole.select(F.posexplode(lines).alias("code", "label")).select(
-        "code", F.trim("label").alias("label")
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """`path, line, value`: the lines of every file with their 0-based numbers, however files are split.
+
+    Lines of a split stay in order, so their numbers there are differences of running ids; what the
+    splits before it hold is added from one count per split. No line is sorted or moved.
+    """
+    read = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
     )
+    lines = materialize(read, "lines")  # ids differ from read to read
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    offsets = splits.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return lines.join(materialize(offsets, "splits"), ["path", "start"]).select(
+        "path", (F.col("place") - F.col("first") + F.col("before")).alias("line"), "value"
+    )
+
+
+def read_class_names(spark: SparkSession, path: str) -> DataFrame:
+    """`code, label` of a class-name file: the code is the line number; empty lines at its end are none."""
+    lines = numbered_lines(spark, path).select(F.col("line").cast("int").alias("code"), F.trim("value").alias("label"))
+    last = lines.where("label <> ''").agg(F.max("code")).scalar()
+    return lines.where(F.col("code") <= last)
 
 
 def anchor_list(text: Column) -> Column:

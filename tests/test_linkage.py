@@ -199,3 +199,24 @@ def test_evaluation(spark, linked):
         fp = sum(int(s * 100 + 1e-9) >= i for p, s in sims.items() if p not in gold)
         assert (r["fn"], r["tp"]) == (fn, len(gold) - fn)
         assert abs(r["fp"] - fp) <= 0
+
+
+def test_words_of_a_large_table_are_taken_out_in_order(spark):
+    from brindle.operators import linkage
+
+    rows = [(1, "The fox and the dog, the end"), (2, "the the"), (3, ""), (4, None), (5, "Fox fox THE fox")]
+    records = spark.createDataFrame(rows, "id long, text string")
+    stop = spark.createDataFrame([("the",), ("and",), ("the",)], "word string")
+    found = {r.id: r.tokens for r in linkage.tokens_without(records, stop).collect()}
+    assert found == {1: ["fox", "dog", "end"], 2: [], 3: [], 4: [], 5: ["fox", "fox", "fox"]}
+    assert linkage.tokens_without(records, stop.where("false")).where("id = 2").first().tokens == ["the", "the"]
+
+
+def test_chosen_pairs_from_maps(spark):
+    from brindle.operators import linkage
+
+    weights = spark.createDataFrame([(1, "a", 3.0), (1, "b", 4.0), (2, "a", 1.0), (3, "c", 2.0)], "id long, token string, weight double")
+    vectors = linkage.weight_maps(weights)
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 1), (1, 9)], "id_a long, id_b long")
+    found = {(r.id_a, r.id_b): (r.n_common, round(r.sim, 9)) for r in linkage.score_chosen(pairs, vectors, vectors).collect()}
+    assert found == {(1, 2): (1, 0.6), (1, 3): (0, 0.0), (1, 1): (2, 1.0), (1, 9): (0, 0.0)}

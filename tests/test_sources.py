@@ -265,3 +265,58 @@ def test_a_bad_line_fails_the_job_that_reads_it(spark):
     assert records.valid(records.expect_valid(records.parse_records(lines_of(spark, good)))).count() == 1
     with pytest.raises(Exception, match="line failed to parse: no record"):
         records.expect_valid(records.parse_records(lines_of(spark, good, "no record"))).collect()
+
+
+def test_line_numbers_of_split_files(spark, tmp_path):
+    long = [f"line {i} " + "x" * (i % 37) for i in range(500)]
+    (tmp_path / "a.txt").write_text("\n".join(long) + "\n")
+    (tmp_path / "b.txt").write_text("one\n\nthree")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(tmp_path / "a.txt")).rdd.getNumPartitions() > 10
+        rows = text.numbered_lines(spark, str(tmp_path)).collect()
+        names = text.read_class_names(spark, str(tmp_path / "a.txt")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {name: [v for _, v in sorted((r.line, r.value) for r in rows if r.path.endswith(name))] for name in ("a.txt", "b.txt")}
+    assert got == {"a.txt": long, "b.txt": ["one", "", "three"]}
+    assert sorted(r.line for r in rows if r.path.endswith("a.txt")) == list(range(500))
+    assert sorted((r.code, r.label) for r in names) == [(i, v.strip()) for i, v in enumerate(long)]
+
+
+def test_class_names_end_with_empty_lines(spark, tmp_path):
+    (tmp_path / "c.txt").write_text("a\n\nb\n\n\n")
+    assert [tuple(r) for r in text.read_class_names(spark, str(tmp_path / "c.txt")).orderBy("code").collect()] == [(0, "a"), (1, ""), (2, "b")]
+    (tmp_path / "d.txt").write_text("")
+    assert text.read_class_names(spark, str(tmp_path / "d.txt")).count() == 0
+
+
+def test_compressed_lines_and_folders(spark, tmp_path):
+    rows = spark.createDataFrame([(f"l{i}", i % 2, i % 3) for i in range(30)], "line string, a int, b int")
+    sinks.write_lines(rows.repartition(2), str(tmp_path / "z"), codec="gzip", by=["a", "b"])
+    files = text.list_files(spark, str(tmp_path / "z"), (".gz",)).collect()
+    assert len(files) >= 6 and all("/a=" in r.path and "/b=" in r.path for r in files)
+    assert text.read_lines(spark, str(tmp_path / "z"), min_partitions=7).select("value").distinct().count() == 30
+    sinks.write_lines(rows.coalesce(1), str(tmp_path / "one"), codec="gzip")
+    assert text.read_lines(spark, str(tmp_path / "one")).rdd.getNumPartitions() == 1
+    assert text.read_lines(spark, str(tmp_path / "one"), min_partitions=5).rdd.getNumPartitions() == 5
+
+
+def test_file_list_reads_no_content(spark, tmp_path):
+    (tmp_path / "a.jpg").write_text("x")
+    plan = text.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
+
+
+def test_annotations_with_quotes_breaks_and_rejects(spark, tmp_path):
+    label = 'a "b", c\nd'
+    rows = spark.createDataFrame([("i.jpg", "1.5", "2", "3", "4", label), ("j.jpg", "x", "2", "3", "4", "e"), ("k.jpg", None, "2", "3", "4", None)], "image string, xmin string, ymin string, xmax string, ymax string, label string")
+    sinks.write_table(rows, str(tmp_path / "csv"), kind="csv")
+    read = annotations.read_annotations(spark, str(tmp_path / "csv"), rejects=True, multiline=True)
+    good, counts = annotations.split_rejects(read)
+    assert tuple(counts.first()) == (3, 2, 1)
+    got = {r.image: tuple(r)[1:] for r in good.collect()}
+    assert got == {"i.jpg": (1.5, 2.0, 3.0, 4.0, label), "k.jpg": (None, 2.0, 3.0, 4.0, None)}
