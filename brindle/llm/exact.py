@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.llm.joins import without
 from brindle.session import materialize
@@ -24,30 +24,51 @@ def text_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def merge_runs(digests: DataFrame, fanout: int = 16, keep: str = "max") -> DataFrame:
-    """`digest, n_bytes, check, keep_id, group_size` per text, merged over a tree of runs.
+def _one_of_each(runs: DataFrame, keep: str) -> DataFrame:
+    """Sorted runs of equal number merged: of equal texts the row of the id that stays, their sizes summed.
 
-    Every partition begins as one run, also by a written column `run`. A level merges `fanout` runs into one: the run number loses
-    its lowest digits, and each text keeps the largest (`keep="min"`: smallest) id seen so far with
-    the number of its rows. A run is spread over tasks by its keys and combined before the
-    exchange, so a text that holds a third of all rows is a handful of rows from the first level on.
+    Rows of a run and range lie in one task, in the order of their digests; equal ones are neighbours.
+    """
+    order = {"max": F.desc_nulls_last, "min": F.asc_nulls_last}[keep]("keep_id")
+    place = ["run", "range", *_KEYS]
+    same = Window.partitionBy(*place)
+    return (
+        runs.repartition("run", "range")
+        .sortWithinPartitions(*place, order)
+        .withColumn("group_size", F.sum("group_size").over(same.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        .withColumn("nth", F.row_number().over(same.orderBy(order)))
+        .where("nth = 1")
+        .drop("nth")
+    )
+
+
+def merge_runs(digests: DataFrame, fanout: int = 16, keep: str = "max", range_rows: int = 1 << 20) -> DataFrame:
+    """`digest, n_bytes, check, keep_id, group_size` per text, merged over a tree of sorted runs.
+
+    Every partition begins as one run, by a written column `run` or by its number. Its equal texts
+    become one row with the largest (`keep="min"`: smallest) id and the number of rows, so a text
+    that holds a third of all rows is one row per run from then on. Runs are exchanged in binomial
+    rounds: where the round's bits of a run's number are set, it is sent to the run without them, and
+    merged there. A round takes as many bits as `fanout` has, so it merges up to `fanout` runs. Runs
+    are cut into ranges of digests, about `range_rows` of all rows each, so that the last run too is spread
+    over tasks.
     """
     best = {"max": F.max, "min": F.min}[keep]
-    run = F.col("run") if "run" in digests.columns else F.spark_partition_id().alias("run")
-    last = digests.select(run).agg(F.max("run")).first()[0] or 0
-    runs = digests.select(
-        run, *_KEYS, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+    run = F.col("run") if "run" in digests.columns else F.spark_partition_id()
+    last, rows = digests.select(run.alias("run")).agg(F.max("run"), F.count(F.lit(1))).first()
+    ranges = max(1, -(-rows // range_rows))
+    lead = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    runs = (
+        digests.withColumns({"run": run.cast("long"), "range": F.floor(lead * ranges / (1 << 32)).cast("long")})
+        .groupBy("run", "range", *_KEYS)
+        .agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     )
-    width = 1
-    while True:
-        width *= fanout
-        # the highest level has one run
-        merged = F.floor(F.col("run") / fanout) if width <= last else F.lit(0).cast("long")
-        runs = runs.groupBy(merged.alias("run"), *_KEYS).agg(
-            best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
-        )
-        if width > last:
-            return runs.drop("run")
+    bits, done = max(1, (fanout - 1).bit_length()), 0
+    while (last or 0) >> done:
+        sent = F.col("run").bitwiseAND(F.lit(~(((1 << bits) - 1) << done)))
+        runs = _one_of_each(runs.withColumn("run", sent), keep)
+        done += bits
+    return runs.select(*_KEYS, "keep_id", "group_size")
 
 
 def exact_groups(docs: DataFrame, fanout: int = 16, keep: str = "max") -> DataFrame:
@@ -60,7 +81,8 @@ def exact_groups(docs: DataFrame, fanout: int = 16, keep: str = "max") -> DataFr
     An empty table gives an empty result.
     """
     digests = materialize(text_digests(docs.select("doc_id", "text")).withColumn("run", F.spark_partition_id()), "digests")
-    groups = merge_runs(digests, fanout, keep)
+    # written, so that rows of a text that is very frequent may be split over tasks
+    groups = materialize(merge_runs(digests, fanout, keep), "groups")
     return digests.join(groups, list(_KEYS)).select(
         "doc_id",
         "keep_id",

@@ -63,12 +63,23 @@ def test_other_text_of_an_id_stays(make_docs):
 
 
 def test_combines_before_the_exchange(make_docs):
-    """A text of very many rows reaches the second level as one row per run."""
+    """A text of very many rows is one row per run before runs are sent and merged."""
     docs = make_docs([(i, "same") for i in range(500)]).repartition(40)
     digests = exact.text_digests(docs)
     plan = exact.merge_runs(digests, 8)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max") == 2
-    assert exact.merge_runs(digests, 8).agg(F.sum("group_size")).first()[0] == 500
+    assert plan.count("partial_max") == 1
+    # 40 runs in two rounds of up to 8: each sends runs by number and range, and sorts them once
+    assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Sort [run#") == 2
+    merged = exact.merge_runs(digests, 8)
+    assert merged.count() == 1 and merged.first()["group_size"] == 500
+
+
+def test_ranges_of_digests(make_docs):
+    """Runs cut into many ranges give the same groups."""
+    rows = [(i, f"text {i % 91}") for i in range(1000)]
+    digests = exact.text_digests(make_docs(rows).repartition(7))
+    merged = exact.merge_runs(digests, 2, range_rows=10).select("keep_id", "group_size")
+    assert sorted(tuple(r) for r in merged.collect()) == sorted((max(range(k, 1000, 91)), len(range(k, 1000, 91))) for k in range(91))
 
 
 def test_height_comes_from_the_runs(make_docs, monkeypatch):
