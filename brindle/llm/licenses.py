@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from brindle.session import materialize
+
 # Texts that licences and licence notices are known by.
 _MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -118,12 +120,10 @@ SPELLINGS = [
     ("copyright owner", "copyright holder"),
     ("https", "http"),
 ]
-# Notices of the holder, which differ from copy to copy of one licence; a line break before a text is expected.
-COPYRIGHT_LINE = (
-    r"\n[^\p{L}\p{N}\n©(]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|:|by )|\(c\)[ \t]*[0-9]{4}|©|all rights reserved[^\p{L}\n]*(\n|$))[^\n]*"
-)
-# The same without taking the line break behind a notice of reserved rights, and so the next line, along.
-_HOLDER_LINE = COPYRIGHT_LINE.replace(r"(\n|$)", r"(?=\n|$)")
+# How the line of a holder's notice begins, which differs from copy to copy of one licence.
+HOLDER = r"[^\p{L}\p{N}\n©(]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|:|by )|\(c\)[ \t]*[0-9]{4}|©|all rights reserved[^\p{L}\n]*$)"
+# The same anywhere in a text, behind a line break, which stays.
+_HOLDER_LINE = r"\n" + HOLDER.replace("$)", r"(?=\n|$))") + r"[^\n]*"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 
 
@@ -154,7 +154,37 @@ def known_digests(spark: SparkSession) -> DataFrame:
     return rows.groupBy(digest).agg(F.min("license_id").alias("license_id"), F.min(length).alias("n_chars"))
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def digest_table(texts: DataFrame) -> DataFrame:
+    """`license_digest, license_id` of a table `license_id, known` of any size; of equal texts the
+    first name counts, rows without text or name are left out."""
+    rows = texts.where("known is not null and license_id is not null")
+    digest = _digest(canonical_lines(F.col("known"))).alias("license_digest")
+    return rows.groupBy(digest).agg(F.min("license_id").alias("license_id"))
+
+
+def _names(found: Column) -> Column:
+    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(found)), ","), F.lit(""))
+
+
+def _scan_with(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """`scan_licenses` by joins: the digests of texts and lines move, the texts do not."""
+    known = materialize(known.select("license_digest", "license_id").dropDuplicates(["license_digest"]), "digests")
+    lines = F.filter(F.split("_lines", "\n"), lambda line: F.trim(line) != "")
+    digested = docs.select("doc_id", canonical_lines(F.col("text")).alias("_lines")).select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        _digest(F.col("_lines")).alias("text_digest"),
+        F.array_distinct(F.transform(lines, _digest)).alias("line_digests"),
+    )
+    rows = materialize(digested, "text-digests")  # row numbers differ from read to read
+    by_line = rows.select("row", F.explode("line_digests").alias("license_digest")).join(known, "license_digest")
+    hits = by_line.groupBy("row").agg(_names(F.collect_set("license_id")).alias("line_licenses"))
+    whole = known.withColumnRenamed("license_digest", "text_digest")
+    found = rows.drop("line_digests").join(whole, "text_digest", "left").join(hits, "row", "left")
+    return found.select("doc_id", "text_digest", "license_id", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"))
+
+
+def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """`doc_id, text_digest, license_id, line_licenses` for every row of `docs(doc_id, text, ...)`.
 
     `text_digest` is the SHA-256 of the whole canonical text and `license_id` the licence known by
@@ -163,11 +193,13 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     empty text has the digest of the empty text and no licence. Repeated rows and rows without id
     give a row each.
 
-    The known digests are a list fixed in the program, so they are sent to every task; the texts
-    never move. Only lines as long as a known text are digested.
+    `known(license_digest, license_id)`, as `digest_table` makes it, may be of any size and is joined by
+    hash. Without it the digests are a list fixed in the program: they are sent to every task, the
+    texts never move, and only lines as long as a known text are digested.
     """
-    spark = docs.sparkSession
-    known = known_digests(spark)
+    if known is not None:
+        return _scan_with(docs, known)
+    known = known_digests(docs.sparkSession)
     fixed = known.collect()
     listed = F.create_map(*[c for row in fixed for c in (F.lit(row[0]), F.lit(row[1]))])
     lengths = sorted({row["n_chars"] for row in fixed})
@@ -184,5 +216,5 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text_digest",
         "license_id",
-        F.coalesce(F.array_join(F.array_sort(F.array_distinct("_found")), ","), F.lit("")).alias("line_licenses"),
+        _names(F.col("_found")).alias("line_licenses"),
     )

@@ -45,10 +45,11 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
-    """SQL for the canonical lines of a text."""
-    line = licenses.COPYRIGHT_LINE.replace("'", "''")
+    """SQL for the canonical lines of a text: holders' lines are emptied one by one, line breaks stay."""
+    holder = licenses.HOLDER.replace("'", "''")
     sql = f"replace(replace(lower(coalesce({text}, '')), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
-    sql = f"regexp_replace(regexp_replace(chr(10) || {sql}, '{line}', chr(10), 'g'), '{licenses.NO_WORD}', ' ', 'g')"
+    lines = f"[case when regexp_matches(line, '^(?:{holder})') then '' else line end for line in string_split({sql}, chr(10))]"
+    sql = f"regexp_replace(chr(10) || array_to_string({lines}, chr(10)), '{licenses.NO_WORD}', ' ', 'g')"
     for spelling, standard in licenses.SPELLINGS:
         sql = f"replace({sql}, '{spelling}', '{standard}')"
     return sql
@@ -63,16 +64,15 @@ OP2_SQL = f"""
 with known as (
     select {_digest_sql(_canonical_sql("t"))} as digest, min(id) as license_id
     from (values {_KNOWN_SQL}) as k(id, t) group by 1
-), docs as (select doc_id, {_canonical_sql("text")} as lines from documents),
-lines as (select doc_id, unnest(string_split(lines, chr(10))) as line from docs),
+), docs as (select row_number() over () as row, doc_id, {_canonical_sql("text")} as lines from documents),
+parts as (select row, unnest(string_split(lines, chr(10))) as line from docs),
 found as (
-    select doc_id, string_agg(distinct license_id, ',' order by license_id) as line_licenses
-    from lines join known on {_digest_sql("line")} = known.digest
-    where contains(line, 'license') group by doc_id
+    select row, string_agg(distinct license_id, ',' order by license_id) as line_licenses
+    from parts join known on {_digest_sql("line")} = known.digest group by row
 )
 select doc_id, {_digest_sql("lines")} as text_digest, known.license_id,
        coalesce(line_licenses, '') as line_licenses
-from docs left join known on {_digest_sql("lines")} = known.digest left join found using (doc_id)
+from docs left join known on {_digest_sql("lines")} = known.digest left join found using (row)
 """
 
 

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from brindle.llm import licenses, ngram_join, quality
-from brindle.llm.queries import QUERIES
+from brindle.llm.queries import OP2_SQL, QUERIES
 from llm_words import words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -110,6 +110,52 @@ def test_line_below_reserved_rights_is_kept(make_docs):
     assert found[6].text_digest == found[7].text_digest
 
 
+@pytest.fixture(scope="module")
+def licence_rows(odd_texts):
+    """Notices and licences in all places, whole and as lines, and texts without any."""
+    head, known = "Copyright (c) 2020, x\nAll rights reserved.\n", dict(reversed(licenses.KNOWN))
+    rows = [
+        head + "Licensed under CC BY 4.0.\nmore",
+        head + known["BSD-2-Clause"],
+        head + "x\n" + known["ISC"] + "\ny",
+        "(c) 2021 somebody\n All Rights Reserved \n ALL RIGHTS RESERVED.\n© me\n" + known["Zlib"] + "\nand on",
+        head + known["BSD-2-Clause"].replace(". ", ".\n"),
+        "all rights reserved, but not here\nnext",
+        "# copyright: x\r\n#\r\n" + known["MIT"].replace(" ", "\r\n", 9),
+        *[text for _, text in licenses.KNOWN],
+        *[f"A page.\n * {text.upper()}\nmore" for _, text in licenses.KNOWN],
+    ]
+    return [*enumerate(rows, 100), *odd_texts]
+
+
+def test_licence_sql_has_the_present_rules(make_docs, licence_rows):
+    licence_rows = [r for r in licence_rows if "İ" not in (r[1] or "")]  # which the two engines lower differently
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", licence_rows)
+    wanted = sorted(con.execute(OP2_SQL).fetchall(), key=str)
+    found = sorted((tuple(r) for r in licenses.scan_licenses(make_docs(licence_rows)).collect()), key=str)
+    assert found == wanted
+    assert sum(r[2] is not None for r in found) >= len(licenses.KNOWN) + 3
+    lines = {r[0]: r[3] for r in found}
+    assert [lines[i] for i in (100, 102, 103)] == ["CC-BY-4.0", "ISC", "Zlib"]
+
+
+def test_licences_of_a_given_table(spark, make_docs, licence_rows):
+    """A table of digests of any size gives the same rows as the list in the program, and more."""
+    known = spark.createDataFrame(licenses.KNOWN, "license_id string, known string")
+    docs = make_docs(licence_rows)
+    assert sorted((tuple(r) for r in licenses.scan_licenses(docs, licenses.digest_table(known)).collect()), key=str) == sorted(
+        (tuple(r) for r in licenses.scan_licenses(docs).collect()), key=str
+    )
+    own = spark.range(5000).selectExpr("concat('L', id) as license_id", "concat('Own terms, number ', id, '!') as known")
+    own = own.unionByName(spark.createDataFrame([(None, "x"), ("Y", None)], "license_id string, known string"))
+    rows = [(1, "own TERMS\nnumber 17"), (2, "a\nOwn terms (number 3)\nown terms, number 4999.\nOwn terms number 3"), (2, "own terms number 6000"), (None, "Own terms, number 8")]
+    found = {(r.doc_id, r.license_id, r.line_licenses) for r in licenses.scan_licenses(make_docs(rows), licenses.digest_table(own)).collect()}
+    assert found == {(1, "L17", ""), (2, None, "L3,L4999"), (2, None, ""), (None, "L8", "L8")}
+    assert licenses.scan_licenses(make_docs([]), licenses.digest_table(own)).count() == 0
+
+
 def shingles(text):
     w = words(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
