@@ -12,13 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.llm.texts import Texts, find_words, lower_ascii, release, slices, word_hashes
-from brindle.session import materialize
+from brindle.session import free, materialize
 
 _BEFORE, _SPACE, _END = 0x0D, 0x20, 0x0A  # no word holds any of the three
 _SYMBOLS = 256 - 6 + 2  # bytes of words, the space and the end
-_WINDOW = 1 << 20
+_WINDOW = 1 << 18
 _MOST_TASKS = 20_000
-_SLICE_BYTES = 1 << 20
+_SLICE_BYTES = 1 << 18
 _SET_ENTRIES = 4 << 20  # codes of some blocks that one task merges or looks up
 _MERGED_ROWS = 32
 _GRAM, _WORD, _TEXT = 0, 1, 2
@@ -137,28 +137,33 @@ def _dealt(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
         yield b, by[cuts[b] : cuts[b + 1]]
 
 
-def _pack(codes: np.ndarray, counts: np.ndarray, width: int) -> tuple[int, bytes, bytes, bytes]:
-    """Codes of `width` bytes, counts of one byte, and those that need more."""
-    low = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return (
-        len(codes),
-        np.ascontiguousarray(low).tobytes(),
-        np.minimum(counts, 255).astype(np.uint8).tobytes(),
-        counts[counts >= 255].astype("<i8").tobytes(),
-    )
+def _squeeze(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers of `width` bytes as compressed planes of bytes; of sorted ones the high planes are short."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
 
 
-def _codes(data: bytes, width: int) -> np.ndarray:
-    rows = np.frombuffer(data, np.uint8).reshape(-1, width)
-    wide = np.zeros((len(rows), 8), np.uint8)
-    wide[:, :width] = rows
+def _stretch(data: bytes, width: int, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, n * width, "zstd", asbytes=True), np.uint8).reshape(width, n)
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = planes.T
     return wide.view("<u8").ravel().astype(np.uint64)
 
 
+def _pack(codes: np.ndarray, counts: np.ndarray, width: int) -> tuple[int, bytes, bytes, bytes]:
+    """Number of entries, codes of `width` bytes, counts of one byte, and those that need more."""
+    large = counts[counts >= 255].astype("<i8").tobytes()
+    return len(codes), _squeeze(codes, width), _squeeze(np.minimum(counts, 255), 1), large
+
+
 def _unpack(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
+    counts = _stretch(row["counts"], 1, row["entries"]).astype(np.int64)
     counts[counts == 255] = np.frombuffer(row["large"], "<i8")
-    return _codes(row["codes"], width), counts
+    return _stretch(row["codes"], width, row["entries"]), counts
+
+
+# Prices are logarithms of 24 bits; word counts need more.
+_VALUES = {_GRAM: "<f4", _WORD: "<f8"}
 
 
 def _width(kind: int, order: int) -> int:
@@ -308,8 +313,9 @@ def escape_rates(contexts: DataFrame) -> DataFrame:
     )
 
 
-def gram_prices(grams: DataFrame, order: int) -> DataFrame:
-    """`bucket, code, value`: log10 of the probability of the last byte after the others.
+def gram_prices(grams: DataFrame, order: int) -> tuple[DataFrame, list[DataFrame]]:
+    """`bucket, code, value`: log10 of the probability of the last byte after the others; and the
+    tables that this is read from.
 
     `grams(bucket, code, n)` has all grams to be priced with their training counts; their sums under
     shorter contexts make the trie. The longest context is asked first: it is escaped with the rate
@@ -317,8 +323,7 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
     next shorter context is asked, with all bytes of the escaped one excluded from its sums. What no
     context has seen shares the rest of the alphabet.
     """
-    grams = materialize(grams, "grams")
-    seen, contexts, rates = [], [], []
+    seen, contexts, rates, todos = [], [], [], []
     for k in range(order + 1):
         mask = (1 << (8 * (k + 1))) - 1
         level = grams.where("n > 0").groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("g")).agg(F.sum("n").alias("n"))
@@ -373,11 +378,12 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
         )
         priced.append(found)
         todo = materialize(escaped, "escaped")
+        todos.append(todo)
     rest = F.greatest(F.lit(_SYMBOLS) - F.col("d"), F.lit(1)).cast("double")
     result = todo.select("bucket", "code", (F.col("value") - F.log10(rest)).alias("value"))
     for found in priced:
         result = result.unionByName(found)
-    return result
+    return result, [*seen, *contexts, *rates, *todos]
 
 
 def block_prices(held: DataFrame, prices: DataFrame, order: int, sets: int) -> DataFrame:
@@ -393,30 +399,32 @@ def block_prices(held: DataFrame, prices: DataFrame, order: int, sets: int) -> D
             {
                 "kind": pa.array([key[0].as_py()], pa.int32()),
                 "bucket": pa.array([key[1].as_py()], pa.int64()),
-                "known": pa.array([_pack(codes[by], np.zeros(0, np.int64), _width(key[0].as_py(), order))[1]], pa.binary()),
-                "prices": pa.array([values[by].astype("<f8").tobytes()], pa.binary()),
+                "size": pa.array([len(codes)], pa.int64()),
+                "known": pa.array([_squeeze(codes[by], _width(key[0].as_py(), order))], pa.binary()),
+                "prices": pa.array([values[by].astype(_VALUES[key[0].as_py()]).tobytes()], pa.binary()),
             }
         )
 
     def run(key: tuple, blocks: pa.Table, table: pa.Table) -> pa.Table:
         width = _width(key[0].as_py(), order)
-        known = _codes(table["known"][0].as_py(), width)
-        values = np.frombuffer(table["prices"][0].as_py(), "<f8")
+        known = _stretch(table["known"][0].as_py(), width, table["size"][0].as_py())
+        values = np.frombuffer(table["prices"][0].as_py(), _VALUES[key[0].as_py()])
         found = [
-            values[np.searchsorted(known, _codes(codes.as_py(), width))].tobytes() for codes in blocks["codes"]
+            values[np.searchsorted(known, _stretch(codes.as_py(), width, n.as_py()))].tobytes()
+            for codes, n in zip(blocks["codes"], blocks["entries"], strict=True)
         ]
         return pa.table(
             {"block": blocks["block"], "kind": blocks["kind"], "bucket": blocks["bucket"], "values": pa.array(found, pa.binary())}
         )
 
-    packed = prices.groupBy("kind", "bucket").applyInArrow(pack, "kind int, bucket long, known binary, prices binary")
+    packed = prices.groupBy("kind", "bucket").applyInArrow(pack, "kind int, bucket long, size long, known binary, prices binary")
     spread = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
-    dealt = held.select("block", "kind", "bucket", "codes", F.pmod(F.xxhash64("block"), F.lit(sets)).cast("int").alias("part"))
+    dealt = held.select("block", "kind", "bucket", "entries", "codes", F.pmod(F.xxhash64("block"), F.lit(sets)).cast("int").alias("part"))
     pairs = dealt.groupBy("kind", "bucket", "part").cogroup(spread.groupBy("kind", "bucket", "part"))
     return pairs.applyInArrow(run, "block long, kind int, bucket long, values binary")
 
 
-def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 16 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row of
     `docs(doc_id, text, ...)`.
 
@@ -437,7 +445,7 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 16 << 20) ->
         F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
         F.coalesce(F.sum((~F.col("held_out")).cast("long")), F.lit(0)),
     ).first()
-    buckets = max(1, math.isqrt(int(size) // (block_bytes >> 2)))
+    buckets = max(1, math.isqrt(int(size) // (block_bytes >> 1)))
     blocks = materialize(make_blocks(docs, order, buckets, block_bytes), "blocks")
     held = blocks.where(f"kind <> {_TEXT}")
     entries, number = held.agg(F.coalesce(F.sum("entries"), F.lit(0)), F.count_distinct("block")).first()
@@ -449,8 +457,10 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 16 << 20) ->
     n, v = n + learnt, v + (learnt > 0)
     floor = n + 0.1 * (v + 1)
     word_prices = words.select(F.lit(_WORD).alias("kind"), "bucket", "code", F.col("n").cast("double").alias("value"))
-    grams = gram_prices(totals.where(f"kind = {_GRAM}").drop("kind"), order)
+    grams, used = gram_prices(totals.where(f"kind = {_GRAM}").drop("kind"), order)
     prices = grams.select(F.lit(_GRAM).alias("kind"), "bucket", "code", "value").unionByName(word_prices)
+    prices = materialize(prices, "prices")
+    free(totals, *used)
     priced = block_prices(held, prices, order, sets).withColumnRenamed("block", "of")
 
     def tables(batches: list[pa.RecordBatch], own: pa.Table) -> dict[int, tuple[Lookup, np.ndarray]]:
@@ -462,7 +472,7 @@ def score_texts(docs: DataFrame, order: int = 5, block_bytes: int = 16 << 20) ->
             of = dict(zip(mine["bucket"].to_pylist(), mine["values"], strict=True))
             values = np.zeros(len(codes))
             for b, at in _dealt(codes, buckets):
-                values[at] = np.frombuffer(of[b].as_py(), "<f8")
+                values[at] = np.frombuffer(of[b].as_py(), _VALUES[kind])
             found[kind] = (Lookup(codes), values)
         return found
 
