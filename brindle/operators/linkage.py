@@ -233,20 +233,18 @@ def score_vectors(index: LinkageIndex, pairs: DataFrame) -> DataFrame:
             F.max("copies_a").alias("copies_a"),
             F.max("copies_b").alias("copies_b"),
             F.count(F.lit(1)).alias("n_common"),
-            F.sum(F.col("unit_a") * F.col("unit_b")).alias("sim"),
+            _cosine(F.sum(F.col("unit_a") * F.col("unit_b"))).alias("sim"),
         )
     )
 
 
-def candidate_pairs(index: LinkageIndex, min_sim: float, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Distinct `vid_a, vid_b` among which are all pairs of similarity `min_sim` or more.
+def _indexed(min_sim: float) -> Column:
+    """Whether a posting is in the index for this similarity, see `candidate_pairs`."""
+    return F.col("held") >= INDEX_SLACK * min_sim - _EPS
 
-    Sort the tokens of all vectors by one order, frequent ones first, and leave out of the index the
-    longest start of every vector whose norm is below `s = INDEX_SLACK * min_sim` of the whole. The
-    common tokens of a pair that are not indexed on both sides lie in the start of one of the two,
-    so by Cauchy-Schwarz they add less than `s` to the cosine. Hence a pair at `min_sim` or above
-    collects at least `min_sim - s` from tokens indexed on both sides.
-    """
+
+def _partial_pairs(index: LinkageIndex, min_sim: float, cell_rows: int) -> DataFrame:
+    """`vid_a, vid_b, copies_a, copies_b, n, partial`: candidates with what indexed tokens add to them."""
     if not 0 < min_sim <= 1:
         raise ValueError("min_sim must lie in (0, 1]")
     bound = INDEX_SLACK * min_sim
@@ -256,31 +254,70 @@ def candidate_pairs(index: LinkageIndex, min_sim: float, cell_rows: int = CELL_R
     def own(vid: str) -> Column:
         return F.pmod(F.xxhash64(vid), cells).cast("int")
 
-    indexed = F.col("held") >= bound - _EPS
-    a = index.side("a").where(indexed).select(
-        "token", "vid_a", "unit_a", own("vid_a").alias("cell_a"), every.alias("cell_b")
+    a = index.side("a").where(_indexed(min_sim)).select(
+        "token", "vid_a", "copies_a", "unit_a", own("vid_a").alias("cell_a"), every.alias("cell_b")
     )
-    b = index.side("b").where(indexed).select(
-        "token", "vid_b", "unit_b", own("vid_b").alias("cell_b"), every.alias("cell_a")
+    b = index.side("b").where(_indexed(min_sim)).select(
+        "token", "vid_b", "copies_b", "unit_b", own("vid_b").alias("cell_b"), every.alias("cell_a")
     )
     return (
         a.join(b, ["token", "cell_a", "cell_b"])
         .groupBy("vid_a", "vid_b")
-        .agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("partial"))
+        .agg(
+            F.max("copies_a").alias("copies_a"),
+            F.max("copies_b").alias("copies_b"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("unit_a") * F.col("unit_b")).alias("partial"),
+        )
         .where(F.col("partial") >= min_sim - bound - _EPS)
-        .select("vid_a", "vid_b")
     )
 
 
+def candidate_pairs(index: LinkageIndex, min_sim: float, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Distinct `vid_a, vid_b` among which are all pairs of similarity `min_sim` or more.
+
+    Sort the tokens of all vectors by one order, frequent ones first, and leave out of the index the
+    longest start of every vector whose norm is below `s = INDEX_SLACK * min_sim` of the whole. The
+    common tokens of a pair that are not indexed on both sides lie in the start of one of the two,
+    so by Cauchy-Schwarz they add less than `s` to the cosine. Hence a pair at `min_sim` or above
+    collects at least `min_sim - s` from tokens indexed on both sides.
+    """
+    return _partial_pairs(index, min_sim, cell_rows).select("vid_a", "vid_b")
+
+
 def similar_pairs(index: LinkageIndex, min_sim: float) -> DataFrame:
     """All pairs of distinct vectors with cosine `min_sim` or more.
 
     `vid_a, vid_b, copies_a, copies_b, n_common, sim`; a row stands for `copies_a * copies_b`
-    pairs of records, which `expand_pairs` lists. Candidates are written first: when they are few,
-    Spark broadcasts them and leaves the postings of side a where they are.
+    pairs of records, which `expand_pairs` lists. Candidates are written with the part of the cosine
+    that their indexed tokens gave; the rest comes from the short starts of the vectors that were
+    left out of the index, so nothing is joined with all postings again.
     """
-    candidates = materialize(candidate_pairs(index, min_sim), "candidates")
-    return score_vectors(index, candidates).where(F.col("sim") >= min_sim)
+    pairs = materialize(_partial_pairs(index, min_sim, CELL_ROWS), "candidates")
+    ids = pairs.select("vid_a", "vid_b")
+    a, b = (index.side(s).drop("spread", f"copies_{s}") for s in "ab")
+    inside, left_out = _indexed(min_sim), ~_indexed(min_sim)
+    # a token left out on side a with all of side b, and one left out on side b only
+    first = ids.join(a.where(left_out).drop("held"), "vid_a").join(b.drop("held"), ["vid_b", "token"])
+    other = ids.join(b.where(left_out).drop("held"), "vid_b").join(a.where(inside).drop("held"), ["vid_a", "token"])
+    columns = ["vid_a", "vid_b", (F.col("unit_a") * F.col("unit_b")).alias("part")]
+    rest = first.select(*columns).unionByName(other.select(*columns)).groupBy("vid_a", "vid_b").agg(
+        F.count(F.lit(1)).alias("more"), F.sum("part").alias("rest")
+    )
+    whole = pairs.join(rest, ["vid_a", "vid_b"], "left").select(
+        "vid_a",
+        "vid_b",
+        "copies_a",
+        "copies_b",
+        (F.col("n") + F.coalesce("more", F.lit(0))).alias("n_common"),
+        _cosine(F.col("partial") + F.coalesce("rest", F.lit(0.0))).alias("sim"),
+    )
+    return whole.where(F.col("sim") >= min_sim)
+
+
+def _cosine(total: Column) -> Column:
+    """A sum of products without the last digits, which depend on the order of the summands."""
+    return F.round(total, 12)
 
 
 def expand_pairs(index: LinkageIndex, pairs: DataFrame) -> DataFrame:

@@ -247,6 +247,10 @@ QUERIES = {
             *_SIMILAR, query=f"select id_a, id_b, round(sim, 6) as sim from sims where sim >= {MIN_SIM}"
         ),
     ),
+    "er_members": (
+        lambda spark, sf_dir: index(spark, sf_dir, ordered=False).members.select("side", "id", "vid"),
+        with_sql(RECORDS_SQL, query=_VECTORS + "select side, id, vid from vectors where id in (select id from recs where len(tokens) > 0)"),
+    ),
     "er_lookup": (
         lambda spark, sf_dir: ops.lookup(
             tokens(spark, sf_dir, "a"), tokens(spark, sf_dir, "b"), 0, 10
