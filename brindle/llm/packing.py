@@ -11,13 +11,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.texts import Texts, Words, find_words, lower_ascii, slices, word_hashes
 from brindle.session import materialize
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_PACKED = _PIECES + ", sequence_id long, offset long"
+_PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 _SLICE_BYTES = 6 << 20
@@ -118,14 +119,16 @@ def load_words(path: str) -> WordTokens:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096) -> DataFrame:
-    """`doc_id, start, length, ids_crc32, doc_tokens` per piece of `docs(doc_id, text, ...)`.
+    """`row, doc_id, start, length, ids_crc32, doc_tokens` per piece of `docs(doc_id, text, ...)`.
 
-    A document's ids end with `end_id`; it is cut into pieces of `capacity` ids and the rest.
+    A document's ids end with `end_id`; it is cut into pieces of `capacity` ids and the rest. `row`
+    is a number of its own for every row, also for rows that repeat.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_words(tokenizer_path)
         tail = np.array([end_id], np.uint32)
+        row = TaskContext.get().partitionId() << 33
         for texts in slices(batches, most=_SLICE_BYTES):
             ids, bounds = vocabulary.encode(texts)
             rows = []
@@ -133,11 +136,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity
                 own = np.concatenate((ids[bounds[i] : bounds[i + 1]], tail)).astype("<u4")
                 for start in range(0, len(own), capacity):
                     piece = own[start : start + capacity]
-                    rows.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(own)))
+                    rows.append((row + i, doc, start, len(piece), zlib.crc32(piece.tobytes()), len(own)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                names=["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+            row += len(texts.rows)
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)
 
@@ -168,10 +172,12 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 8192) -> DataFrame:
-    """Adds `sequence_id, offset` to `pieces(doc_id, start, length, ...)`, each at most `capacity` long.
+    """Adds `sequence_id, offset` to `pieces(row, doc_id, start, length, ...)`, each at most `capacity` long.
 
-    Pieces are dealt at random into groups of about `group_pieces`, by a hash of document and
-    position, so groups are alike and of bounded size at any input; each is packed on its own.
+    Documents are dealt at random into groups of about `group_pieces` pieces, by a hash of the row
+    number, so that repeated rows are dealt too; each group is packed on its own. Pieces of the whole
+    `capacity` fill a sequence wherever they are and are dealt one by one, so a document of very many
+    ids makes no large group.
     """
     pieces = materialize(pieces, "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
@@ -183,7 +189,8 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 8192) -> D
         part["offset"] = offsets
         return part[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
+    alone = F.when(F.col("length") == capacity, F.col("start")).otherwise(F.lit(-1))
+    group = F.pmod(F.xxhash64("row", alone), F.lit(groups))
     return pieces.withColumn("_group", group).groupBy("_group").applyInPandas(run, _PACKED)
 
 

@@ -179,3 +179,11 @@ def test_given_documents_round_trip(sf_docs):
     found = pieces.decode(pieces.encode_sampled(sf_docs, PIECES), PIECES)
     assert found.where("decoded <> text or decoded is null").count() == 0
     assert found.count() == sf_docs.count()
+
+
+def test_repeated_rows_are_dealt_over_groups(make_docs):
+    """Rows without id and of one text are in many groups; pieces of one document's rest stay together."""
+    packed_rows = packing.pack_documents(make_docs([(None, "same words")] * 600), WORDS, group_pieces=40).collect()
+    groups = [r.sequence_id >> 32 for r in packed_rows]
+    assert len(packed_rows) == 600 and len(set(groups)) > 10
+    assert max(groups.count(g) for g in set(groups)) < 150
