@@ -217,8 +217,16 @@ def fit_lines(docs: DataFrame, labels: DataFrame, train_rows: int = 3000, train_
         .withColumnRenamed("doc_id", "_id")
     )
     sizes = docs.where(F.octet_length("text").between(1, train_bytes)).select("doc_id").distinct()
-    chosen = sizes.join(known, sizes["doc_id"] == known["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-    chosen = materialize(chosen.select("_id", "y"), "chosen")
+    known = materialize(known, "line-labels")
+    draw = F.xxhash64("_id")
+    share = 4 * train_rows / max(known.count(), 1)
+    while True:  # small hashes only, so that a task sorts few ids; more of them where many texts are too long
+        below = known.where(draw <= min(int(-(2.0**63) + share * 2.0**64), 2**63 - 1))
+        chosen = sizes.join(below, sizes["doc_id"] == below["_id"]).orderBy(draw, "_id").limit(train_rows)
+        chosen = materialize(chosen.select("_id", "y"), "chosen")
+        if share >= 1 or chosen.count() == train_rows:
+            break
+        share *= 8
     rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

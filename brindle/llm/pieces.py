@@ -31,6 +31,8 @@ class PieceTable:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
+        if size > 1 << 16:
+            raise ValueError(f"a vocabulary of {size} pieces: the lattices number them in 16 bits")
         raw, self.byte_ids = {}, np.zeros(256, np.int64)
         for i in range(size):
             if model.is_byte(i):

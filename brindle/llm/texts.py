@@ -81,7 +81,9 @@ def release() -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Let Arrow batches of this session hold fewer rows than by default, as texts are long rows."""
+    """Let Arrow batches of this session hold fewer rows than by default, as texts are long rows.
+
+    The setting stays, as tables read lazily are batched when their result is asked for."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 

@@ -187,3 +187,13 @@ def test_repeated_rows_are_dealt_over_groups(make_docs):
     groups = [r.sequence_id >> 32 for r in packed_rows]
     assert len(packed_rows) == 600 and len(set(groups)) > 10
     assert max(groups.count(g) for g in set(groups)) < 150
+
+
+def test_larger_vocabularies_are_refused(monkeypatch):
+    class Model:
+        def get_piece_size(self):
+            return (1 << 16) + 1
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", lambda model_file: Model())
+    with pytest.raises(ValueError, match="65537 pieces"):
+        pieces.PieceTable("any", 1.0)
