@@ -109,7 +109,7 @@ def _score_norms(spark, sf_dir):
 def _scores(spark, sf_dir):
     data = ops.rescaled(series(spark, sf_dir))
     scored = ops.scores(data, "ts", ops.pca(data, "ts", 3))
-    return scored.select("x", "y", *[F.col("scores")[i].alias(f"pc{i + 1}") for i in range(3)])
+    return scored.select("x", "y", *[F.round(F.col("scores")[i], 6).alias(f"pc{i + 1}") for i in range(3)])
 
 
 def _half(parity: int):
@@ -153,7 +153,11 @@ def _grid(spark, sf_dir):
 
 
 def _pipeline(how):
-    return lambda spark, sf_dir: ops.series_pipeline(series(spark, sf_dir), how, SERIES_PERIOD)[1]
+    def run(spark, sf_dir):
+        found = ops.series_pipeline(series(spark, sf_dir), how, SERIES_PERIOD)[1]
+        return found.select("x", "y", *[F.round(c, 6).alias(c) for c in "rgb"])
+
+    return run
 
 
 def _sql(query: str, *ctes: str) -> str:
@@ -172,20 +176,66 @@ p as (select vec_id, list_sum(list_filter(ts, lambda v, i: i % 2 = 1)) as a,
 s as (select avg(a) as ma, avg(b) as mb, var_pop(a) as va, var_pop(b) as vb, covar_pop(a, b) as c from p),
 e as (select *, (va + vb) / 2 + sqrt(pow((va - vb) / 2, 2) + c * c) as l1,
              (va + vb) / 2 - sqrt(pow((va - vb) / 2, 2) + c * c) as l2 from s)"""
-_HSV = """
+def _hsv(scores: str, scale: float) -> str:
+    """Table `rgb` of unclipped colours from a query `x, y, b0, b1`."""
+    return f"""
 hsv as (select x, y, h * 6 - floor(h * 6) as f, cast(floor(h * 6) as int) % 6 as k,
-               2.0::double * sqrt(b0 * b0 + b1 * b1) as v
+               {scale!r}::double * sqrt(b0 * b0 + b1 * b1) as v
         from (select x, y, b0, b1, (t - floor(t / (2 * pi())) * 2 * pi()) / (2 * pi()) as h
-              from (select x, y, b0, b1, atan2(-b0, -b1) + pi() / 2 as t
-                    from (select x, y, (list_sum(list_filter(ts, lambda v, i: i % 2 = 1)) - 32.0::double) * 2 as b0,
-                                 (list_sum(list_filter(ts, lambda v, i: i % 2 = 0)) - 32.0::double) * 2 as b1
-                          from series)))),
+              from (select x, y, b0, b1, atan2(-b0, -b1) + pi() / 2 as t from ({scores})))),
 rgb as (select x, y,
   case k when 0 then v when 1 then v * (1 - f) when 2 then 0 when 3 then 0 when 4 then v * f else v end as r,
   case k when 0 then v * f when 1 then v when 2 then v when 3 then v * (1 - f) else 0 end as g,
   case k when 0 then 0 when 1 then 0 when 2 then v * f when 3 then v when 4 then v else v * (1 - f) end as b
   from hsv)"""
-_CLIP = "round(greatest(0.0::double, least(1.0::double, {c} * 2)), 6) as {c}"
+
+
+_HALVES = """select x, y, (list_sum(list_filter(ts, lambda v, i: i % 2 = 1)) - 32.0::double) * 2 as b0,
+       (list_sum(list_filter(ts, lambda v, i: i % 2 = 0)) - 32.0::double) * 2 as b1 from series"""
+
+
+def _clipped(scale: float) -> str:
+    return ", ".join(f"round(greatest(0.0::double, least(1.0::double, {c} * {scale!r}::double)), 6) as {c}" for c in "rgb")
+
+
+SQUARINGS = 36
+
+
+def _scores_sql(key: str, k: int) -> list[str]:
+    """Tables up to `scores(x, y, b0, b1, ...)` of the rescaled series, folded by `key`.
+
+    A covariance squared over and over, and scaled, becomes the product of its first component with
+    itself, whatever the gap to the second; that component is then taken out of the covariance.
+    """
+    ctes = [
+        _RESCALED,
+        f"folds as materialized (select vec_id, x, y, {key} as i, sum(v) as v from scaled group by vec_id, x, y, {key})",
+        "c0 as materialized (select a.i, b.i as j, covar_pop(a.v, b.v) as c from folds a join folds b using (vec_id) group by a.i, b.i)",
+    ]
+    for t in range(k):
+        last = f"c{t}"
+        for n in range(SQUARINGS):
+            ctes.append(
+                f"m{t}_{n} as materialized (select i, j, c / max(abs(c)) over () as c from (select a.i, b.j, sum(a.c * b.c) as c "
+                f"from {last} a join {last} b on a.j = b.i group by a.i, b.j))"
+            )
+            last = f"m{t}_{n}"
+        ctes += [
+            f"u{t} as materialized (select i, c / sqrt(sum(c * c) over ()) as v from {last} "
+            f"where j = (select j from {last} where i = j order by c desc limit 1))",
+            f"v{t} as materialized (select i, v * (select sign(v) from u{t} order by abs(v) desc limit 1) as v from u{t})",
+            f"l{t} as materialized (select sum(a.v * c.c * b.v) as l from c{t} c join v{t} a on a.i = c.i join v{t} b on b.i = c.j)",
+            f"c{t + 1} as materialized (select c.i, c.j, c.c - l * a.v * b.v as c from c{t} c join v{t} a on a.i = c.i "
+            f"join v{t} b on b.i = c.j, l{t})",
+        ]
+    products = ", ".join(f"sum(f.v * v{t}.v) as b{t}" for t in range(k))
+    joins = " ".join(f"join v{t} on v{t}.i = f.i" for t in range(k))
+    return [*ctes, f"scores as (select x, y, {products} from folds f {joins} group by vec_id, x, y)"]
+
+
+def _colors_sql(how: str, key: str) -> str:
+    scale = ops.SCALES[how]
+    return _sql(f"select x, y, {_clipped(scale)} from rgb", *_scores_sql(key, 2), _hsv("select * from scores", scale))
 
 
 def _fold_sql(key: str) -> str:
@@ -244,7 +294,10 @@ QUERIES = {
         _score_norms,
         _sql("select x, y, round(sqrt(sum(v * v)), 6) as norm from cells group by x, y"),
     ),
-    "pca_scores": (_scores, None),
+    "pca_scores": (
+        _scores,
+        _sql("select x, y, round(b0, 6) as pc1, round(b1, 6) as pc2, round(b2, 6) as pc3 from scores", *_scores_sql("i", 3)),
+    ),
     "pca_line": (
         _line,
         _sql(
@@ -265,7 +318,7 @@ QUERIES = {
     ),
     "pca_color": (
         _color,
-        _sql(f"select x, y, {', '.join(_CLIP.format(c=c) for c in 'rgb')} from rgb", _HSV),
+        _sql(f"select x, y, {_clipped(2.0)} from rgb", _hsv(_HALVES, 2.0)),
     ),
     "pca_grid": (
         _grid,
@@ -283,7 +336,7 @@ QUERIES = {
         f"round(r * cos(a) * {GAUSS_COV}::double + r * sin(a) * sqrt(1 - pow({GAUSS_COV}::double, 2)) + {GAUSS_MEAN}::double, 6) as p2 "
         "from u",
     ),
-    "pca_series_colors": (_pipeline("series"), None),
-    "pca_time_colors": (_pipeline("time"), None),
-    "pca_block_colors": (_pipeline("block"), None),
+    "pca_series_colors": (_pipeline("series"), _colors_sql("series", "i")),
+    "pca_time_colors": (_pipeline("time"), _colors_sql("time", f"i % {SERIES_PERIOD}")),
+    "pca_block_colors": (_pipeline("block"), _colors_sql("block", f"i // {SERIES_PERIOD}")),
 }
