@@ -236,6 +236,13 @@ def _avg_iou(spark, sf_dir):
     return found.withColumn("avg_iou", F.round("avg_iou", 9))
 
 
+def _anchor_fit(spark, sf_dir):
+    """Boxes and their mean overlap with the best of the anchors just found."""
+    written = materialize(boxes(spark, sf_dir), "boxes")
+    found = detection.average_iou(written, detection.cluster_anchors(written, CLUSTERS, SEED))
+    return found.select(F.lit(CLUSTERS).alias("n_anchors"), F.round("avg_iou", 9).alias("avg_iou"))
+
+
 def _augment(spark, sf_dir):
     whole = ops.rounded(boxes(spark, sf_dir))
     drawn = detection.draw_augmentation(whole.select("image").distinct(), INPUT, seed=SEED)
@@ -312,7 +319,8 @@ walk as (
   from walk w join found f on f.image = w.image and f.label = w.label and f.r = w.r + 1)"""
 
 
-def _anchors_sql() -> str:
+def _anchors_sql(query: str) -> str:
+    """A query on the sizes `s` and the anchors `found(id, w, h)` that the rounds of clustering end with."""
     ctes = [
         "s as (select cast(trunc(xmax) as int) - cast(trunc(xmin) as int) as w, "
         "cast(trunc(ymax) as int) - cast(trunc(ymin) as int) as h from boxes)",
@@ -332,10 +340,10 @@ def _anchors_sql() -> str:
             f"c{i + 1} as (select id, coalesce(mw, cw) as cw, coalesce(mh, ch) as ch "
             f"from c{i} left join m{i} using (id))"
         )
-    return _sql(
-        f"select cast(row_number() over (order by cw, ch) - 1 as int) as id, cw as w, ch as h from c{SQL_ROUNDS}",
-        *ctes,
+    ctes.append(
+        f"found as (select cast(row_number() over (order by cw, ch) - 1 as int) as id, cw as w, ch as h from c{SQL_ROUNDS})"
     )
+    return _sql(query, *ctes)
 
 
 def _draw(what: str, low: float = 0.0, top: float = 1.0) -> str:
@@ -583,7 +591,15 @@ QUERIES = {
             _NMS, recursive=True,
         ),
     ),
-    "box_kmeans": (_anchors, _anchors_sql()),
+    "box_kmeans": (_anchors, _anchors_sql("select id, w, h from found")),
+    "box_kmeans_iou": (
+        _anchor_fit,
+        _anchors_sql(
+            f"select {CLUSTERS} as n_anchors, round(avg(best), 9) as avg_iou from (select max("
+            + _size_iou_sql("b.w", "b.h", "f.w", "f.h")
+            + ") as best from (select row_number() over () as r, w, h from s) b, found f group by r)"
+        ),
+    ),
     "box_avg_iou": (
         _avg_iou,
         _sql(

@@ -8,7 +8,7 @@ from brindle.operators import factors, ratings as ops
 from brindle.operators.grouping import hash_split
 from brindle.plans.inputs import RATINGS_SQL, ratings, solution_sql, spread_table, table, titles, unit_sql, with_sql
 from brindle.session import materialize
-from brindle.sources.records import parse_ratings, parse_titles
+from brindle.sources.records import complete_counts, parse_ratings, parse_titles
 from brindle.sources.text import literal_table
 
 MIN_RATINGS = 25
@@ -61,6 +61,25 @@ def _titles_ingest(spark, sf_dir):
     return parse_titles(lines).withColumn("genres", F.array_join("genres", ","))
 
 
+def _ingest_status(spark, sf_dir):
+    """Rating lines, those of the seventh position of an order once more with a word for the rating."""
+    source = spread_table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_orderkey", "l_linenumber")
+    ids = [F.col(c).cast("string") for c in ("l_suppkey", "l_partkey")]
+    good = F.concat_ws("::", *ids, (F.col("l_quantity").cast("int") % 5 + 1).cast("string"), F.col("l_orderkey").cast("string"))
+    bad = F.concat_ws("::", *ids, F.lit("good"), F.col("l_orderkey").cast("string"))
+    lines = F.when(F.col("l_linenumber") == 7, F.array(good, bad)).otherwise(F.array(good))
+    return complete_counts(parse_ratings(source.select(F.explode(lines).alias("value"))))
+
+
+def _titles_status(spark, sf_dir):
+    """Title lines, those of size 1 once more without their number."""
+    parts = table(spark, sf_dir, "part")
+    rest = [F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")), F.concat_ws("|", "p_brand", "p_type")]
+    good, bad = F.concat_ws("::", F.col("p_partkey").cast("string"), *rest), F.concat_ws("::", F.lit("no number"), *rest)
+    lines = F.when(F.col("p_size") == 1, F.array(good, bad)).otherwise(F.array(good))
+    return complete_counts(parse_titles(parts.select(F.explode(lines).alias("value"))), "item", "title")
+
+
 def _avg(spark, sf_dir):
     found = ops.counts_and_averages(ratings(spark, sf_dir))
     return found.withColumn("avg_rating", F.round("avg_rating", 6))
@@ -267,6 +286,16 @@ QUERIES = {
         _sql("select cast(p_partkey as int) as item, p_name || ' ' || p_partkey as title, "
              "p_brand || ',' || p_type as genres from part"),
     ),
+    "cf_ingest_status": (
+        _ingest_status,
+        "select count(*) + count(*) filter (where l_linenumber = 7) as n_read, count(*) as n_ok, "
+        "count(*) filter (where l_linenumber = 7) as n_bad from lineitem",
+    ),
+    "cf_titles_status": (
+        _titles_status,
+        "select count(*) + count(*) filter (where p_size = 1) as n_read, count(*) as n_ok, "
+        "count(*) filter (where p_size = 1) as n_bad from part",
+    ),
     "cf_avg": (
         _avg,
         _sql("select item, count(*) as n, round(avg(rating), 6) as avg_rating from ratings group by item"),
