@@ -78,7 +78,7 @@ def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "src_file_list": (
         _file_list,
-        "select c_nationkey as nation, c_mktsegment as segment, 1 as n_files, "
+        "select c_nationkey as nation, c_mktsegment as segment, cast(1 as bigint) as n_files, "
         "cast(sum(length(c_custkey::varchar || '|' || c_name) + 1) as bigint) as n_bytes from customer group by 1, 2",
     ),
     "src_gzip_logs": (

@@ -256,7 +256,7 @@ QUERIES = {
     "cf_recommend_all": (
         _recommend_all,
         with_sql(RATINGS_SQL, _FACTOR_SQL, query=(
-            "select user_id, cast(row_number() over best as int) as rank, cast(item as bigint) as item, title, n, "
+            "select cast(user_id as bigint) as user_id, cast(row_number() over best as int) as rank, cast(item as bigint) as item, title, n, "
             "round(score, 6) as prediction from (select s.user_id, f.item, t.title, p.n, "
             "f1 * x1 + f2 * x2 + f3 * x3 as score from solved s, factors f join popular p using (item) "
             "join titles t using (item) where not exists (select 1 from ratings r where r.user_id = s.user_id and r.item = f.item)) "
@@ -270,7 +270,7 @@ QUERIES = {
     "cf_als_recommend_all": (
         _als_recommend_all,
         with_sql(RATINGS_SQL, _TRAIN_SQL, query=(
-            "select cast(u.user_id as bigint) as user_id, least(20, count(*)) as n_items, 0 as n_rated, 0 as n_seldom, true as ordered "
+            "select cast(u.user_id as bigint) as user_id, least(20, count(*)) as n_items, cast(0 as bigint) as n_rated, cast(0 as bigint) as n_seldom, true as ordered "
             "from (select distinct user_id from train) u, "
             f"(select item from ratings where item in (select item from train) group by item having count(*) > {MIN_RATINGS}) p "
             "where not exists (select 1 from train t where t.user_id = u.user_id and t.item = p.item) group by u.user_id"
