@@ -18,7 +18,8 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     query, sql = QUERIES[name]
     df = query(spark, SF_DIR)
     result = con.execute(sql)
@@ -36,7 +37,7 @@ def test_query_has_a_row_per_document(spark, name):
 
 def test_registered():
     known = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in known}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in known}
     assert "pipeline" in known
 
 
