@@ -27,6 +27,8 @@ BLOCK_BYTES = 16 << 20
 PART_ENTRIES = 1 << 21
 # A filter is cut into at most 2 to this power parts a round.
 ROUND_BITS = 10
+# Keys are made so many at a time.
+_PIECE = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09]] = True
@@ -203,11 +205,29 @@ def phrases(keys: Keys, tokens: np.ndarray) -> Filter:
     """All runs of two and three words without a 0 between them."""
     x = tokens.astype(np.uint64)
     two = (x[:-1] > 0) & (x[1:] > 0)
-    pair = (x[:-1] << np.uint64(keys.bits)) | x[1:]
     three = two[:-1] & two[1:]
-    left = np.concatenate((np.zeros(int(two.sum()), np.uint64), x[:-2][three]))
-    right = np.concatenate((pair[two], pair[1:][three]))
-    return summed(keys, keys.scatter(left, right), left, np.ones(len(left), np.int64))
+    low = np.uint64(keys.bits)
+    if keys.width + keys.bits > 64:
+        pair = (x[:-1] << low) | x[1:]
+        left = np.concatenate((np.zeros(int(two.sum()), np.uint64), x[:-2][three]))
+        right = np.concatenate((pair[two], pair[1:][three]))
+        return summed(keys, keys.scatter(left, right), left, np.ones(len(left), np.int64))
+    # each stands once, so sorting in place and the lengths of runs do, with no order or counts beside the keys
+    ends = [int(two.sum()), int(two.sum()) + int(three.sum())]
+    key = np.empty(ends[-1], np.uint64)
+    for start, end, there, words in ((0, ends[0], two, 2), (ends[0], ends[1], three, 3)):
+        at = np.flatnonzero(there).astype(np.uint32)
+        for a in range(start, end, _PIECE):
+            chosen = at[a - start : a - start + min(_PIECE, end - a)]
+            left = x[chosen] if words == 3 else np.zeros(len(chosen), np.uint64)
+            right = (x[chosen + (words - 2)] << low) | x[chosen + (words - 1)]
+            key[a : a + len(chosen)] = (keys.scatter(left, right) << low) | left
+    del x, two, three
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+    counts = np.diff(first, append=len(key))
+    key = key[first]
+    return Filter(key >> low, key & np.uint64((1 << keys.bits) - 1), counts)
 
 
 def _low(values: np.ndarray, bits: int) -> np.ndarray:
@@ -315,19 +335,18 @@ def count_phrases(blocks: DataFrame, vocabulary: DataFrame, least: int, part_ent
 
     def encode(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         local = right.column("local").to_numpy()
-        ids = np.zeros(int(local.max(initial=-1)) + 2, np.uint64)
+        ids = np.zeros(int(local.max(initial=-1)) + 2, np.uint32)
         ids[local + 1] = right.column("id").to_numpy()
         found = []
         for tokens in left.column("tokens").to_pylist():
             at = np.frombuffer(tokens, np.uint32)
-            known = np.zeros(len(at), np.uint64)
+            known = np.zeros(len(at), np.uint32)
             known[at < len(ids)] = ids[at[at < len(ids)]]
-            found += [known, np.zeros(1, np.uint64)]
+            found += [known, np.zeros(1, np.uint32)]
         block = key[0].as_py()
-        return pa.Table.from_batches(
-            [_segments(keys, phrases(keys, np.concatenate(found)), block, 0, 0, first_bits)] if found else [],
-            _SEGMENT_SCHEMA,
-        )
+        segments = [_segments(keys, phrases(keys, np.concatenate(found)), block, 0, 0, first_bits)] if found else []
+        release()
+        return pa.Table.from_batches(segments, _SEGMENT_SCHEMA)
 
     words = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("local", "w"))
     words = words.select("of", "local", "w.lang", "w.word")
@@ -345,6 +364,8 @@ def count_phrases(blocks: DataFrame, vocabulary: DataFrame, least: int, part_ent
         left, right = whole.left[kept], keys.gather(whole.left[kept], whole.scattered[kept])
         low = np.uint64((1 << keys.bits) - 1)
         columns = [left, right >> np.uint64(keys.bits), right & low, whole.counts[kept]]
+        del whole
+        release()
         return pa.table([c.astype(np.int64) for c in columns], names=["x1", "x2", "x3", "f"])
 
     return segments.groupBy("prefix").applyInArrow(finish, "x1 long, x2 long, x3 long, f long")

@@ -1,5 +1,6 @@
 import collections
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -92,3 +93,22 @@ def test_a_long_text_is_cut_where_pieces_end(spark):
     text = ", ".join(["one two three four five"] * 500) + " " + "far away " * 300
     docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, lang string")
     assert mined(docs, block_bytes=500) == brute_force([(None, text)])
+
+
+def test_phrases_of_a_block_need_little_beside_their_keys():
+    """A worker stands beside the heap of its executor, so a block of 16 MB may not take hundreds."""
+    tokens = np.random.default_rng(3).integers(0, 1 << 17, 1 << 20).astype(np.uint32)
+    keys = Keys(17)
+    tracemalloc.start()
+    found = collocations.phrases(keys, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(tokens)
+    small = collocations.phrases(keys, tokens[:5000])
+    listed = tokens[:5000].tolist()
+    wanted = collections.Counter((0, a, b) for a, b in zip(listed, listed[1:]) if a and b)
+    wanted += collections.Counter((a, b, c) for a, b, c in zip(listed, listed[1:], listed[2:]) if a and b and c)
+    right = keys.gather(small.left, small.scattered)
+    triples = zip(small.left.tolist(), (right >> np.uint64(17)).tolist(), (right & np.uint64((1 << 17) - 1)).tolist())
+    assert dict(zip(triples, small.counts.tolist())) == dict(wanted)
+    assert int(found.counts.sum()) > len(tokens)
