@@ -292,3 +292,19 @@ def test_wide_vectors_are_filtered_in_their_batches(spark):
     m = moments.moments(df, "v")
     assert m.n == 50
     assert m.covariance == pytest.approx(np.cov(good.T, bias=True), rel=1e-6, abs=1e-9)
+
+
+def test_given_folds_need_no_python_per_row(spark):
+    """The folds are the hashed ones, and no row goes through Python to be put into them."""
+    from pyspark.ml.tuning import CrossValidator
+
+    from brindle.operators import regression
+
+    rows = [(i, i % 3) for i in range(30)]
+    data = spark.createDataFrame(rows, "label long, fold int")
+    folds = regression._GivenFolds(numFolds=3, foldCol="fold")._kFold(data)
+    for i, (train, validation) in enumerate(folds):
+        assert sorted(r.label for r in validation.collect()) == [k for k, f in rows if f == i]
+        assert sorted(r.label for r in train.collect()) == [k for k, f in rows if f != i]
+        assert "Python" not in train._jdf.queryExecution().toString()
+    assert issubclass(regression._GivenFolds, CrossValidator)
