@@ -220,3 +220,28 @@ def test_chosen_pairs_from_maps(spark):
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 1), (1, 9)], "id_a long, id_b long")
     found = {(r.id_a, r.id_b): (r.n_common, round(r.sim, 9)) for r in linkage.score_chosen(pairs, vectors, vectors).collect()}
     assert found == {(1, 2): (1, 0.6), (1, 3): (0, 0.0), (1, 1): (2, 1.0), (1, 9): (0, 0.0)}
+
+
+def test_tokens_are_counted_in_blocks_where_they_lie(spark):
+    """An index has one row per vector, and blocks of any size give the same weights."""
+    rows = [(1, ["x", "y", "x"]), (2, ["y"]), (3, []), (4, None), (5, ["z"] * 9 + ["x"]), (6, ["y"])]
+    records = spark.createDataFrame(rows, "id long, tokens array<string>")
+    blocks = [ops.token_blocks(records.coalesce(1), ["id"], most) for most in (1, 4, 1000)]
+    assert [b.count() for b in blocks][2] == 1 and blocks[0].count() > blocks[1].count() > 1
+    for b in blocks:
+        assert sorted(r.id for r in b.selectExpr("inline(records)").collect()) == [1, 2, 3, 4, 5, 6]
+        counts = b.selectExpr("inline(words)").groupBy("token").sum("df").collect()
+        assert sorted(map(tuple, counts)) == [("x", 2), ("y", 3), ("z", 1)]
+    weights = ops.tfidf(records, ops.inverse_document_frequency(records).where("token <> 'z'"))
+    found = {(r["id"], r["token"]): r["weight"] for r in weights.collect()}
+    assert found == pytest.approx({(1, "x"): 2 / 3 * 3, (1, "y"): 1 / 3 * 2, (2, "y"): 2, (5, "x"): 0.1 * 3, (6, "y"): 2})
+    index = ops.build_index(records, records.where("id < 3"))
+    assert index.vectors.count() == 5 and index.members.count() == 8
+
+
+def test_candidates_are_bounded_by_grades(linked):
+    """Pairs that the frequent tokens cannot lift to the asked similarity are no candidates."""
+    _, _, index, sims = linked
+    n = ops.candidate_pairs(index, 0.3).count()
+    wanted = ops.similar_pairs(index, 0.3).count()
+    assert wanted <= n <= len(sims)
