@@ -245,3 +245,39 @@ def test_candidates_are_bounded_by_grades(linked):
     n = ops.candidate_pairs(index, 0.3).count()
     wanted = ops.similar_pairs(index, 0.3).count()
     assert wanted <= n <= len(sims)
+
+
+def test_pairs_are_not_exchanged(linked):
+    """Candidates and their sums stay where a block of one side meets a block of the other."""
+    _, _, index, _ = linked
+    plan = ops.similar_pairs(index, 0.05)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "hashpartitioning" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("products", [1, 7, 1 << 21])
+def test_products_are_held_in_pieces(linked, monkeypatch, products):
+    """A cell whose products are cut anywhere finds the same pairs."""
+    import pyarrow as pa
+
+    _, _, index, sims = linked
+    monkeypatch.setattr(ops, "CELL_PRODUCTS", products)
+    blocks = {}
+    for side in "ab":
+        rows = ops._vector_blocks(index, side, 0.05, 200).collect()
+        columns = ["vids", "copies", "norms", "lengths", "known", "postings"]
+        assert len(rows) > 1
+        blocks[side] = [
+            ops._Block({c: pa.array(r[f"{c}_{side}"]) if i < 3 else bytes(r[f"{c}_{side}"]) for i, c in enumerate(columns)}, index.total)
+            for r in rows
+        ]
+    found = {}
+    for a in blocks["a"]:
+        for b in blocks["b"]:
+            b.by_rank()
+            into = ops.np.array([dict(zip(b.ranks.tolist(), range(len(b.ranks)))).get(r, -1) for r in a.ranks.tolist()])
+            for x, y in ops._near(a, b, into, 0.05):
+                n, sums = ops._whole_sums(a, b, into, x, y)
+                assert (n > 0).all()
+                found |= {(a.vids[int(i)].as_py(), b.vids[int(j)].as_py()): s for i, j, s in zip(x, y, sums) if s >= 0.05}
+    own = {r["id"]: r["vid"] for r in index.members.collect()}
+    assert found == pytest.approx({(own[i], own[j]): s for (i, j), s in sims.items() if s >= 0.05})
