@@ -281,3 +281,17 @@ def test_products_are_held_in_pieces(linked, monkeypatch, products):
                 found |= {(a.vids[int(i)].as_py(), b.vids[int(j)].as_py()): s for i, j, s in zip(x, y, sums) if s >= 0.05}
     own = {r["id"]: r["vid"] for r in index.members.collect()}
     assert found == pytest.approx({(own[i], own[j]): s for (i, j), s in sims.items() if s >= 0.05})
+
+
+def test_common_tokens_meet_the_dictionary_in_blocks(spark, linked):
+    """Tokens of every pair in order; rows of single tokens are neither exchanged nor grouped."""
+    a, b, index, sims = linked
+    pairs = ops.similar_pairs(index, 0.05)
+    found = ops.common_tokens(index, pairs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "collect_list" not in plan
+    texts = dict(a) | dict(b)
+    rows = found.collect()
+    assert {(r.vid_a, r.vid_b) for r in rows} == {(r.vid_a, r.vid_b) for r in pairs.collect()} and len(rows) > 10
+    for r in rows:
+        assert r.tokens == sorted(set(texts[r.vid_a]) & set(texts[r.vid_b]))
