@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -106,20 +108,39 @@ def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return found.select(*PAIR, F.col("prediction").cast("double").alias("rating"))
 
 
+def _factor_errors(models: Sequence[ALSModel], actual: DataFrame) -> list[float | None]:
+    """RMSE of models trained on the same ratings, each as `rating_error` of its `predict_pairs`, in one pass.
+
+    The sums of a pair travel to its user once and, with that user's factors of all models, to its item once.
+    """
+    pairs = _moments(actual, "a")
+    for key, tables in (("user", [m.userFactors for m in models]), ("item", [m.itemFactors for m in models])):
+        named = [t.select(F.col("id").alias(key), F.col("features").alias(f"{key}_{i}")) for i, t in enumerate(tables)]
+        # models of the same ratings know the same keys
+        pairs = pairs.join(reduce(lambda left, right: left.join(right, key), named), key)
+    n = F.col("n_a")
+    sums = [F.sum(n).alias("n")]
+    for i, model in enumerate(models):
+        # of single precision, as the model predicts
+        products = [F.col(f"user_{i}")[j] * F.col(f"item_{i}")[j] for j in range(model.rank)]
+        p = reduce(add, products).cast("double")
+        sums.append(F.sum(n * p * p - 2 * p * F.col("s_a") + F.col("q_a")).alias(f"squares_{i}"))
+    found = pairs.agg(*sums).first()
+    if not found["n"]:
+        return [None] * len(models)
+    # rounding may leave a sum of squares just below zero
+    return [math.sqrt(max(found[f"squares_{i}"], 0.0) / found["n"]) for i in range(len(models))]
+
+
 def rank_search(
     train: DataFrame, validation: DataFrame, ranks: Sequence[int] = (4, 8, 12), **als
 ) -> list[tuple[int, float, ALSModel]]:
-    """Rank, validation RMSE and model for every rank; the best has the smallest error."""
-    train = train.select(*PAIR, "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = []
-        for rank in ranks:
-            model = train_als(train, rank, **als)
-            error = rating_error(predict_pairs(model, validation.select(*PAIR).distinct()), validation)
-            found.append((rank, error.first()["rmse"], model))
-        return found
-    finally:
-        train.unpersist()
+    """Rank, validation RMSE and model for every rank; the best has the smallest error.
+
+    `train` is read once per rank, so it should be a written table.
+    """
+    models = [train_als(train, rank, **als) for rank in ranks]
+    return list(zip(ranks, _factor_errors(models, validation), models))
 
 
 def best_rank(found: Sequence[tuple[int, float, ALSModel]]) -> int:

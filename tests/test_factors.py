@@ -109,3 +109,21 @@ def test_recommendations_for_every_supplier_equal_brute_force(spark):
     wanted = brute_force([(r.user, r.features) for r in users.collect()], known, pairs, 20)
     assert [g[:3] for g in got] == [w[:3] for w in wanted]
     assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted])
+
+
+def test_errors_of_all_ranks_come_from_one_pass(spark, monkeypatch):
+    """The error of every rank is that of its predictions; pairs are not predicted rank by rank."""
+    rng = np.random.default_rng(4)
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(rng.integers(0, 30, 900), rng.integers(0, 40, 900), rng.integers(1, 6, 900))]
+    train = spark.createDataFrame(rows[:600], "user int, item int, rating double")
+    # repeated pairs, unknown keys and a missing rating
+    more = [*rows[600:], rows[700], (*rows[701][:2], 1.0), (99, 1, 3.0), (1, 99, 2.0), (3, 4, None)]
+    validation = spark.createDataFrame(more, "user int, item int, rating double")
+    predict = ratings.predict_pairs
+    monkeypatch.setattr(ratings, "predict_pairs", lambda *a: pytest.fail("predicted rank by rank"))
+    found = ratings.rank_search(train, validation, (2, 3))
+    assert [f[0] for f in found] == [2, 3]
+    for _, error, model in found:
+        predicted = predict(model, validation.select("user", "item").distinct())
+        assert error == pytest.approx(ratings.rating_error(predicted, validation).first()["rmse"], rel=1e-6)
+    assert [f[1] for f in ratings.rank_search(train, validation.where("user = 99"), (2,))] == [None]
