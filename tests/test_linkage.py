@@ -239,6 +239,36 @@ def test_tokens_are_counted_in_blocks_where_they_lie(spark):
     assert index.vectors.count() == 5 and index.members.count() == 8
 
 
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_weights_and_norms_from_blocks(spark, most):
+    """Blocks give the weights and norms of their records, as rows or as lists; rows of one id count together."""
+    rows = [(1, ["x", "y", "x"]), (2, ["y"]), (3, []), (4, None), (5, ["z"] * 9 + ["x"]), (6, ["z"]), (1, ["y"])]
+    records = spark.createDataFrame(rows, "id long, tokens array<string>")
+    blocks = ops.token_blocks(records.coalesce(1), ["id"], most)
+    idf = ops.inverse_document_frequency(blocks)
+    assert sorted(map(tuple, idf.collect())) == sorted(map(tuple, ops.inverse_document_frequency(records).collect()))
+    some = idf.where("token <> 'z'")
+    long = ops.tfidf(records, some)
+    both = ops.tfidf(blocks, some, ["tokens", "weights"])
+    assert sorted(map(tuple, both.selectExpr("id", "inline(arrays_zip(tokens, weights))").collect())) == sorted(map(tuple, long.collect()))
+    lists = ops.tfidf(blocks, some, ["weights"])
+    assert lists.columns == ["id", "weights"] and sorted(r["id"] for r in lists.collect()) == [1, 1, 2, 5]
+    found = {r["id"]: r["norm"] for r in ops.norms(lists).collect()}
+    assert found == pytest.approx({r["id"]: r["norm"] for r in ops.norms(long).collect()})
+    assert found[1] == pytest.approx(math.sqrt((2 / 3 * 3) ** 2 + (1 / 3 * 2) ** 2 + 2**2))
+
+
+def test_texts_are_parsed_once_for_norms(spark, monkeypatch):
+    """The dictionary of `er_norms` comes from the blocks written, not from the texts again."""
+    from brindle.plans import linkage as plans
+
+    asked, idf = [], ops.inverse_document_frequency
+    monkeypatch.setattr(ops, "inverse_document_frequency", lambda records: asked.append(idf(records)) or asked[-1])
+    plans.QUERIES["er_norms"][0](spark, "/root/testdata/sf0.001")
+    plan = asked[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(asked) == 1 and "split(" not in plan and "text" not in plan
+
+
 def test_candidates_are_bounded_by_grades(linked):
     """Pairs that the frequent tokens cannot lift to the asked similarity are no candidates."""
     _, _, index, sims = linked
