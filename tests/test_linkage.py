@@ -222,6 +222,40 @@ def test_chosen_pairs_from_maps(spark):
     assert found == {(1, 2): (1, 0.6), (1, 3): (0, 0.0), (1, 1): (2, 1.0), (1, 9): (0, 0.0)}
 
 
+def test_maps_from_lists_are_those_from_rows(spark):
+    """Lists of weights give the maps of their records; a second list of one id is refused."""
+    rows = [(1, ["x", "y", "x"]), (2, ["y"]), (3, []), (4, None), (5, ["z"] * 9 + ["x"]), (6, ["z", "z"])]
+    blocks = ops.token_blocks(spark.createDataFrame(rows, "id long, tokens array<string>"), ["id"], 4)
+    idf = ops.inverse_document_frequency(blocks).where("token <> 'z'")
+    maps = ops.weight_maps(ops.tfidf(blocks, idf, ["tokens", "weights"]))
+    found = {r["id"]: r["vector"] for r in maps.collect()}
+    assert sorted(found) == [1, 2, 5]
+    assert found == {r["id"]: r["vector"] for r in ops.weight_maps(ops.tfidf(blocks, idf)).collect()}
+    pairs = spark.createDataFrame([(1, 5), (1, 2), (2, 5), (6, 6), (None, 1)], "id_a long, id_b long")
+    scores = {(r.id_a, r.id_b): (r.n_common, r.sim > 0) for r in ops.score_chosen(pairs, maps, maps).collect()}
+    assert scores == {(1, 5): (1, True), (1, 2): (1, True), (2, 5): (0, False), (6, 6): (0, False), (None, 1): (0, False)}
+    twice = spark.createDataFrame([(7, ["p"], [1.0]), (7, ["q"], [1.0])], "id long, tokens array<string>, weights array<double>")
+    with pytest.raises(ValueError, match="id 7"):
+        ops.weight_maps(twice)
+
+
+def test_maps_are_not_exchanged(spark, monkeypatch):
+    """`er_gold_map_scores` writes the maps where the blocks lie, and only vectors of the pairs go on."""
+    from brindle.plans import linkage as plans
+
+    written, write = {}, ops.materialize
+
+    def spy(df, name):
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(ops, "materialize", spy)
+    scores = plans.QUERIES["er_gold_map_scores"][0](spark, "/root/testdata/sf0.001")
+    maps = written["vectors"]
+    assert "Exchange" not in maps[: maps.index("FlatMapCoGroupsInArrow")]
+    assert scores._jdf.queryExecution().executedPlan().toString().count("LeftSemi") == 2
+
+
 def test_tokens_are_counted_in_blocks_where_they_lie(spark):
     """An index has one row per vector, and blocks of any size give the same weights."""
     rows = [(1, ["x", "y", "x"]), (2, ["y"]), (3, []), (4, None), (5, ["z"] * 9 + ["x"]), (6, ["y"])]
