@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from brindle.operators import als
 from brindle.operators.factors import top_items
 
 PAIR = ["user", "item"]
@@ -82,68 +79,29 @@ def unrated_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:
 
 def train_als(
     ratings: DataFrame, rank: int, iterations: int = 5, reg: float = 0.1, seed: int = 5
-) -> ALSModel:
-    """Explicit-feedback ALS; factor blocks follow the size of the cluster."""
-    blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
-    als = ALS(
-        userCol="user",
-        itemCol="item",
-        ratingCol="rating",
-        rank=rank,
-        maxIter=iterations,
-        regParam=reg,
-        seed=seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
-        coldStartStrategy="drop",
-        intermediateStorageLevel="MEMORY_AND_DISK",
-        finalStorageLevel="MEMORY_AND_DISK",
-    )
-    return als.fit(ratings.select(*PAIR, "rating"))
+) -> als.FactorModel:
+    """Explicit-feedback ALS, the model that the library trains."""
+    return als.train(ratings.select(*PAIR, "rating"), [rank], iterations, reg, seed)[0]
 
 
-def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def predict_pairs(model: als.FactorModel, pairs: DataFrame) -> DataFrame:
     """`user, item, rating` predicted for pairs; unknown users and items are absent."""
-    found = model.transform(pairs.select(*PAIR))
-    return found.select(*PAIR, F.col("prediction").cast("double").alias("rating"))
-
-
-def _factor_errors(models: Sequence[ALSModel], actual: DataFrame) -> list[float | None]:
-    """RMSE of models trained on the same ratings, each as `rating_error` of its `predict_pairs`, in one pass.
-
-    The sums of a pair travel to its user once and, with that user's factors of all models, to its item once.
-    """
-    pairs = _moments(actual, "a")
-    for key, tables in (("user", [m.userFactors for m in models]), ("item", [m.itemFactors for m in models])):
-        named = [t.select(F.col("id").alias(key), F.col("features").alias(f"{key}_{i}")) for i, t in enumerate(tables)]
-        # models of the same ratings know the same keys
-        pairs = pairs.join(reduce(lambda left, right: left.join(right, key), named), key)
-    n = F.col("n_a")
-    sums = [F.sum(n).alias("n")]
-    for i, model in enumerate(models):
-        # of single precision, as the model predicts
-        products = [F.col(f"user_{i}")[j] * F.col(f"item_{i}")[j] for j in range(model.rank)]
-        p = reduce(add, products).cast("double")
-        sums.append(F.sum(n * p * p - 2 * p * F.col("s_a") + F.col("q_a")).alias(f"squares_{i}"))
-    found = pairs.agg(*sums).first()
-    if not found["n"]:
-        return [None] * len(models)
-    # rounding may leave a sum of squares just below zero
-    return [math.sqrt(max(found[f"squares_{i}"], 0.0) / found["n"]) for i in range(len(models))]
+    return als.predict(model, pairs.select(*PAIR))
 
 
 def rank_search(
-    train: DataFrame, validation: DataFrame, ranks: Sequence[int] = (4, 8, 12), **als
-) -> list[tuple[int, float, ALSModel]]:
+    train: DataFrame, validation: DataFrame, ranks: Sequence[int] = (4, 8, 12), iterations: int = 5, reg: float = 0.1, seed: int = 5
+) -> list[tuple[int, float, als.FactorModel]]:
     """Rank, validation RMSE and model for every rank; the best has the smallest error.
 
-    `train` is read once per rank, so it should be a written table.
+    The models are those of `train_als`, trained together; `train` is read more than once, so it should be a
+    written table. The error is `rating_error` of `predict_pairs`, for all ranks in one pass.
     """
-    models = [train_als(train, rank, **als) for rank in ranks]
-    return list(zip(ranks, _factor_errors(models, validation), models))
+    models = als.train(train.select(*PAIR, "rating"), ranks, iterations, reg, seed)
+    return list(zip(ranks, als.errors(models, validation), models))
 
 
-def best_rank(found: Sequence[tuple[int, float, ALSModel]]) -> int:
+def best_rank(found: Sequence[tuple[int, float, als.FactorModel]]) -> int:
     """First rank with the smallest error."""
     return min(found, key=lambda f: f[1])[0]
 
