@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brindle.session import free, materialize
 
 # A block has about this many ids and ratings at most; ratings of one id are never parted.
-BLOCK_IDS = 1 << 15
+BLOCK_IDS = 1 << 16
 BLOCK_RATINGS = 1 << 23
 # Fewer ratings than this are not worth a block.
 LEAST_RATINGS = 1 << 17
 # Ratings that are packed, and that are summed, at a time.
 _PACK_ROWS = 1 << 21
-_SUM_ROWS = 1 << 19
+_SUM_ROWS = 1 << 18
 # More ratings of an id than this are multiplied on their own.
 _LONG = 64
 # Blocks are solved so many ids at a time.
@@ -396,7 +396,10 @@ def predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (user, item, found[0])], ["user", "item", "rating"])
 
     met = _meet(cells, model.users, model.blocks[1], model.items)
-    return met.mapInArrow(run, "user int, item int, rating double")
+    # written, as each later exchange would plan the parts again
+    found = materialize(met.mapInArrow(run, "user int, item int, rating double"), "predicted")
+    free(cells)
+    return found
 
 
 def errors(models: Sequence[FactorModel], actual: DataFrame) -> list[float | None]:
@@ -414,10 +417,11 @@ def errors(models: Sequence[FactorModel], actual: DataFrame) -> list[float | Non
                     squares += ((found - value) ** 2).sum(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([squares.tolist()])], ["n", "squares"])
 
-    met = _meet(cells, models[0].users, blocks[1], models[0].items).mapInArrow(run, "n long, squares array<double>")
+    met = _meet(cells, models[0].users, blocks[1], models[0].items)
+    squares = materialize(met.mapInArrow(run, "n long, squares array<double>"), "squares")
     sums = [F.sum(F.col("squares")[i]).alias(f"squares_{i}") for i in range(len(spans))]
-    found = met.agg(F.sum("n").alias("n"), *sums).first()
-    free(cells)
+    found = squares.agg(F.sum("n").alias("n"), *sums).first()
+    free(cells, squares)
     if not found["n"]:
         return [None] * len(models)
     return [float(np.sqrt(found[f"squares_{i}"] / found["n"])) for i in range(len(models))]
